@@ -121,22 +121,22 @@ def annotate_bursts(
     rows = _with_buckets(approved, hot, key, ts)
 
     w = Window.partitionBy(key, _BKT).orderBy(_US, tid)
-    rows = (
-        rows.withColumn("_sw_prev_us", F.lag(_US).over(w))
-        .withColumn("_sw_prev_ts", F.lag(ts).over(w))
-        .withColumn(
-            "_sw_cut",
-            F.when(
-                F.col("_sw_prev_us").isNotNull() & (F.col(_US) - F.col("_sw_prev_us") > gap_us), 1
-            ).otherwise(0),
-        )
-        .withColumn(
-            "_sw_seg", F.sum("_sw_cut").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        )
-        .withColumn("_sw_seg_size", F.count(F.lit(1)).over(Window.partitionBy(key, _BKT, "_sw_seg")))
+    rows = rows.select(
+        "*",
+        F.lag(_US).over(w).alias("_sw_prev_us"),
+        F.lag(ts).over(w).alias("_sw_prev_ts"),
     )
+    rows = rows.withColumn(
+        "_sw_cut",
+        F.when(F.col("_sw_prev_us").isNotNull() & (F.col(_US) - F.col("_sw_prev_us") > gap_us), 1).otherwise(0),
+    )
+    rows = rows.withColumn(
+        "_sw_seg", F.sum("_sw_cut").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    )
+    rows = rows.withColumn("_sw_seg_size", F.count(F.lit(1)).over(Window.partitionBy(key, _BKT, "_sw_seg")))
 
     # One row per (key, bucket): the only data the cross-bucket stitch needs.
+    # Everything below stays partitioned by key: one small exchange.
     summary = rows.groupBy(key, _BKT).agg(
         F.min(_US).alias("_sw_first_us"),
         F.max(_US).alias("_sw_last_us"),
@@ -147,42 +147,43 @@ def annotate_bursts(
     )
     wb = Window.partitionBy(key).orderBy(_BKT)
     prev_last = F.lag("_sw_last_us").over(wb)
-    summary = (
-        summary.withColumn("_sw_prev_last_ts", F.lag("_sw_last_ts").over(wb))
-        .withColumn(
-            "_sw_joins",
-            F.when(prev_last.isNotNull() & (F.col("_sw_first_us") - prev_last <= gap_us), 1).otherwise(0),
-        )
-        .withColumn("_sw_starts", F.col("_sw_n_segs") - F.col("_sw_joins"))
-        .withColumn(
-            "_sw_offset",
-            F.coalesce(F.sum("_sw_starts").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-        )
+    summary = summary.select(
+        "*",
+        F.lag("_sw_last_ts").over(wb).alias("_sw_prev_last_ts"),
+        F.when(prev_last.isNotNull() & (F.col("_sw_first_us") - prev_last <= gap_us), 1)
+        .otherwise(0)
+        .alias("_sw_joins"),
+    )
+    starts = F.col("_sw_n_segs") - F.col("_sw_joins")
+    summary = summary.withColumn(
+        "_sw_offset",
+        F.coalesce(F.sum(starts).over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
     )
     first_burst = F.col("_sw_offset") + 1 - F.col("_sw_joins")
-    last_burst = F.col("_sw_offset") + F.col("_sw_starts")
+    last_burst = F.col("_sw_offset") + starts
 
-    # The first and last segment of a bucket may continue into neighbours;
-    # total their pieces per burst.  Interior segments are whole already.
+    # The first and last segment of a bucket may continue into neighbouring
+    # buckets; their burst totals are the sums of all pieces with the same
+    # burst id (ids are unique within a key, so a RANGE 0..0 frame ordered by
+    # id adds them up without leaving the key's partition).  Interior
+    # segments are whole already.
     first_piece = F.struct(F.lit(0).alias("end"), first_burst.alias("burst"),
                            F.col("_sw_first_size").alias("size"))
     last_piece = F.struct(F.lit(1).alias("end"), last_burst.alias("burst"),
                           F.col("_sw_last_size").alias("size"))
+    carried = [key, _BKT, "_sw_prev_last_ts", "_sw_joins", "_sw_offset", "_sw_n_segs"]
     pieces = summary.select(
-        key,
-        _BKT,
+        *carried,
         F.explode(
             F.when(F.col("_sw_n_segs") > 1, F.array(first_piece, last_piece)).otherwise(F.array(first_piece))
         ).alias("p"),
-    ).select(key, _BKT, "p.end", "p.burst", "p.size")
-    pieces = pieces.withColumn("total", F.sum("size").over(Window.partitionBy(key, "burst")))
-    ends = pieces.groupBy(key, _BKT).agg(
+    ).select(*carried, "p.end", "p.burst", "p.size")
+    by_burst = Window.partitionBy(key).orderBy("burst").rangeBetween(0, 0)
+    pieces = pieces.withColumn("total", F.sum("size").over(by_burst))
+    summary = pieces.groupBy(*carried).agg(
         F.max(F.when(F.col("end") == 0, F.col("total"))).alias("_sw_first_total"),
         F.max(F.when(F.col("end") == 1, F.col("total"))).alias("_sw_last_total"),
     )
-    summary = summary.select(
-        key, _BKT, "_sw_prev_last_ts", "_sw_joins", "_sw_offset", "_sw_n_segs"
-    ).join(ends, [key, _BKT])
     if per_key is not None:
         summary = summary.join(per_key, key)
 

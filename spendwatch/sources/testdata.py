@@ -24,6 +24,7 @@ plain equi-joins (nation/region are fixed 25/5-row reference tables).
 from __future__ import annotations
 
 import os
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,8 +35,17 @@ from spendwatch.operators.enrich import enrich_transactions
 INTERNATIONAL_REGION = 4
 
 
+# Read DataFrames per session and path: a read lists files and parses the
+# Parquet footer once; the lazy DataFrame is then reused by every query.
+_READS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    cache = _READS.setdefault(spark, {})
+    if path not in cache:
+        cache[path] = spark.read.parquet(path)
+    return cache[path]
 
 
 def employees(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,38 @@
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+SF0001 = "/root/testdata/sf0.001"
+SF001 = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from spendwatch.session import local_session
+
+    s = local_session(cores=4, shuffle_partitions=4, driver_memory="4g")
+    yield s
+    s.stop()
+
+
+def duck(sf_dir: str):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("region", "nation", "customer", "supplier", "orders", "events"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+@pytest.fixture(scope="session")
+def duck0001():
+    return duck(SF0001)
+
+
+@pytest.fixture(scope="session")
+def duck001():
+    return duck(SF001)

@@ -1,0 +1,94 @@
+"""Inline fixtures and brute-force references for the tests."""
+
+from __future__ import annotations
+
+import math
+from datetime import datetime, timedelta
+
+from spendwatch.schemas import TRANSACTIONS
+
+T0 = datetime(2025, 1, 1, 9, 0, 0)
+
+
+def at(minutes: float = 0.0, micros: int = 0) -> datetime:
+    return T0 + timedelta(minutes=minutes, microseconds=micros)
+
+
+def txn_rows(specs):
+    """specs: dicts with any of the transaction columns; defaults fill the rest."""
+    out = []
+    for i, s in enumerate(specs, start=1):
+        row = {
+            "transaction_id": i,
+            "company_id": 1,
+            "employee_id": 1,
+            "merchant_id": 1,
+            "transaction_timestamp": T0,
+            "amount": 10.0,
+            "transaction_status": "approved",
+            "decline_reason": None,
+            "is_international": False,
+            "merchant_country": "US",
+            "is_fraud": 0,
+            "fraud_type": "none",
+        }
+        row.update(s)
+        out.append(tuple(row[f.name] for f in TRANSACTIONS.fields))
+    return out
+
+
+def txn_df(spark, specs):
+    return spark.createDataFrame(txn_rows(specs), TRANSACTIONS)
+
+
+def employees_df(spark, rows):
+    from spendwatch.schemas import EMPLOYEES
+
+    return spark.createDataFrame(rows, EMPLOYEES)
+
+
+def merchants_df(spark, rows):
+    from spendwatch.schemas import MERCHANTS
+
+    return spark.createDataFrame(rows, MERCHANTS)
+
+
+def brute_bursts(rows, gap_minutes):
+    """rows: (tid, emp, ts) approved; returns tid -> (prev_ts, starts, burst_id, size)."""
+    by_emp = {}
+    for tid, emp, ts in rows:
+        by_emp.setdefault(emp, []).append((ts, tid))
+    out = {}
+    gap = timedelta(minutes=gap_minutes)
+    for emp, items in by_emp.items():
+        items.sort()
+        bid = 0
+        assigned = []
+        prev = None
+        for ts, tid in items:
+            starts = 1 if prev is None or ts > prev + gap else 0
+            bid += starts
+            assigned.append((tid, prev, starts, bid))
+            prev = ts
+        sizes = {}
+        for _, _, _, b in assigned:
+            sizes[b] = sizes.get(b, 0) + 1
+        for tid, p, s, b in assigned:
+            out[tid] = (p, s, b, sizes[b])
+    return out
+
+
+def brute_rolling(rows, window_minutes):
+    """rows: (tid, emp, ts); count of same-employee rows with ts in [ts - w, ts]."""
+    w = timedelta(minutes=window_minutes)
+    out = {}
+    for tid, emp, ts in rows:
+        out[tid] = sum(1 for _, e2, t2 in rows if e2 == emp and ts - w <= t2 <= ts)
+    return out
+
+
+def round_half_away(x: float, digits: int) -> float:
+    s = 10.0**digits
+    v = x * s
+    r = math.floor(abs(v) + 0.5) * (1 if v >= 0 else -1)
+    return r / s
