@@ -41,6 +41,6 @@ def scans(df: DataFrame) -> list[str]:
         if "FileScan" in line:
             loc = re.search(r"Location: \w+\(\d+ paths\)\[([^\]]+)\]", line)
             pushed = re.search(r"PushedFilters: (\[[^\]]*\])", line)
-            schema = re.search(r"ReadSchema: (struct<[^>]*>)", line)
+            schema = re.search(r"ReadSchema: (\S+)", line)
             out.append(" ".join(x.group(1) for x in (loc, pushed, schema) if x))
     return out

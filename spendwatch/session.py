@@ -19,6 +19,8 @@ LOCAL_CONF = {
     # The size check behind every broadcast the planner chooses on its own.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # Full ReadSchema / PushedFilters in explain output.
+    "spark.sql.maxMetadataStringLength": "1000",
 }
 
 
