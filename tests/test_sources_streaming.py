@@ -1,0 +1,107 @@
+"""CSV/Parquet loading with declared schemas (P12), report sinks, and the
+streaming burst rule against the batch one."""
+
+import os
+import tempfile
+
+from pyspark.sql import functions as F
+
+from spendwatch.operators import velocity as V
+from spendwatch.params import RuleParams
+from spendwatch.schemas import TRANSACTIONS
+from spendwatch.sources import sinks, tables
+from spendwatch.streaming import bursts
+
+from .helpers import at, txn_rows
+
+CSV = {
+    "companies": "company_id,company_name,industry,created_at\n1,Acme,Retail,2023-05-01\n2,Beta,Finance,2024-01-02\n",
+    "employees": "employee_id,company_id,employee_name,department,monthly_budget\n"
+                 "1,1,Ann,Sales,1000\n2,2,Bob,Finance,2500\n",
+    "merchants": "merchant_id,merchant_name,category,country\n1,Shop,Meals,US\n2,Air,Travel,CA\n",
+    "transactions": (
+        "transaction_id,company_id,employee_id,merchant_id,transaction_timestamp,amount,transaction_status,"
+        "decline_reason,is_international,merchant_country,is_fraud,fraud_type\n"
+        "1,1,1,1,2025-07-01 10:00:00,900.5,approved,,False,US,0,none\n"
+        "2,1,1,2,2025-07-01 10:05:00.250000,1200.0,approved,,True,CA,1,international_purchase\n"
+        "3,2,2,1,2025-07-02 11:00:00,40.0,declined,card_expired,False,US,0,none\n"
+    ),
+}
+
+
+def _csv_dir():
+    d = tempfile.mkdtemp(prefix="spendwatch-csv-")
+    for name, text in CSV.items():
+        with open(os.path.join(d, f"{name}.csv"), "w") as f:
+            f.write(text)
+    return d
+
+
+def test_load_csv_with_schema_and_row_counts(spark):
+    t = tables.load_tables(spark, _csv_dir(), "csv")
+    assert t["transactions"].schema == TRANSACTIONS
+    counts = {r["table_name"]: r["row_count"] for r in tables.table_row_counts(t).collect()}
+    assert counts == {"companies": 2, "employees": 2, "merchants": 2, "transactions": 3}
+    row = t["transactions"].where("transaction_id = 2").collect()[0]
+    assert row["is_international"] is True and row["transaction_timestamp"].microsecond == 250000
+    assert t["transactions"].where("transaction_id = 1").collect()[0]["decline_reason"] is None
+
+
+def test_save_and_reload_parquet_and_run_reports(spark):
+    t = tables.load_tables(spark, _csv_dir(), "csv")
+    wh = tempfile.mkdtemp(prefix="spendwatch-wh-")
+    tables.save_tables(t, wh)
+    t2 = tables.load_tables(spark, wh, "parquet")
+    tables.register_views(t2)
+    assert spark.table("transactions").count() == 3
+    out = tempfile.mkdtemp(prefix="spendwatch-out-")
+    written = sinks.run_reports(t2, out, "csv")
+    assert set(written) == {"monthly_spend_overview", "budget_risk_alerts", "fraud_alerts", "merchant_decline_analysis"}
+    monthly = spark.read.option("header", True).csv(written["monthly_spend_overview"]).collect()
+    assert len(monthly) == 1 and monthly[0]["transaction_count"] == "3"
+    alerts = spark.read.option("header", True).csv(written["budget_risk_alerts"]).collect()
+    assert [(a["employee_id"], a["budget_status"]) for a in alerts] == [("1", "over_budget")]
+    ev = sinks.run_evaluations(spark, t2, out, "parquet")
+    summary = spark.read.parquet(ev["fraud_rule_evaluation_summary"]).collect()[0]
+    assert summary["approved_transactions_scored"] == 2 and summary["true_positive"] == 1
+
+
+def _stream_fixture():
+    minutes = [0, 4, 9, 40, 45, 200, 203, 206, 209, 300]
+    specs = [{"transaction_timestamp": at(m), "amount": 10.0 + m} for m in minutes]
+    specs += [{"employee_id": 2, "transaction_timestamp": at(m)} for m in (5, 6, 7)]
+    specs.append({"employee_id": 3, "transaction_timestamp": at(2000)})  # moves the watermark on
+    return specs
+
+
+def test_streaming_bursts_match_batch(spark):
+    specs = _stream_fixture()
+    src = tempfile.mkdtemp(prefix="spendwatch-stream-src-")
+    static = spark.createDataFrame(txn_rows(specs), TRANSACTIONS)
+    # Files arrive in event-time order (late rows would be dropped by design).
+    for lo, hi in ((0, 100), (100, 1000), (1000, 5000)):
+        part = [r for r, sp in zip(txn_rows(specs), specs)
+                if at(lo) <= sp["transaction_timestamp"] < at(hi)]
+        spark.createDataFrame(part, TRANSACTIONS).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(TRANSACTIONS).option("maxFilesPerTrigger", 1).parquet(src)
+    rules = RuleParams()
+    collected = []
+    q = (
+        bursts.burst_sessions(stream, rules, watermark="30 minutes")
+        .writeStream.outputMode("append")
+        .foreachBatch(lambda df, _: collected.extend(df.collect()))
+        .option("checkpointLocation", tempfile.mkdtemp(prefix="spendwatch-ckpt-"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination(120)
+    got = sorted((r["employee_id"], r["burst_start"], r["transactions_in_burst"]) for r in collected)
+    batch = (V.velocity_burst_scored(static, rules)
+             .groupBy("employee_id", "transactions_in_burst")
+             .agg(F.min("transaction_timestamp").alias("start")))
+    want = sorted((r["employee_id"], r["start"], r["transactions_in_burst"]) for r in batch.collect())
+    # Everything except the open session of the sentinel row has closed.
+    assert got == [w for w in want if w[0] != 3]
+    static_sessions = bursts.burst_sessions(static, rules, watermark=None).collect()
+    assert sorted((r["employee_id"], r["burst_start"], r["transactions_in_burst"]) for r in static_sessions) == want
+    assert {r["transactions_in_burst"]: r["predicted_velocity_fraud"] for r in static_sessions}[4] == 1
