@@ -91,10 +91,49 @@ def _with_buckets(df: DataFrame, hot: DataFrame, key: str, ts: str,
     )
 
 
+def detect_hot_keys(approved: DataFrame, skew: SkewParams = DEFAULT_SKEW, key: str = KEY,
+                    ts: str = TS) -> DataFrame | None:
+    """Runs the sampled detection as one small job.
+
+    Returns the hot-key table as a literal DataFrame (at most
+    N / rows_per_bucket rows, so it may pass through the driver), or None
+    when no key is hot; the caller then plans the plain per-key windows.
+    """
+    hot = hot_key_buckets(approved, skew, key, ts)
+    found = hot.collect()
+    if not found:
+        return None
+    return approved.sparkSession.createDataFrame(found, hot.schema)
+
+
 # --------------------------------------------------------------------------
 # Bursts (gap-based sessionisation), T2-T5
 # --------------------------------------------------------------------------
 
+BURST_COLUMNS = ["previous_transaction_timestamp", "starts_new_burst", "burst_id", "transactions_in_burst"]
+
+
+def _bursts_per_key(approved: DataFrame, gap_us: int, key: str, ts: str, tid: str) -> DataFrame:
+    """No hot key: one exchange by key feeds lag, running sum and burst count."""
+    rows = approved.withColumn(_US, epoch_micros(ts))
+    w = Window.partitionBy(key).orderBy(_US, tid)
+    rows = rows.select(
+        "*",
+        F.lag(_US).over(w).alias("_sw_prev_us"),
+        F.lag(ts).over(w).alias("previous_transaction_timestamp"),
+    )
+    rows = rows.withColumn(
+        "starts_new_burst",
+        F.when(F.col("_sw_prev_us").isNull() | (F.col(_US) - F.col("_sw_prev_us") > gap_us), 1).otherwise(0),
+    )
+    rows = rows.withColumn(
+        "burst_id",
+        F.sum("starts_new_burst").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("long"),
+    )
+    return rows.withColumn(
+        "transactions_in_burst", F.count(F.lit(1)).over(Window.partitionBy(key, "burst_id"))
+    )
+
 
 def annotate_bursts(
     approved: DataFrame,
@@ -112,12 +151,20 @@ def annotate_bursts(
     A row starts a new burst when it has no predecessor or its timestamp is
     strictly more than ``gap_minutes`` after the predecessor's.
 
-    ``per_key`` (optional, keyed by ``key``) is inner-joined on the per-bucket
-    summary instead of the rows, so per-employee attributes reach every row
-    without reshuffling the rows by employee.
+    ``per_key`` (optional, keyed by ``key``) is inner-joined per employee:
+    onto the rows when they are partitioned by employee, onto the per-bucket
+    summary when hot employees are split, so the rows are never reshuffled
+    for it.
     """
     gap_us = minutes_to_micros(gap_minutes)
-    hot = hot_key_buckets(approved, skew, key, ts)
+    extra = [c for c in per_key.columns if c != key] if per_key is not None else []
+    out_cols = approved.columns + extra + BURST_COLUMNS
+    hot = detect_hot_keys(approved, skew, key, ts)
+    if hot is None:
+        rows = _bursts_per_key(approved, gap_us, key, ts, tid)
+        if per_key is not None:
+            rows = rows.join(per_key, key)
+        return rows.select(*out_cols)
     rows = _with_buckets(approved, hot, key, ts)
 
     w = Window.partitionBy(key, _BKT).orderBy(_US, tid)
@@ -204,7 +251,7 @@ def annotate_bursts(
             .cast("long"),
         )
     )
-    return out.drop(*[c for c in out.columns if c.startswith("_sw_")])
+    return out.select(*out_cols)
 
 
 def approved_only(txn: DataFrame) -> DataFrame:
@@ -291,7 +338,19 @@ def with_rolling_counts(
     """
     widths = sorted({int(m) for m in windows_minutes})
     max_us = minutes_to_micros(max(widths))
-    hot = hot_key_buckets(approved, skew, key, ts)
+    out_cols = approved.columns + [window_count_column(m) for m in widths]
+    hot = detect_hot_keys(approved, skew, key, ts)
+    if hot is None:
+        rows = approved.withColumn(_US, epoch_micros(ts))
+        w = Window.partitionBy(key).orderBy(_US)
+        return rows.select(
+            *approved.columns,
+            *[
+                F.count(F.lit(1)).over(w.rangeBetween(-minutes_to_micros(m), Window.currentRow))
+                .alias(window_count_column(m))
+                for m in widths
+            ],
+        )
     rows = _with_buckets(approved, hot, key, ts, min_width_us=max_us)
     reach = F.when(F.col(_BW).isNull(), F.col(_BKT)).otherwise(
         _floor_div(f"({_US} + {max_us})", _BW)
@@ -306,7 +365,7 @@ def with_rolling_counts(
             F.count(F.lit(1)).over(w.rangeBetween(-minutes_to_micros(m), Window.currentRow)),
         )
     rows = rows.where(F.col(_BKT) == F.col("_sw_home"))
-    return rows.drop(*[c for c in rows.columns if c.startswith("_sw_")])
+    return rows.select(*out_cols)
 
 
 def rolling_transaction_count(txn: DataFrame, window_minutes: int,

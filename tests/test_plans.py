@@ -16,19 +16,34 @@ def test_no_python_udfs(spark, name):
     assert python_nodes(queries()[name](spark, SF0001)) == []
 
 
-def _fact_exchanges(text):
-    return set(re.findall(r"Exchange hashpartitioning\(employee_id#\d+L, _sw_bucket#\d+L, \d+\)", text))
-
-
-def test_burst_pipeline_shuffles_fact_rows_once(spark):
+def test_burst_pipeline_without_hot_keys_is_one_exchange(spark):
     df = queries()["fraud_scored_transactions"](spark, SF0001)
     text = physical_plan(df, "simple")
-    # one (employee, bucket) exchange of the rows feeds every window; the
-    # final join reuses that partitioning.
-    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text)
-    fact = [e for e in exchanges if "_sw_bucket" in e and "employee_id" in e]
-    assert fact, text
+    by_employee = set(re.findall(r"Exchange hashpartitioning\(employee_id#\d+L, \d+\)[^\n]*plan_id=(\d+)", text))
+    # the fact rows (lag, running sum, burst count) and the statistics aggregate
+    assert len(by_employee) <= 2, text
+    assert "_sw_bucket" not in text
     assert "SortMergeJoin [transaction_id" not in text  # no self-join back on transaction id
+    assert len(re.findall(r"Window \[", text)) >= 3
+
+
+def test_burst_pipeline_with_hot_keys_splits_by_bucket(spark):
+    from spendwatch.operators import rules as R
+    from spendwatch.params import TESTDATA_RULES, SkewParams
+    from spendwatch.sources import testdata as td
+
+    skew = SkewParams(sample_fraction=1.0, rows_per_bucket=5, min_bucket_minutes=60)
+    df = R.fraud_scored_transactions(td.event_transactions(spark, SF0001), TESTDATA_RULES, skew)
+    df.collect()
+    text = physical_plan(df, "simple")  # the final adaptive plan
+    assert "isFinalPlan=true" in text
+    # the fact rows are shuffled by (employee, bucket): the full rows for the
+    # windows, and a pruned (key, bucket, time, id) projection for the
+    # per-bucket summary; nothing is shuffled by employee alone except
+    # per-employee aggregates and the small summary.
+    fact = re.findall(r"(?<!Reused)Exchange hashpartitioning\(employee_id#\d+L, _sw_bucket#\d+L, \d+\)", text)
+    assert 1 <= len(fact) <= 2, text
+    assert "BroadcastExchange" in text  # the bounded hot-key table
 
 
 def test_filters_and_columns_reach_the_scan(spark):
