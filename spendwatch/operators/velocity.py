@@ -25,6 +25,7 @@ Rows that share a timestamp are ordered by ``transaction_id`` everywhere, so
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -91,6 +92,9 @@ def _with_buckets(df: DataFrame, hot: DataFrame, key: str, ts: str,
     )
 
 
+_PROFILES: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
 def detect_hot_keys(approved: DataFrame, skew: SkewParams = DEFAULT_SKEW, key: str = KEY,
                     ts: str = TS) -> DataFrame | None:
     """Runs the sampled detection as one small job.
@@ -98,12 +102,22 @@ def detect_hot_keys(approved: DataFrame, skew: SkewParams = DEFAULT_SKEW, key: s
     Returns the hot-key table as a literal DataFrame (at most
     N / rows_per_bucket rows, so it may pass through the driver), or None
     when no key is hot; the caller then plans the plain per-key windows.
+    With ``skew.reuse_profile`` the result is remembered per session for the
+    same (key, time) input plan, so several products over one table profile
+    it once.
     """
-    hot = hot_key_buckets(approved, skew, key, ts)
-    found = hot.collect()
+    spark = approved.sparkSession
+    cache_key = (approved.select(key, ts).semanticHash(), skew, key, ts)
+    cache = _PROFILES.setdefault(spark, {})
+    if skew.reuse_profile and cache_key in cache:
+        found, schema = cache[cache_key]
+    else:
+        hot = hot_key_buckets(approved, skew, key, ts)
+        found, schema = hot.collect(), hot.schema
+        cache[cache_key] = (found, schema)
     if not found:
         return None
-    return approved.sparkSession.createDataFrame(found, hot.schema)
+    return spark.createDataFrame(found, schema)
 
 
 # --------------------------------------------------------------------------

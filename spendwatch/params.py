@@ -68,6 +68,9 @@ class SkewParams:
     rows_per_bucket: int = 2_000_000
     min_bucket_minutes: float = 1.0
     seed: int = 17
+    # Reuse a detection result for the same input plan within a session.
+    # Safe for results: the split only changes the physical plan.
+    reuse_profile: bool = True
 
 
 # Reference defaults.

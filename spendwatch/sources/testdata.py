@@ -82,9 +82,19 @@ def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _supplier_count(spark: SparkSession, sf_dir: str):
-    # Scalar subquery, evaluated once per query.
-    return _read(spark, sf_dir, "supplier").select(F.count(F.lit(1))).scalar()
+_SUPPLIER_COUNTS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
+def _supplier_count(spark: SparkSession, sf_dir: str) -> int:
+    """Number of suppliers (merchant ids are row ids modulo it).
+
+    Counted once per session and path (Parquet answers it from the footer)
+    and used as a literal, so no plan carries a scalar subquery.
+    """
+    cache = _SUPPLIER_COUNTS.setdefault(spark, {})
+    if sf_dir not in cache:
+        cache[sf_dir] = _read(spark, sf_dir, "supplier").count()
+    return cache[sf_dir]
 
 
 def raw_event_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
