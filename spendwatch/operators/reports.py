@@ -117,19 +117,34 @@ def _merchant_dim(merchants: DataFrame) -> DataFrame:
     )
 
 
-def merchant_transaction_metrics(txn: DataFrame, merchants: DataFrame) -> DataFrame:
+def merchant_status_counts(txn: DataFrame) -> DataFrame:
+    """Rows and amounts per (merchant, status, reason): the one pre-aggregate
+    both merchant tables are derived from, so the fact table is scanned and
+    shuffled once (partial aggregation map-side; at most merchants x (1 +
+    reasons) rows after it)."""
+    return txn.groupBy("merchant_id", "transaction_status", "decline_reason").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.sum("amount").alias("_amount"),
+    )
+
+
+def merchant_transaction_metrics(txn: DataFrame, merchants: DataFrame,
+                                 counts: DataFrame | None = None) -> DataFrame:
     """Per merchant: total/approved/declined counts, total value of all
     rows, mean of approved amounts only (NULL without approved rows).
 
     Aggregated by merchant_id first (it determines name, category and
-    country), then joined to the dimension.
+    country), then joined to the dimension.  ``counts`` is an optional
+    ``merchant_status_counts`` result to derive from.
     """
-    per_merchant = txn.groupBy("merchant_id").agg(
-        F.count(F.lit(1)).alias("total_transactions"),
-        F.sum(F.when(is_approved(), 1).otherwise(0)).alias("approved_transactions"),
-        F.sum(F.when(is_declined(), 1).otherwise(0)).alias("declined_transactions"),
-        F.sum("amount").alias("_total_value"),
-        F.avg(F.when(is_approved(), F.col("amount"))).alias("_avg_approved"),
+    c = counts if counts is not None else merchant_status_counts(txn)
+    approved_n = F.sum(F.when(is_approved(), F.col("_n")).otherwise(0))
+    per_merchant = c.groupBy("merchant_id").agg(
+        F.sum("_n").alias("total_transactions"),
+        approved_n.alias("approved_transactions"),
+        F.sum(F.when(is_declined(), F.col("_n")).otherwise(0)).alias("declined_transactions"),
+        F.sum("_amount").alias("_total_value"),
+        F.try_divide(F.sum(F.when(is_approved(), F.col("_amount"))), approved_n).alias("_avg_approved"),
     )
     j = per_merchant.join(_merchant_dim(merchants), "merchant_id")
     return j.select(
@@ -145,17 +160,17 @@ def merchant_transaction_metrics(txn: DataFrame, merchants: DataFrame) -> DataFr
     )
 
 
-def decline_reason_metrics(txn: DataFrame, merchants: DataFrame) -> DataFrame:
+def decline_reason_metrics(txn: DataFrame, merchants: DataFrame,
+                           counts: DataFrame | None = None) -> DataFrame:
     """Declined rows per (merchant, reason), for known merchants only.
 
     The dimension is only an existence check, so it is a semi-join.
     """
-    counts = (
-        txn.where(is_declined())
-        .groupBy("merchant_id", "decline_reason")
-        .agg(F.count(F.lit(1)).alias("decline_count"))
+    c = counts if counts is not None else merchant_status_counts(txn)
+    declined = c.where(is_declined()).select(
+        "merchant_id", "decline_reason", F.col("_n").alias("decline_count")
     )
-    return counts.join(merchants.select("merchant_id"), "merchant_id", "left_semi")
+    return declined.join(merchants.select("merchant_id"), "merchant_id", "left_semi")
 
 
 def top_decline_reason(reasons: DataFrame) -> DataFrame:
@@ -183,8 +198,9 @@ def merchant_decline_analysis(txn: DataFrame, merchants: DataFrame,
     The band compares the *unrounded* decline rate; the shown rates are
     rounded to 2 decimals.
     """
-    metrics = merchant_transaction_metrics(txn, merchants)
-    top = top_decline_reason(decline_reason_metrics(txn, merchants))
+    counts = merchant_status_counts(txn)
+    metrics = merchant_transaction_metrics(txn, merchants, counts)
+    top = top_decline_reason(decline_reason_metrics(txn, merchants, counts))
     j = metrics.join(top.select("merchant_id", "most_common_decline_reason"), "merchant_id", "left")
     total = F.col("total_transactions")
     approval = F.try_divide(F.lit(100.0) * F.col("approved_transactions"), total)

@@ -1,11 +1,12 @@
 """Rule-based fraud scoring.
 
-Plan shape: the approved rows are partitioned once by (employee, bucket) for
-the burst windows (see ``velocity``).  Per-employee statistics are a partial
-aggregate; they and the employee attributes are attached to the small
-per-bucket summary, not to the rows, so the rows are never reshuffled by
-employee.  The burst self-joins of the SQL formulation disappear: the burst
-size travels with each row.
+Plan shape: the approved rows are shuffled once, by employee (or by
+(employee, time bucket) for employees detected as hot, see ``velocity``).
+The burst windows, the per-employee statistics (window aggregates on the
+same partition) and the employee join all run on that partitioning; when
+hot employees are split the statistics are a partial aggregate attached to
+the small per-bucket summary instead.  The burst self-joins of the SQL
+formulation disappear: the burst size travels with each row.
 """
 
 from __future__ import annotations
@@ -20,17 +21,19 @@ from spendwatch.params import DEFAULT_RULES, DEFAULT_SKEW, RuleParams, SkewParam
 FLAGS = ["large_transaction_flag", "unusual_amount_flag", "velocity_flag", "international_risk_flag"]
 
 
+def _stat_aggregates() -> dict:
+    return {
+        "employee_avg_amount": F.avg("amount"),
+        "employee_amount_stddev": F.stddev_pop("amount"),
+    }
+
+
 def employee_transaction_stats(txn: DataFrame) -> DataFrame:
     """Mean and *population* standard deviation of approved amounts per
-    employee (over the whole sample, as the reference SQL does)."""
-    return (
-        approved_only(txn)
-        .groupBy("employee_id")
-        .agg(
-            F.avg("amount").alias("employee_avg_amount"),
-            F.stddev_pop("amount").alias("employee_amount_stddev"),
-        )
-    )
+    employee (over the whole sample, as the reference SQL does).  A partial
+    aggregate, so a hot employee is combined map-side."""
+    aggs = _stat_aggregates()
+    return approved_only(txn).groupBy("employee_id").agg(*[a.alias(n) for n, a in aggs.items()])
 
 
 def transaction_features(
@@ -51,10 +54,12 @@ def transaction_features(
         "amount", "is_international", "merchant_country", "is_fraud", "fraud_type",
     ]
     approved = approved_only(txn).select(*cols)
-    per_key = employee_transaction_stats(txn)
-    if employees is not None:
-        per_key = per_key.join(employees.select("employee_id", "employee_name"), "employee_id")
-    rows = annotate_bursts(approved, rules.burst_gap_minutes, skew, per_key=per_key)
+    per_key = employees.select("employee_id", "employee_name") if employees is not None else None
+    # T1 statistics over the same approved rows, computed inside the burst
+    # plan: window aggregates on the per-employee partition, or a partial
+    # aggregate on the per-bucket summary when employees are split.
+    rows = annotate_bursts(approved, rules.burst_gap_minutes, skew, per_key=per_key,
+                           key_aggregates=_stat_aggregates())
     if merchants is not None:
         rows = rows.join(merchants.select("merchant_id", "merchant_name", "category"), "merchant_id")
     return rows

@@ -157,6 +157,7 @@ def annotate_bursts(
     key: str = KEY,
     ts: str = TS,
     tid: str = TID,
+    key_aggregates: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Every input row plus ``previous_transaction_timestamp``,
     ``starts_new_burst``, ``burst_id`` (1-based per key) and
@@ -165,20 +166,32 @@ def annotate_bursts(
     A row starts a new burst when it has no predecessor or its timestamp is
     strictly more than ``gap_minutes`` after the predecessor's.
 
+    ``key_aggregates`` (name -> aggregate over the rows of a key) adds
+    per-key aggregates to every row: window aggregates over the per-key
+    partition when no key is hot (no extra scan or shuffle), a partial
+    aggregate joined to the per-bucket summary when hot keys are split.
+
     ``per_key`` (optional, keyed by ``key``) is inner-joined per employee:
     onto the rows when they are partitioned by employee, onto the per-bucket
     summary when hot employees are split, so the rows are never reshuffled
     for it.
     """
     gap_us = minutes_to_micros(gap_minutes)
+    aggs = dict(key_aggregates or {})
     extra = [c for c in per_key.columns if c != key] if per_key is not None else []
-    out_cols = approved.columns + extra + BURST_COLUMNS
+    out_cols = approved.columns + list(aggs) + extra + BURST_COLUMNS
     hot = detect_hot_keys(approved, skew, key, ts)
     if hot is None:
         rows = _bursts_per_key(approved, gap_us, key, ts, tid)
+        if aggs:
+            whole_key = Window.partitionBy(key)
+            rows = rows.select("*", *[agg.over(whole_key).alias(name) for name, agg in aggs.items()])
         if per_key is not None:
             rows = rows.join(per_key, key)
         return rows.select(*out_cols)
+    if aggs:
+        per_key_aggs = approved.groupBy(key).agg(*[agg.alias(name) for name, agg in aggs.items()])
+        per_key = per_key_aggs if per_key is None else per_key_aggs.join(per_key, key)
     rows = _with_buckets(approved, hot, key, ts)
 
     w = Window.partitionBy(key, _BKT).orderBy(_US, tid)
