@@ -94,30 +94,37 @@ def _with_buckets(df: DataFrame, hot: DataFrame, key: str, ts: str,
 
 _PROFILES: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 
+# Hot-key lists up to this many rows are brought back as a literal table;
+# longer ones (still at most N / rows_per_bucket rows) stay distributed.
+LOCAL_HOT_KEYS = 10_000
+
 
 def detect_hot_keys(approved: DataFrame, skew: SkewParams = DEFAULT_SKEW, key: str = KEY,
                     ts: str = TS) -> DataFrame | None:
     """Runs the sampled detection as one small job.
 
-    Returns the hot-key table as a literal DataFrame (at most
-    N / rows_per_bucket rows, so it may pass through the driver), or None
-    when no key is hot; the caller then plans the plain per-key windows.
-    With ``skew.reuse_profile`` the result is remembered per session for the
-    same (key, time) input plan, so several products over one table profile
-    it once.
+    Returns the hot-key table (at most N / rows_per_bucket rows, so it can
+    be broadcast), or None when no key is hot; the caller then plans the
+    plain per-key windows.  Only the first ``LOCAL_HOT_KEYS + 1`` rows are
+    fetched: a short list becomes a literal table, a longer one is left as
+    the distributed detection plan.  With ``skew.reuse_profile`` the result
+    is remembered per session for the same (key, time) input plan, so
+    several products over one table profile it once.
     """
     spark = approved.sparkSession
     cache_key = (approved.select(key, ts).semanticHash(), skew, key, ts)
     cache = _PROFILES.setdefault(spark, {})
+    hot = hot_key_buckets(approved, skew, key, ts)
     if skew.reuse_profile and cache_key in cache:
-        found, schema = cache[cache_key]
+        found = cache[cache_key]
     else:
-        hot = hot_key_buckets(approved, skew, key, ts)
-        found, schema = hot.collect(), hot.schema
-        cache[cache_key] = (found, schema)
+        found = hot.limit(LOCAL_HOT_KEYS + 1).collect()
+        cache[cache_key] = found
     if not found:
         return None
-    return spark.createDataFrame(found, schema)
+    if len(found) > LOCAL_HOT_KEYS:
+        return hot
+    return spark.createDataFrame(found, hot.schema)
 
 
 # --------------------------------------------------------------------------

@@ -61,3 +61,24 @@ def test_sweep_scans_events_once_per_branch(spark):
     df = queries()["velocity_threshold_experiment"](spark, SF0001)
     text = physical_plan(df, "simple")
     assert len(re.findall(r"Window \[count\(1\)", text)) == 1  # all widths in one window operator
+
+
+def test_status_filter_and_pruning_reach_parquet_on_stored_tables(spark, tmp_path):
+    """On the reference layout (transactions stored as Parquet) the approved
+    filter is a pushed Parquet filter and unused columns are not read."""
+    from spendwatch.operators import rules as R
+    from spendwatch.schemas import TRANSACTIONS
+    from spendwatch.sources import tables
+
+    from .helpers import txn_rows
+
+    path = str(tmp_path / "wh")
+    df = spark.createDataFrame(txn_rows([{"amount": 1.0}, {"amount": 2.0, "transaction_status": "declined"}]),
+                               TRANSACTIONS)
+    tables.save_tables({"transactions": df}, path)
+    txn = tables.load_table(spark, path, "transactions", "parquet")
+    scored = R.fraud_scored_transactions(txn)
+    (scan,) = {s for s in scans(scored) if "transactions.parquet" in s}
+    assert "EqualTo(transaction_status,approved)" in scan
+    assert "decline_reason" not in scan and "merchant_id" not in scan
+    assert scored.count() == 1

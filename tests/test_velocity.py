@@ -122,3 +122,16 @@ def test_hot_key_table_is_bounded(spark):
     assert [r["employee_id"] for r in hot] == [1]
     # about 10 rows per bucket: 40 minutes of data / 4 buckets
     assert 9 * 60_000_000 <= hot[0][V._BW] <= 11 * 60_000_000
+
+
+def test_long_hot_key_list_stays_distributed(spark, monkeypatch):
+    monkeypatch.setattr(V, "LOCAL_HOT_KEYS", 1)
+    specs = [{"employee_id": 1 + i % 3, "transaction_timestamp": at((i * 7) % 120)} for i in range(60)]
+    df = txn_df(spark, specs)
+    rows = [(i, s["employee_id"], s["transaction_timestamp"]) for i, s in enumerate(specs, start=1)]
+    skew = SkewParams(sample_fraction=1.0, rows_per_bucket=2, min_bucket_minutes=4, reuse_profile=False)
+    assert V.detect_hot_keys(df, skew) is not None
+    want = brute_bursts(rows, 10)
+    assert _sizes(V.velocity_burst_scored(df, RuleParams(), skew)) == {k: v[3] for k, v in want.items()}
+    counts = {r["transaction_id"]: r["transactions_in_window"] for r in V.rolling_transaction_count(df, 15, skew).collect()}
+    assert counts == brute_rolling(rows, 15)
