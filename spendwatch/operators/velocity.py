@@ -2,13 +2,16 @@
 
 Both rules order an employee's approved transactions in time.  A plain
 ``Window.partitionBy("employee_id")`` puts each employee in one task, so an
-employee holding a large share of all rows would serialize the job.  Here the
-ordered work is keyed by ``(employee_id, bucket)``:
-
-* ``hot_key_buckets`` samples the rows, estimates rows per employee and, for
-  employees above ``SkewParams.rows_per_bucket``, picks a time-bucket width
-  that gives buckets of about that many rows.  All other employees stay one
-  bucket.  The table has at most N / rows_per_bucket rows, so it is broadcast.
+employee holding a large share of all rows would serialize the job.
+
+* ``detect_hot_keys`` samples the rows (one small job), estimates rows per
+  employee and, for employees above ``SkewParams.rows_per_bucket``, picks a
+  time-bucket width that gives buckets of about that many rows.  The list has
+  at most N / rows_per_bucket rows, so it is broadcast.
+* No hot employee: the textbook plan, one exchange by employee feeding
+  ``lag``, the running sum and the burst count (and the RANGE counts).
+* Hot employees: the ordered work is keyed by ``(employee_id, bucket)``;
+  every other employee stays one bucket.
 * Bursts: each (employee, bucket) is segmented locally with ``lag`` and a
   running sum.  A per-bucket summary (min/max time, segment count, first and
   last segment size) is stitched across buckets with windows over the
@@ -199,6 +202,14 @@ def annotate_bursts(
     if aggs:
         per_key_aggs = approved.groupBy(key).agg(*[agg.alias(name) for name, agg in aggs.items()])
         per_key = per_key_aggs if per_key is None else per_key_aggs.join(per_key, key)
+    return _bursts_split(approved, hot, gap_us, per_key, key, ts, tid).select(*out_cols)
+
+
+def _bursts_split(approved: DataFrame, hot: DataFrame, gap_us: int, per_key: DataFrame | None,
+                  key: str, ts: str, tid: str) -> DataFrame:
+    """Hot keys split into time buckets: local segmentation per (key, bucket),
+    a per-bucket summary stitched across buckets, joined back on the rows'
+    own partitioning."""
     rows = _with_buckets(approved, hot, key, ts)
 
     w = Window.partitionBy(key, _BKT).orderBy(_US, tid)
@@ -285,7 +296,7 @@ def annotate_bursts(
             .cast("long"),
         )
     )
-    return out.select(*out_cols)
+    return out
 
 
 def approved_only(txn: DataFrame) -> DataFrame:
