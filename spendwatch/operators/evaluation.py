@@ -204,3 +204,18 @@ def best_velocity_config(experiment: DataFrame) -> DataFrame:
     return experiment.orderBy(
         F.desc("recall"), F.desc("precision"), F.asc("window_minutes"), F.asc("minimum_transactions")
     ).limit(1)
+
+
+def best_velocity_config_text(best: DataFrame) -> DataFrame:
+    """The highest-recall configuration as report text: "<k> transactions
+    within <w> minutes" and the rates as percentages with two decimals."""
+    def pct(c: str) -> Column:
+        return F.format_string("%.2f%%", F.col(c) * F.lit(100.0))
+
+    return best.select(
+        F.format_string("%d transactions within %d minutes", "minimum_transactions", "window_minutes")
+        .alias("configuration"),
+        pct("recall").alias("recall_pct"),
+        pct("precision").alias("precision_pct"),
+        pct("false_positive_rate").alias("false_positive_rate_pct"),
+    )

@@ -455,6 +455,26 @@ ORDER BY recall DESC, precision DESC, window_minutes, minimum_transactions""",
 SELECT * FROM experiment
 ORDER BY recall DESC, precision DESC, window_minutes, minimum_transactions
 LIMIT 1""",
+    "best_velocity_config_text": _with(_sweep_sql()) + """
+, best AS (
+    SELECT * FROM experiment
+    ORDER BY recall DESC, precision DESC, window_minutes, minimum_transactions
+    LIMIT 1
+)
+SELECT printf('%d transactions within %d minutes', minimum_transactions, window_minutes) AS configuration,
+       printf('%.2f%%', recall * 100.0) AS recall_pct,
+       printf('%.2f%%', precision * 100.0) AS precision_pct,
+       printf('%.2f%%', false_positive_rate * 100.0) AS false_positive_rate_pct
+FROM best""",
+    "table_row_count_lines": _with() + """
+, counts AS (
+    SELECT 'companies' AS table_name, COUNT(*) AS row_count FROM companies
+    UNION ALL SELECT 'employees', COUNT(*) FROM employees
+    UNION ALL SELECT 'merchants', COUNT(*) FROM merchants
+    UNION ALL SELECT 'transactions', COUNT(*) FROM transactions
+)
+SELECT table_name, 'Loaded ' || table_name || ': ' || format('{:,}', row_count) || ' rows' AS line
+FROM counts""",
     "table_row_counts": _with() + """
 SELECT 'companies' AS table_name, COUNT(*) AS row_count FROM companies
 UNION ALL SELECT 'employees', COUNT(*) FROM employees

@@ -140,8 +140,14 @@ QUERIES: dict[str, Query] = {
     ),
     "velocity_threshold_experiment": _experiment,
     "best_velocity_config": lambda s, sf: evaluation.best_velocity_config(_experiment(s, sf)),
+    "best_velocity_config_text": lambda s, sf: evaluation.best_velocity_config_text(
+        evaluation.best_velocity_config(_experiment(s, sf))
+    ),
     # P12-P15
     "table_row_counts": lambda s, sf: tables_src.table_row_counts(td.tables(s, sf)),
+    "table_row_count_lines": lambda s, sf: tables_src.table_row_count_lines(
+        tables_src.table_row_counts(td.tables(s, sf))
+    ),
     "fraud_label_distribution": lambda s, sf: enrich.fraud_label_distribution(_events(s, sf)),
     "eligible_employees": lambda s, sf: enrich.eligible_employees(_events(s, sf), 4),
     "enriched_transactions": _events,

@@ -67,3 +67,11 @@ def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def table_row_count_lines(counts: DataFrame) -> DataFrame:
+    """Load report lines: ``Loaded <table>: <n with thousands separators> rows``."""
+    return counts.select(
+        "table_name",
+        F.format_string("Loaded %s: %s rows", F.col("table_name"), F.format_number("row_count", 0)).alias("line"),
+    )

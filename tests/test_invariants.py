@@ -14,10 +14,12 @@ from .conftest import SF001
 
 def test_report_totals_agree(spark):
     txn = td.event_transactions(spark, SF001)
-    monthly = Rp.monthly_spend_overview(txn).agg(F.sum("transaction_count")).collect()[0][0]
+    monthly = Rp.monthly_spend_overview(txn).agg(F.sum("transaction_count"), F.sum("total_spend")).collect()[0]
     merchants = Rp.merchant_transaction_metrics(txn, td.merchants(spark, SF001))
-    m = merchants.agg(F.sum("total_transactions"), F.sum("approved_transactions")).collect()[0]
-    assert monthly == m[0] == txn.count()
+    m = merchants.agg(F.sum("total_transactions"), F.sum("approved_transactions"),
+                      F.sum("total_transaction_value")).collect()[0]
+    assert monthly[0] == m[0] == txn.count()
+    assert round(monthly[1], 2) == round(m[2], 2) == round(txn.agg(F.sum("amount")).collect()[0][0], 2)
     scored = R.fraud_scored_transactions(txn, TESTDATA_RULES)
     s = E.fraud_evaluation_summary(scored).collect()[0]
     assert m[1] == s["approved_transactions_scored"] == (

@@ -135,3 +135,35 @@ def test_long_hot_key_list_stays_distributed(spark, monkeypatch):
     assert _sizes(V.velocity_burst_scored(df, RuleParams(), skew)) == {k: v[3] for k, v in want.items()}
     counts = {r["transaction_id"]: r["transactions_in_window"] for r in V.rolling_transaction_count(df, 15, skew).collect()}
     assert counts == brute_rolling(rows, 15)
+
+
+def test_hot_employee_is_spread_over_partitions(spark):
+    """One employee with over a third of all rows: with splitting, no
+    partition of the (employee, bucket) shuffle holds most of the data."""
+    from pyspark.sql import functions as F
+
+    n = 30_000
+    base = spark.range(n).select(
+        F.col("id").alias("transaction_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 500 + 2).cast("long").alias("employee_id"),
+        (F.lit(at(0)).cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("id").cast("decimal(18,6)")))
+        .alias("transaction_timestamp"),
+    )
+    skew = SkewParams(sample_fraction=0.1, rows_per_bucket=500, min_bucket_minutes=1, reuse_profile=False)
+    hot = V.detect_hot_keys(base, skew)
+    assert [r["employee_id"] for r in hot.collect()] == [1]
+    bucketed = V._with_buckets(base, hot, "employee_id", "transaction_timestamp")
+    sizes = (bucketed.repartition(8, "employee_id", V._BKT)
+             .groupBy(F.spark_partition_id().alias("p")).count().collect())
+    assert max(r["count"] for r in sizes) < 0.3 * n  # unsplit, one partition would hold >= n / 3
+    # and the bursts are still exact
+    rows = [(r[0], r[1], r[2]) for r in base.where("employee_id = 1 or employee_id = 2").collect()]
+    sub = base.where("employee_id = 1 or employee_id = 2").select(
+        "*", F.lit(1).alias("company_id"), F.lit(1).cast("long").alias("merchant_id"), F.lit(1.0).alias("amount"),
+        F.lit("approved").alias("transaction_status"), F.lit(None).cast("string").alias("decline_reason"),
+        F.lit(False).alias("is_international"), F.lit("US").alias("merchant_country"), F.lit(0).alias("is_fraud"),
+        F.lit("none").alias("fraud_type"))
+    small = SkewParams(sample_fraction=1.0, rows_per_bucket=100, min_bucket_minutes=1, reuse_profile=False)
+    got = _sizes(V.velocity_burst_scored(sub, RuleParams(burst_gap_minutes=0.05), small))
+    want = {k: v[3] for k, v in brute_bursts(rows, 0.05).items()}
+    assert got == want
