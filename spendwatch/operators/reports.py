@@ -128,6 +128,44 @@ def merchant_status_counts(txn: DataFrame) -> DataFrame:
     )
 
 
+def _per_merchant(counts: DataFrame, with_top_reason: bool = False) -> DataFrame:
+    approved_n = F.sum(F.when(is_approved(), F.col("_n")).otherwise(0))
+    aggs = [
+        F.sum("_n").alias("total_transactions"),
+        approved_n.alias("approved_transactions"),
+        F.sum(F.when(is_declined(), F.col("_n")).otherwise(0)).alias("declined_transactions"),
+        F.sum("_amount").alias("_total_value"),
+        F.try_divide(F.sum(F.when(is_approved(), F.col("_amount"))), approved_n).alias("_avg_approved"),
+    ]
+    if with_top_reason:
+        # T12 as an aggregate: the declined (merchant, reason) group with the
+        # smallest (-count, reason is null, reason), i.e. the largest count,
+        # ties to the alphabetically first reason, NULL last -- the row that
+        # row_number() = 1 picks.  Approved groups have no ranking value and
+        # are skipped; a merchant without declines gets NULL.
+        rank = F.when(
+            is_declined(),
+            F.struct(
+                (-F.col("_n")).alias("neg_count"),
+                F.col("decline_reason").isNull().alias("null_last"),
+                F.col("decline_reason").alias("reason"),
+            ),
+        )
+        aggs.append(F.min_by("decline_reason", rank).alias("most_common_decline_reason"))
+    return counts.groupBy("merchant_id").agg(*aggs)
+
+
+_METRIC_COLUMNS = [
+    "merchant_id",
+    "merchant_name",
+    "category",
+    "merchant_country",
+    "total_transactions",
+    "approved_transactions",
+    "declined_transactions",
+]
+
+
 def merchant_transaction_metrics(txn: DataFrame, merchants: DataFrame,
                                  counts: DataFrame | None = None) -> DataFrame:
     """Per merchant: total/approved/declined counts, total value of all
@@ -138,23 +176,9 @@ def merchant_transaction_metrics(txn: DataFrame, merchants: DataFrame,
     ``merchant_status_counts`` result to derive from.
     """
     c = counts if counts is not None else merchant_status_counts(txn)
-    approved_n = F.sum(F.when(is_approved(), F.col("_n")).otherwise(0))
-    per_merchant = c.groupBy("merchant_id").agg(
-        F.sum("_n").alias("total_transactions"),
-        approved_n.alias("approved_transactions"),
-        F.sum(F.when(is_declined(), F.col("_n")).otherwise(0)).alias("declined_transactions"),
-        F.sum("_amount").alias("_total_value"),
-        F.try_divide(F.sum(F.when(is_approved(), F.col("_amount"))), approved_n).alias("_avg_approved"),
-    )
-    j = per_merchant.join(_merchant_dim(merchants), "merchant_id")
+    j = _per_merchant(c).join(_merchant_dim(merchants), "merchant_id")
     return j.select(
-        "merchant_id",
-        "merchant_name",
-        "category",
-        "merchant_country",
-        "total_transactions",
-        "approved_transactions",
-        "declined_transactions",
+        *_METRIC_COLUMNS,
         round_half_away("_total_value", 2).alias("total_transaction_value"),
         round_half_away("_avg_approved", 2).alias("avg_approved_transaction_amount"),
     )
@@ -198,10 +222,10 @@ def merchant_decline_analysis(txn: DataFrame, merchants: DataFrame,
     The band compares the *unrounded* decline rate; the shown rates are
     rounded to 2 decimals.
     """
-    counts = merchant_status_counts(txn)
-    metrics = merchant_transaction_metrics(txn, merchants, counts)
-    top = top_decline_reason(decline_reason_metrics(txn, merchants, counts))
-    j = metrics.join(top.select("merchant_id", "most_common_decline_reason"), "merchant_id", "left")
+    # One pass over the fact: (merchant, status, reason) partial aggregate,
+    # then one row per merchant carrying the metrics and the top reason.
+    per_merchant = _per_merchant(merchant_status_counts(txn), with_top_reason=True)
+    j = per_merchant.join(_merchant_dim(merchants), "merchant_id")
     total = F.col("total_transactions")
     approval = F.try_divide(F.lit(100.0) * F.col("approved_transactions"), total)
     decline = F.try_divide(F.lit(100.0) * F.col("declined_transactions"), total)
@@ -215,8 +239,8 @@ def merchant_decline_analysis(txn: DataFrame, merchants: DataFrame,
         "declined_transactions",
         round_half_away(approval, 2).alias("approval_rate_pct"),
         round_half_away(decline, 2).alias("decline_rate_pct"),
-        "total_transaction_value",
-        "avg_approved_transaction_amount",
+        round_half_away("_total_value", 2).alias("total_transaction_value"),
+        round_half_away("_avg_approved", 2).alias("avg_approved_transaction_amount"),
         "most_common_decline_reason",
         F.when(decline >= params.high_pct, F.lit("high_decline_risk"))
         .when(decline >= params.monitor_pct, F.lit("monitor"))

@@ -82,3 +82,20 @@ def test_top_reason_and_semi_join(spark):
     reasons = Rp.decline_reason_metrics(txn_df(spark, specs), _merchants(spark))
     top = Rp.top_decline_reason(reasons).collect()
     assert [(r["most_common_decline_reason"], r["decline_count"], r["reason_rank"]) for r in top] == [("b", 2, 1)]
+
+
+def test_top_reason_null_ranks_last_on_ties(spark):
+    specs = [
+        {"merchant_id": 1, "transaction_status": "declined", "decline_reason": None},
+        {"merchant_id": 1, "transaction_status": "declined", "decline_reason": "zeta"},
+        {"merchant_id": 2, "transaction_status": "declined", "decline_reason": None},
+        {"merchant_id": 2, "transaction_status": "declined", "decline_reason": None},
+        {"merchant_id": 2, "transaction_status": "declined", "decline_reason": "alpha"},
+    ]
+    txn = txn_df(spark, specs)
+    out = {r["merchant_id"]: r["most_common_decline_reason"]
+           for r in Rp.merchant_decline_analysis(txn, _merchants(spark)).collect()}
+    assert out == {1: "zeta", 2: None}  # tie -> non-NULL first; larger NULL group wins
+    by_window = {r["merchant_id"]: r["most_common_decline_reason"]
+                 for r in Rp.top_decline_reason(Rp.decline_reason_metrics(txn, _merchants(spark))).collect()}
+    assert by_window == out
