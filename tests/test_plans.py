@@ -82,3 +82,13 @@ def test_status_filter_and_pruning_reach_parquet_on_stored_tables(spark, tmp_pat
     assert "EqualTo(transaction_status,approved)" in scan
     assert "decline_reason" not in scan and "merchant_id" not in scan
     assert scored.count() == 1
+
+
+@pytest.mark.parametrize("name", ["monthly_spend_overview", "budget_risk_alerts", "merchant_decline_analysis",
+                                  "fraud_alerts", "fraud_scored_transactions", "fraud_evaluation_by_type",
+                                  "velocity_threshold_experiment", "velocity_burst_evaluation"])
+def test_products_read_the_fact_once(spark, name):
+    df = queries()[name](spark, SF0001)
+    df.collect()
+    text = physical_plan(df, "simple").split("== Initial Plan ==")[0]
+    assert len(re.findall(r"FileScan parquet [^\n]*(?:events|orders)\.parquet", text)) == 1, text
