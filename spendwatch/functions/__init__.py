@@ -7,6 +7,8 @@ from spendwatch.functions.exprs import (  # noqa: F401
     is_approved,
     is_declined,
     minutes_to_micros,
+    money_avg,
+    money_sum,
     month_start,
     round_half_away,
     safe_divide,

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 APPROVED = "approved"
 DECLINED = "declined"
@@ -39,6 +40,29 @@ def safe_divide(numerator: Column | str, denominator: Column | str) -> Column:
     )
 
 
+# Money is summed as an exact decimal (amounts carry at most 6 decimals; cents
+# in practice) and converted to double once.  A double sum depends on the
+# order rows are added in, i.e. on partitioning; near a rounding tie (an
+# average of exactly x.xx5) that decides the rounded report value.  The exact
+# sum gives the same double on any cluster and in any engine.
+MONEY_TYPE = "decimal(24,6)"
+
+
+def _over(agg: Column, window: WindowSpec | None) -> Column:
+    return agg if window is None else agg.over(window)
+
+
+def money_sum(col: Column | str, window: WindowSpec | None = None) -> Column:
+    """Exact sum of an amount column, as double (NULL over no rows); a window
+    aggregate when ``window`` is given."""
+    return _over(F.sum(_c(col).cast(MONEY_TYPE)), window).cast("double")
+
+
+def money_avg(col: Column | str, window: WindowSpec | None = None) -> Column:
+    """Mean of an amount column from its exact sum (NULLs ignored, as AVG)."""
+    return F.try_divide(money_sum(col, window), _over(F.count(_c(col)), window))
+
+
 def zero_if_null(col: Column | str) -> Column:
     """An aggregate over no rows gives NULL; report it as 0."""
     return F.coalesce(_c(col), F.lit(0))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendwatch.functions.exprs import round_half_away, safe_divide, zero_if_null
+from spendwatch.functions.exprs import money_avg, money_sum, round_half_away, safe_divide, zero_if_null
 from spendwatch.operators.velocity import (
     approved_only,
     window_count_column,
@@ -64,8 +64,8 @@ def fraud_evaluation_summary(scored: DataFrame) -> DataFrame:
         zero_if_null(F.sum("predicted_fraud")).cast("long").alias("alerts_generated"),
         *confusion_aggregates(fraud, pred),
         F.avg("predicted_fraud").alias("_alert_rate"),
-        F.coalesce(F.sum(F.when(fraud, F.col("amount"))), F.lit(0.0)).alias("_fraud_dollars"),
-        F.coalesce(F.sum(F.when(fraud & pred, F.col("amount"))), F.lit(0.0)).alias("_captured"),
+        F.coalesce(money_sum(F.when(fraud, F.col("amount"))), F.lit(0.0)).alias("_fraud_dollars"),
+        F.coalesce(money_sum(F.when(fraud & pred, F.col("amount"))), F.lit(0.0)).alias("_captured"),
     )
     return agg.select(
         "approved_transactions_scored",
@@ -96,8 +96,8 @@ def fraud_evaluation_by_type(scored: DataFrame, amount_digits: int | None = None
         .agg(
             F.sum("is_fraud").cast("long").alias("fraud_transactions"),
             F.sum("predicted_fraud").cast("long").alias("detected_transactions"),
-            F.avg("amount").alias("average_amount"),
-            F.sum("amount").alias("fraud_dollars"),
+            money_avg("amount").alias("average_amount"),
+            money_sum("amount").alias("fraud_dollars"),
         )
     )
     if amount_digits is not None:

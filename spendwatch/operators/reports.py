@@ -10,8 +10,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendwatch.functions.exprs import (
+    MONEY_TYPE,
     is_approved,
     is_declined,
+    money_avg,
+    money_sum,
     month_start,
     round_half_away,
 )
@@ -32,8 +35,8 @@ def monthly_spend_overview(txn: DataFrame) -> DataFrame:
         txn.groupBy(month_start(TS).alias("transaction_month"))
         .agg(
             F.count(F.lit(1)).alias("transaction_count"),
-            round_half_away(F.sum("amount"), 2).alias("total_spend"),
-            round_half_away(F.avg("amount"), 2).alias("average_transaction_amount"),
+            round_half_away(money_sum("amount"), 2).alias("total_spend"),
+            round_half_away(money_avg("amount"), 2).alias("average_transaction_amount"),
             round_half_away(
                 F.lit(100.0) * F.avg(F.when(is_approved(), 1).otherwise(0)), 2
             ).alias("approval_rate_pct"),
@@ -52,7 +55,7 @@ def monthly_employee_spend(txn: DataFrame) -> DataFrame:
     declined rows gives 0, a month without rows is absent."""
     return txn.groupBy(
         month_start(TS).alias("spend_month"), "employee_id", "company_id"
-    ).agg(F.sum(F.when(is_approved(), F.col("amount")).otherwise(F.lit(0.0))).alias("monthly_spend"))
+    ).agg(money_sum(F.when(is_approved(), F.col("amount")).otherwise(F.lit(0.0))).alias("monthly_spend"))
 
 
 def employee_budget_usage(txn: DataFrame, employees: DataFrame) -> DataFrame:
@@ -124,7 +127,8 @@ def merchant_status_counts(txn: DataFrame) -> DataFrame:
     reasons) rows after it)."""
     return txn.groupBy("merchant_id", "transaction_status", "decline_reason").agg(
         F.count(F.lit(1)).alias("_n"),
-        F.sum("amount").alias("_amount"),
+        F.count("amount").alias("_n_amount"),
+        F.sum(F.col("amount").cast(MONEY_TYPE)).alias("_amount"),  # exact, see money_sum
     )
 
 
@@ -134,8 +138,11 @@ def _per_merchant(counts: DataFrame, with_top_reason: bool = False) -> DataFrame
         F.sum("_n").alias("total_transactions"),
         approved_n.alias("approved_transactions"),
         F.sum(F.when(is_declined(), F.col("_n")).otherwise(0)).alias("declined_transactions"),
-        F.sum("_amount").alias("_total_value"),
-        F.try_divide(F.sum(F.when(is_approved(), F.col("_amount"))), approved_n).alias("_avg_approved"),
+        F.sum("_amount").cast("double").alias("_total_value"),
+        F.try_divide(
+            F.sum(F.when(is_approved(), F.col("_amount"))).cast("double"),
+            F.sum(F.when(is_approved(), F.col("_n_amount"))),
+        ).alias("_avg_approved"),
     ]
     if with_top_reason:
         # T12 as an aggregate: the declined (merchant, reason) group with the

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendwatch.functions.exprs import round_half_away
+from spendwatch.functions.exprs import money_avg, round_half_away
 from spendwatch.operators.velocity import annotate_bursts, approved_only
 from spendwatch.params import DEFAULT_RULES, DEFAULT_SKEW, RuleParams, SkewParams
 
@@ -22,9 +22,10 @@ FLAGS = ["large_transaction_flag", "unusual_amount_flag", "velocity_flag", "inte
 
 
 def _stat_aggregates() -> dict:
+    """T1 aggregates as functions of an optional window spec."""
     return {
-        "employee_avg_amount": F.avg("amount"),
-        "employee_amount_stddev": F.stddev_pop("amount"),
+        "employee_avg_amount": lambda w: money_avg("amount", w),
+        "employee_amount_stddev": lambda w: F.stddev_pop("amount") if w is None else F.stddev_pop("amount").over(w),
     }
 
 
@@ -33,7 +34,7 @@ def employee_transaction_stats(txn: DataFrame) -> DataFrame:
     employee (over the whole sample, as the reference SQL does).  A partial
     aggregate, so a hot employee is combined map-side."""
     aggs = _stat_aggregates()
-    return approved_only(txn).groupBy("employee_id").agg(*[a.alias(n) for n, a in aggs.items()])
+    return approved_only(txn).groupBy("employee_id").agg(*[a(None).alias(n) for n, a in aggs.items()])
 
 
 def transaction_features(

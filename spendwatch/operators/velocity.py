@@ -29,10 +29,11 @@ Rows that share a timestamp are ordered by ``transaction_id`` everywhere, so
 from __future__ import annotations
 
 import weakref
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from spendwatch.functions.exprs import epoch_micros, is_approved, minutes_to_micros
 from spendwatch.params import DEFAULT_SKEW, RuleParams, SkewParams
@@ -167,7 +168,7 @@ def annotate_bursts(
     key: str = KEY,
     ts: str = TS,
     tid: str = TID,
-    key_aggregates: dict[str, Column] | None = None,
+    key_aggregates: dict[str, Callable[[WindowSpec | None], Column]] | None = None,
 ) -> DataFrame:
     """Every input row plus ``previous_transaction_timestamp``,
     ``starts_new_burst``, ``burst_id`` (1-based per key) and
@@ -176,10 +177,11 @@ def annotate_bursts(
     A row starts a new burst when it has no predecessor or its timestamp is
     strictly more than ``gap_minutes`` after the predecessor's.
 
-    ``key_aggregates`` (name -> aggregate over the rows of a key) adds
-    per-key aggregates to every row: window aggregates over the per-key
-    partition when no key is hot (no extra scan or shuffle), a partial
-    aggregate joined to the per-bucket summary when hot keys are split.
+    ``key_aggregates`` (name -> function of a window spec, or None, returning
+    an aggregate over the rows of a key) adds per-key aggregates to every
+    row: window aggregates over the per-key partition when no key is hot (no
+    extra scan or shuffle), a partial aggregate joined to the per-bucket
+    summary when hot keys are split.
 
     ``per_key`` (optional, keyed by ``key``) is inner-joined per employee:
     onto the rows when they are partitioned by employee, onto the per-bucket
@@ -195,12 +197,12 @@ def annotate_bursts(
         rows = _bursts_per_key(approved, gap_us, key, ts, tid)
         if aggs:
             whole_key = Window.partitionBy(key)
-            rows = rows.select("*", *[agg.over(whole_key).alias(name) for name, agg in aggs.items()])
+            rows = rows.select("*", *[agg(whole_key).alias(name) for name, agg in aggs.items()])
         if per_key is not None:
             rows = rows.join(per_key, key)
         return rows.select(*out_cols)
     if aggs:
-        per_key_aggs = approved.groupBy(key).agg(*[agg.alias(name) for name, agg in aggs.items()])
+        per_key_aggs = approved.groupBy(key).agg(*[agg(None).alias(name) for name, agg in aggs.items()])
         per_key = per_key_aggs if per_key is None else per_key_aggs.join(per_key, key)
     return _bursts_split(approved, hot, gap_us, per_key, key, ts, tid).select(*out_cols)
 

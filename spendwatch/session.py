@@ -21,6 +21,9 @@ LOCAL_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     # Full ReadSchema / PushedFilters in explain output.
     "spark.sql.maxMetadataStringLength": "1000",
+    # PySpark 4 records the Python call site of every Column function for
+    # error messages (several JVM round trips per call); off for local runs.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -99,3 +99,21 @@ def test_top_reason_null_ranks_last_on_ties(spark):
     by_window = {r["merchant_id"]: r["most_common_decline_reason"]
                  for r in Rp.top_decline_reason(Rp.decline_reason_metrics(txn, _merchants(spark))).collect()}
     assert by_window == out
+
+
+def test_money_results_do_not_depend_on_partitioning(spark):
+    # 64 amounts whose mean is exactly 53.685 (a rounding tie): a double sum
+    # depends on the order rows are added; the exact sum does not.
+    amounts = [round(10.0 + (i * 7919 % 9000) / 100.0, 2) for i in range(63)]
+    amounts.append(round(53.685 * 64 - sum(amounts), 2))
+    assert abs(sum(amounts) / 64 - 53.685) < 1e-9
+    specs = [{"merchant_id": 1, "amount": a, "transaction_timestamp": at(i)} for i, a in enumerate(amounts)]
+    base = txn_df(spark, specs)
+    seen = set()
+    for parts in (1, 3, 7, 16):
+        txn = base.repartition(parts)
+        p1 = Rp.monthly_spend_overview(txn).collect()[0]
+        p4 = Rp.merchant_decline_analysis(txn, _merchants(spark)).collect()[0]
+        seen.add((p1["total_spend"], p1["average_transaction_amount"], p4["avg_approved_transaction_amount"],
+                  p4["total_transaction_value"]))
+    assert len(seen) == 1
