@@ -9,6 +9,8 @@ from spendwatch.functions.exprs import (  # noqa: F401
     minutes_to_micros,
     money_avg,
     money_sum,
+    money_units,
+    units_to_money,
     month_start,
     round_half_away,
     safe_divide,

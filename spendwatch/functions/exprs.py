@@ -40,12 +40,25 @@ def safe_divide(numerator: Column | str, denominator: Column | str) -> Column:
     )
 
 
-# Money is summed as an exact decimal (amounts carry at most 6 decimals; cents
-# in practice) and converted to double once.  A double sum depends on the
-# order rows are added in, i.e. on partitioning; near a rounding tie (an
-# average of exactly x.xx5) that decides the rounded report value.  The exact
-# sum gives the same double on any cluster and in any engine.
-MONEY_TYPE = "decimal(24,6)"
+# Money is summed exactly and converted to double once.  A double sum depends
+# on the order rows are added in, i.e. on partitioning; near a rounding tie (a
+# mean of exactly x.xx5) that decides the rounded report value.  Each amount
+# becomes an integer number of micro-units (exact for amounts with up to 6
+# decimals, cents in practice) and the integers are accumulated as
+# decimal(38,0), which cannot overflow; integer-to-decimal and decimal
+# addition stay on Spark's long fast path, about 3x the cost of a double sum
+# where a double-to-decimal cast per row is about 5x.
+MICRO_UNITS = 1_000_000
+
+
+def money_units(col: Column | str) -> Column:
+    """An amount as an exact integer count of micro-units (decimal(38,0))."""
+    return F.rint(_c(col) * F.lit(float(MICRO_UNITS))).cast("long").cast("decimal(38,0)")
+
+
+def units_to_money(units: Column) -> Column:
+    """A micro-unit total back to a double amount."""
+    return units.cast("double") / F.lit(float(MICRO_UNITS))
 
 
 def _over(agg: Column, window: WindowSpec | None) -> Column:
@@ -55,7 +68,7 @@ def _over(agg: Column, window: WindowSpec | None) -> Column:
 def money_sum(col: Column | str, window: WindowSpec | None = None) -> Column:
     """Exact sum of an amount column, as double (NULL over no rows); a window
     aggregate when ``window`` is given."""
-    return _over(F.sum(_c(col).cast(MONEY_TYPE)), window).cast("double")
+    return units_to_money(_over(F.sum(money_units(col)), window))
 
 
 def money_avg(col: Column | str, window: WindowSpec | None = None) -> Column:

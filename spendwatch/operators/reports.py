@@ -10,13 +10,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendwatch.functions.exprs import (
-    MONEY_TYPE,
     is_approved,
     is_declined,
     money_avg,
     money_sum,
+    money_units,
     month_start,
     round_half_away,
+    units_to_money,
 )
 from spendwatch.params import DEFAULT_BUDGET, DEFAULT_DECLINE, BudgetParams, DeclineParams
 
@@ -128,7 +129,7 @@ def merchant_status_counts(txn: DataFrame) -> DataFrame:
     return txn.groupBy("merchant_id", "transaction_status", "decline_reason").agg(
         F.count(F.lit(1)).alias("_n"),
         F.count("amount").alias("_n_amount"),
-        F.sum(F.col("amount").cast(MONEY_TYPE)).alias("_amount"),  # exact, see money_sum
+        F.sum(money_units("amount")).alias("_amount"),  # exact, see money_sum
     )
 
 
@@ -138,9 +139,9 @@ def _per_merchant(counts: DataFrame, with_top_reason: bool = False) -> DataFrame
         F.sum("_n").alias("total_transactions"),
         approved_n.alias("approved_transactions"),
         F.sum(F.when(is_declined(), F.col("_n")).otherwise(0)).alias("declined_transactions"),
-        F.sum("_amount").cast("double").alias("_total_value"),
+        units_to_money(F.sum("_amount")).alias("_total_value"),
         F.try_divide(
-            F.sum(F.when(is_approved(), F.col("_amount"))).cast("double"),
+            units_to_money(F.sum(F.when(is_approved(), F.col("_amount")))),
             F.sum(F.when(is_approved(), F.col("_n_amount"))),
         ).alias("_avg_approved"),
     ]
