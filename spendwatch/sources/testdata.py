@@ -160,7 +160,7 @@ def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The four reference tables over the test tables (events as the fact)."""
     return {
         "companies": companies(spark, sf_dir),
-        "employees": employees(spark, sf_dir).drop(),
+        "employees": employees(spark, sf_dir),
         "merchants": merchants(spark, sf_dir).drop("n_regionkey"),
         "transactions": event_transactions(spark, sf_dir),
     }

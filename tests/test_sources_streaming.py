@@ -105,3 +105,17 @@ def test_streaming_bursts_match_batch(spark):
     static_sessions = bursts.burst_sessions(static, rules, watermark=None).collect()
     assert sorted((r["employee_id"], r["burst_start"], r["transactions_in_burst"]) for r in static_sessions) == want
     assert {r["transactions_in_burst"]: r["predicted_velocity_fraud"] for r in static_sessions}[4] == 1
+
+
+def test_cli_load_reports_evaluate(spark, tmp_path):
+    from spendwatch import cli
+
+    wh, out = str(tmp_path / "wh"), str(tmp_path / "out")
+    cli.main(["load", "--input", _csv_dir(), "--warehouse", wh])
+    cli.main(["reports", "--warehouse", wh, "--output", out, "--format", "csv"])
+    cli.main(["evaluate", "--warehouse", wh, "--output", out])
+    assert sorted(os.listdir(out)) == sorted([
+        "budget_risk_alerts", "fraud_alerts", "merchant_decline_analysis", "monthly_spend_overview",
+        "fraud_rule_evaluation_by_type", "fraud_rule_evaluation_summary", "fraud_rule_scored_transactions",
+        "velocity_burst_evaluation", "velocity_threshold_experiment"])
+    assert spark.read.parquet(os.path.join(out, "fraud_rule_scored_transactions")).count() == 2
