@@ -10,8 +10,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-APPROVED = "approved"
-DECLINED = "declined"
+from spendwatch.params import STATUS_APPROVED, STATUS_DECLINED
+
+APPROVED = STATUS_APPROVED
+DECLINED = STATUS_DECLINED
 
 _MICROS_PER_DAY = 86_400_000_000
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendwatch.functions.exprs import is_declined
+from spendwatch.params import HOME_COUNTRY
 
 TRANSACTION_COLUMNS = [
     "transaction_id",
@@ -27,7 +28,7 @@ def enrich_transactions(
     raw: DataFrame,
     employees: DataFrame,
     merchants: DataFrame,
-    home_country: str = "US",
+    home_country: str = HOME_COUNTRY,
     international: Column | None = None,
 ) -> DataFrame:
     """The transactions fact table from raw card events.

@@ -16,9 +16,20 @@ from spendwatch.operators.velocity import (
     window_count_column,
     with_rolling_counts,
 )
-from spendwatch.params import DEFAULT_SKEW, DEFAULT_SWEEP, RuleParams, SkewParams, SweepParams
+from spendwatch.params import (
+    BEST_CONFIG_FORMAT,
+    BURST_METHOD_FORMAT,
+    DEFAULT_SKEW,
+    DEFAULT_SWEEP,
+    FRAUD_NONE,
+    FRAUD_VELOCITY,
+    PERCENT_FORMAT,
+    RuleParams,
+    SkewParams,
+    SweepParams,
+)
 
-VELOCITY_LABEL = "velocity_attack"
+VELOCITY_LABEL = FRAUD_VELOCITY
 
 
 def _count_if(cond: Column) -> Column:
@@ -91,7 +102,7 @@ def fraud_evaluation_by_type(scored: DataFrame, amount_digits: int | None = None
     leaves them unrounded).
     """
     per_type = (
-        scored.where((F.col("fraud_type") != F.lit("none")) & F.col("fraud_type").isNotNull())
+        scored.where((F.col("fraud_type") != F.lit(FRAUD_NONE)) & F.col("fraud_type").isNotNull())
         .groupBy("fraud_type")
         .agg(
             F.sum("is_fraud").cast("long").alias("fraud_transactions"),
@@ -120,7 +131,7 @@ def fraud_risk_level_counts(scored: DataFrame) -> DataFrame:
 def burst_method_name(rules: RuleParams) -> str:
     gap = rules.burst_gap_minutes
     gap_txt = str(int(gap)) if float(gap).is_integer() else str(gap)
-    return f"burst_level_{rules.burst_min_transactions}_transactions_{gap_txt}_minutes"
+    return BURST_METHOD_FORMAT.format(minimum=rules.burst_min_transactions, gap=gap_txt)
 
 
 def velocity_burst_evaluation(burst_scored: DataFrame, rules: RuleParams) -> DataFrame:
@@ -210,10 +221,10 @@ def best_velocity_config_text(best: DataFrame) -> DataFrame:
     """The highest-recall configuration as report text: "<k> transactions
     within <w> minutes" and the rates as percentages with two decimals."""
     def pct(c: str) -> Column:
-        return F.format_string("%.2f%%", F.col(c) * F.lit(100.0))
+        return F.format_string(PERCENT_FORMAT, F.col(c) * F.lit(100.0))
 
     return best.select(
-        F.format_string("%d transactions within %d minutes", "minimum_transactions", "window_minutes")
+        F.format_string(BEST_CONFIG_FORMAT, "minimum_transactions", "window_minutes")
         .alias("configuration"),
         pct("recall").alias("recall_pct"),
         pct("precision").alias("precision_pct"),

@@ -19,7 +19,18 @@ from spendwatch.functions.exprs import (
     round_half_away,
     units_to_money,
 )
-from spendwatch.params import DEFAULT_BUDGET, DEFAULT_DECLINE, BudgetParams, DeclineParams
+from spendwatch.params import (
+    BUDGET_AT_RISK,
+    BUDGET_OVER,
+    BUDGET_WITHIN,
+    DEFAULT_BUDGET,
+    DEFAULT_DECLINE,
+    HEALTH_HIGH,
+    HEALTH_MONITOR,
+    HEALTH_OK,
+    BudgetParams,
+    DeclineParams,
+)
 
 TS = "transaction_timestamp"
 
@@ -88,9 +99,9 @@ def with_budget_status(usage: DataFrame, params: BudgetParams = DEFAULT_BUDGET)
     pct = F.col("budget_used_pct")
     return usage.withColumn(
         "budget_status",
-        F.when(pct >= params.over_pct, F.lit("over_budget"))
-        .when(pct >= params.at_risk_pct, F.lit("at_risk"))
-        .otherwise(F.lit("within_budget")),
+        F.when(pct >= params.over_pct, F.lit(BUDGET_OVER))
+        .when(pct >= params.at_risk_pct, F.lit(BUDGET_AT_RISK))
+        .otherwise(F.lit(BUDGET_WITHIN)),
     )
 
 
@@ -250,9 +261,9 @@ def merchant_decline_analysis(txn: DataFrame, merchants: DataFrame,
         round_half_away("_total_value", 2).alias("total_transaction_value"),
         round_half_away("_avg_approved", 2).alias("avg_approved_transaction_amount"),
         "most_common_decline_reason",
-        F.when(decline >= params.high_pct, F.lit("high_decline_risk"))
-        .when(decline >= params.monitor_pct, F.lit("monitor"))
-        .otherwise(F.lit("healthy"))
+        F.when(decline >= params.high_pct, F.lit(HEALTH_HIGH))
+        .when(decline >= params.monitor_pct, F.lit(HEALTH_MONITOR))
+        .otherwise(F.lit(HEALTH_OK))
         .alias("merchant_payment_health"),
     )
     return out.orderBy(

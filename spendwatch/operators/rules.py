@@ -16,7 +16,15 @@ from pyspark.sql import functions as F
 
 from spendwatch.functions.exprs import money_avg, round_half_away
 from spendwatch.operators.velocity import annotate_bursts, approved_only
-from spendwatch.params import DEFAULT_RULES, DEFAULT_SKEW, RuleParams, SkewParams
+from spendwatch.params import (
+    DEFAULT_RULES,
+    DEFAULT_SKEW,
+    RISK_HIGH,
+    RISK_LOW,
+    RISK_MEDIUM,
+    RuleParams,
+    SkewParams,
+)
 
 FLAGS = ["large_transaction_flag", "unusual_amount_flag", "velocity_flag", "international_risk_flag"]
 
@@ -109,9 +117,9 @@ def with_risk_score(flagged: DataFrame, rules: RuleParams = DEFAULT_RULES) -> Da
     s = F.col("fraud_risk_score")
     return out.withColumn(
         "fraud_risk_level",
-        F.when(s >= rules.high_risk_score, F.lit("high_risk"))
-        .when(s >= rules.alert_min_score, F.lit("medium_risk"))
-        .otherwise(F.lit("low_risk")),
+        F.when(s >= rules.high_risk_score, F.lit(RISK_HIGH))
+        .when(s >= rules.alert_min_score, F.lit(RISK_MEDIUM))
+        .otherwise(F.lit(RISK_LOW)),
     )
 
 

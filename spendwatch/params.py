@@ -8,6 +8,40 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+# ---------------------------------------------------------------------------
+# These must equal the reference's outputs exactly.
+# ---------------------------------------------------------------------------
+# Transaction status values.
+STATUS_APPROVED = "approved"
+STATUS_DECLINED = "declined"
+# Fraud labels: no fraud, then the three injected kinds.
+FRAUD_NONE = "none"
+FRAUD_LARGE_AMOUNT = "large_amount"
+FRAUD_INTERNATIONAL = "international_purchase"
+FRAUD_VELOCITY = "velocity_attack"
+# Fraud risk levels, highest first.
+RISK_HIGH = "high_risk"
+RISK_MEDIUM = "medium_risk"
+RISK_LOW = "low_risk"
+# Budget statuses, highest first.
+BUDGET_OVER = "over_budget"
+BUDGET_AT_RISK = "at_risk"
+BUDGET_WITHIN = "within_budget"
+# Merchant payment-health bands, worst first.
+HEALTH_HIGH = "high_decline_risk"
+HEALTH_MONITOR = "monitor"
+HEALTH_OK = "healthy"
+# Name of the burst method in its evaluation row.
+BURST_METHOD_FORMAT = "burst_level_{minimum}_transactions_{gap}_minutes"
+# Country of the card programme: other merchant countries are international.
+HOME_COUNTRY = "US"
+# Report text formats.
+BEST_CONFIG_FORMAT = "%d transactions within %d minutes"
+PERCENT_FORMAT = "%.2f%%"
+LOAD_LINE_FORMAT = "Loaded %s: %s rows"
+# Rule thresholds, bands and the sweep grid are the defaults of the
+# dataclasses below; they are fixed values too.
+
 
 @dataclass(frozen=True)
 class RuleParams:

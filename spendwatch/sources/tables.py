@@ -7,6 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spendwatch.params import LOAD_LINE_FORMAT
 from spendwatch.schemas import TABLES
 
 TABLE_NAMES = ("companies", "employees", "merchants", "transactions")
@@ -73,5 +74,5 @@ def table_row_count_lines(counts: DataFrame) -> DataFrame:
     """Load report lines: ``Loaded <table>: <n with thousands separators> rows``."""
     return counts.select(
         "table_name",
-        F.format_string("Loaded %s: %s rows", F.col("table_name"), F.format_number("row_count", 0)).alias("line"),
+        F.format_string(LOAD_LINE_FORMAT, F.col("table_name"), F.format_number("row_count", 0)).alias("line"),
     )

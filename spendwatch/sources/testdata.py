@@ -31,6 +31,12 @@ from pyspark.sql import functions as F
 
 from spendwatch.functions.exprs import APPROVED, DECLINED
 from spendwatch.operators.enrich import enrich_transactions
+from spendwatch.params import (
+    FRAUD_INTERNATIONAL,
+    FRAUD_LARGE_AMOUNT,
+    FRAUD_NONE,
+    FRAUD_VELOCITY,
+)
 
 INTERNATIONAL_REGION = 4
 
@@ -103,10 +109,10 @@ def raw_event_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     declined = F.col("event_type") == F.lit("error")
     labeled = ~declined & (k >= 95)
     fraud_type = (
-        F.when(~labeled, F.lit("none"))
-        .when(k <= 96, F.lit("large_amount"))
-        .when(k <= 98, F.lit("international_purchase"))
-        .otherwise(F.lit("velocity_attack"))
+        F.when(~labeled, F.lit(FRAUD_NONE))
+        .when(k <= 96, F.lit(FRAUD_LARGE_AMOUNT))
+        .when(k <= 98, F.lit(FRAUD_INTERNATIONAL))
+        .otherwise(F.lit(FRAUD_VELOCITY))
     )
     return e.select(
         F.col("event_id").alias("transaction_id"),
@@ -133,7 +139,7 @@ def raw_order_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(declined, F.lit(DECLINED)).otherwise(F.lit(APPROVED)).alias("transaction_status"),
         F.col("o_orderpriority").alias("decline_reason"),
         F.lit(0).alias("is_fraud"),
-        F.lit("none").alias("fraud_type"),
+        F.lit(FRAUD_NONE).alias("fraud_type"),
     )
 
 
