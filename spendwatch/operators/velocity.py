@@ -118,17 +118,17 @@ def detect_hot_keys(approved: DataFrame, skew: SkewParams = DEFAULT_SKEW, key: s
     spark = approved.sparkSession
     cache_key = (approved.select(key, ts).semanticHash(), skew, key, ts)
     cache = _PROFILES.setdefault(spark, {})
-    hot = hot_key_buckets(approved, skew, key, ts)
     if skew.reuse_profile and cache_key in cache:
-        found = cache[cache_key]
+        found, schema = cache[cache_key]
     else:
-        found = hot.limit(LOCAL_HOT_KEYS + 1).collect()
-        cache[cache_key] = found
+        hot = hot_key_buckets(approved, skew, key, ts)
+        found, schema = hot.limit(LOCAL_HOT_KEYS + 1).collect(), hot.schema
+        cache[cache_key] = (found, schema)
     if not found:
         return None
     if len(found) > LOCAL_HOT_KEYS:
-        return hot
-    return spark.createDataFrame(found, hot.schema)
+        return hot_key_buckets(approved, skew, key, ts)
+    return spark.createDataFrame(found, schema)
 
 
 # --------------------------------------------------------------------------

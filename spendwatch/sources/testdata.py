@@ -54,6 +54,20 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return cache[path]
 
 
+def _memo(fn):
+    """Keep the (lazy, immutable) adapter DataFrame per session and folder."""
+    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+        cache = _READS.setdefault(spark, {})
+        key = (fn.__name__, sf_dir)
+        if key not in cache:
+            cache[key] = fn(spark, sf_dir)
+        return cache[key]
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
+@_memo
 def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _read(spark, sf_dir, "customer")
     return c.select(
@@ -65,6 +79,7 @@ def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_memo
 def merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _read(spark, sf_dir, "supplier")
     n = _read(spark, sf_dir, "nation")
@@ -77,6 +92,7 @@ def merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_memo
 def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = _read(spark, sf_dir, "nation")
     r = _read(spark, sf_dir, "region")
@@ -152,11 +168,13 @@ def _enrich(spark: SparkSession, sf_dir: str, raw: DataFrame) -> DataFrame:
     )
 
 
+@_memo
 def event_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions from ``events`` (velocity, fraud and merchant products)."""
     return _enrich(spark, sf_dir, raw_event_transactions(spark, sf_dir))
 
 
+@_memo
 def order_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions from ``orders`` (monthly and budget reports: 80 months)."""
     return _enrich(spark, sf_dir, raw_order_transactions(spark, sf_dir))
