@@ -119,3 +119,23 @@ def test_cli_load_reports_evaluate(spark, tmp_path):
         "fraud_rule_evaluation_by_type", "fraud_rule_evaluation_summary", "fraud_rule_scored_transactions",
         "velocity_burst_evaluation", "velocity_threshold_experiment"])
     assert spark.read.parquet(os.path.join(out, "fraud_rule_scored_transactions")).count() == 2
+
+
+def test_start_alerts_writes_closed_velocity_bursts(spark, tmp_path):
+    specs = _stream_fixture()
+    src = str(tmp_path / "src")
+    for lo, hi in ((0, 100), (100, 1000), (1000, 5000)):
+        part = [r for r, sp in zip(txn_rows(specs), specs) if at(lo) <= sp["transaction_timestamp"] < at(hi)]
+        spark.createDataFrame(part, TRANSACTIONS).coalesce(1).write.mode("append").parquet(src)
+    sink, ckpt = str(tmp_path / "alerts"), str(tmp_path / "ckpt")
+    stream = spark.readStream.schema(TRANSACTIONS).option("maxFilesPerTrigger", 1).parquet(src)
+    q = bursts.start_alerts(stream, sink, ckpt, RuleParams(), "30 minutes", trigger={"availableNow": True})
+    q.awaitTermination(120)
+    got = sorted((r["employee_id"], r["transactions_in_burst"]) for r in spark.read.parquet(sink).collect())
+    # employee 1: bursts of 3 (0, 4, 9 min) and 4 (200..209 min); employee 2: 3 rows at 5..7 min
+    assert got == [(1, 3), (1, 4), (2, 3)]
+    # a restart from the checkpoint with no new files writes nothing twice
+    q2 = bursts.start_alerts(spark.readStream.schema(TRANSACTIONS).parquet(src), sink, ckpt, RuleParams(),
+                             "30 minutes", trigger={"availableNow": True})
+    q2.awaitTermination(120)
+    assert spark.read.parquet(sink).count() == 3
