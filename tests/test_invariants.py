@@ -62,16 +62,3 @@ def test_alert_rows_equal_predicted_rows(spark):
     p = predicted.select("transaction_id")
     assert a.count() == p.count() == 506
     assert a.join(p, "transaction_id", "left_anti").count() == 0
-
-
-def test_fixture_counts(spark):
-    # Expected counts recorded in FIXTURES.md §3 for sf0.01.
-    txn = td.event_transactions(spark, SF001)
-    scored = R.fraud_scored_transactions(txn, TESTDATA_RULES)
-    flags = scored.agg(*[F.sum(c).alias(c) for c in R.FLAGS]).collect()[0]
-    assert [flags[c] for c in R.FLAGS] == [132, 142, 95, 292]
-    sizes = V.burst_sizes(txn, 60).groupBy("transactions_in_burst").count().collect()
-    assert {r[0]: r[1] for r in sizes} == {1: 6899, 2: 496, 3: 29, 4: 2}
-    health = {r[0]: r[1] for r in Rp.merchant_health_counts(txn, td.merchants(spark, SF001),
-                                                            __import__("spendwatch.params", fromlist=["x"]).TESTDATA_DECLINE).collect()}
-    assert health == {"healthy": 21, "monitor": 49, "high_decline_risk": 30}
