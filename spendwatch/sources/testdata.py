@@ -5,8 +5,9 @@ card-spend model as follows (a fixed, documented convention):
 
 * employees  <- customer: c_custkey, c_nationkey (company), c_name,
   c_mktsegment (department), monthly_budget = 1000 + 50 * |c_acctbal|
-* merchants  <- supplier joined to nation: s_suppkey, s_name,
-  category 'cat_' || s_suppkey % 8, country n_name, plus n_regionkey
+* merchants  <- supplier with its nation (looked up in the 25-row nation
+  table): s_suppkey, s_name, category 'cat_' || s_suppkey % 8, country
+  n_name, plus n_regionkey
 * companies  <- nation joined to region
 * transactions <- events (for the velocity, fraud and merchant products) or
   orders (for the monthly and budget reports); the merchant of a row is its
@@ -17,8 +18,8 @@ card-spend model as follows (a fixed, documented convention):
   Orders: declined iff o_orderstatus = 'F', reason o_orderpriority.
   International means the merchant's nation is in region 4.
 
-The adapter is raw mapping + ``enrich_transactions`` (P15); all joins are
-plain equi-joins (nation/region are fixed 25/5-row reference tables).
+The adapter is raw mapping + ``enrich_transactions`` (P15); its joins are
+plain equi-joins (nation/region are fixed 25/5-row tables).
 """
 
 from __future__ import annotations
@@ -79,17 +80,31 @@ def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _nation_lookup(spark: SparkSession, sf_dir: str, column: str):
+    """``n_nationkey -> column`` as a literal map.
+
+    ``nation`` is a fixed 25-row table.  A map lookup instead of a join keeps
+    the merchant dimension a plain supplier scan, so the planner sizes it by
+    the supplier file (a join's estimate multiplies both sides and would
+    hide a small dimension from the broadcast check).
+    """
+    rows = _read(spark, sf_dir, "nation").select("n_nationkey", column).collect()
+    return F.create_map(*[F.lit(v) for r in rows for v in (int(r[0]), r[1])])
+
+
 @_memo
 def merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _read(spark, sf_dir, "supplier")
-    n = _read(spark, sf_dir, "nation")
-    return s.join(F.broadcast(n), s["s_nationkey"] == n["n_nationkey"]).select(
+    country = F.try_element_at(_nation_lookup(spark, sf_dir, "n_name"), F.col("s_nationkey"))
+    region = F.try_element_at(_nation_lookup(spark, sf_dir, "n_regionkey"), F.col("s_nationkey"))
+    # Suppliers whose nation is missing drop out, as with an inner join.
+    return s.select(
         F.col("s_suppkey").cast("long").alias("merchant_id"),
         F.col("s_name").alias("merchant_name"),
         F.concat(F.lit("cat_"), (F.col("s_suppkey") % 8).cast("string")).alias("category"),
-        F.col("n_name").alias("country"),
-        F.col("n_regionkey"),
-    )
+        country.alias("country"),
+        region.alias("n_regionkey"),
+    ).where(F.col("n_regionkey").isNotNull())
 
 
 @_memo
