@@ -100,7 +100,7 @@ class SkewParams:
 
     sample_fraction: float = 0.01
     rows_per_bucket: int = 2_000_000
-    min_bucket_minutes: float = 1.0
+    min_bucket_minutes: float = 1.0 / 60  # one second
     seed: int = 17
     # Reuse a detection result for the same input plan within a session.
     # Safe for results: the split only changes the physical plan.
