@@ -45,6 +45,7 @@ TID = "transaction_id"
 _US = "_sw_us"          # epoch microseconds of TS
 _BW = "_sw_bucket_us"   # bucket width of a hot employee (NULL: one bucket)
 _BKT = "_sw_bucket"     # bucket number, non-decreasing in time within a key
+_NULL_TIME_BUCKET = 2**63 - 1
 
 
 # --------------------------------------------------------------------------
@@ -91,8 +92,13 @@ def _with_buckets(df: DataFrame, hot: DataFrame, key: str, ts: str,
             _BW,
             F.when(F.col(_BW).isNotNull(), F.greatest(F.col(_BW), F.lit(min_width_us).cast("long"))),
         )
+    # A NULL time goes to a last bucket of its own (SQL sorts NULL times
+    # last); a non-NULL bucket keeps the equi-joins on (key, bucket) whole.
     return out.withColumn(
-        _BKT, F.when(F.col(_BW).isNull(), F.lit(0).cast("long")).otherwise(_floor_div(_US, _BW))
+        _BKT,
+        F.when(F.col(_BW).isNull(), F.lit(0).cast("long"))
+        .when(F.col(_US).isNull(), F.lit(_NULL_TIME_BUCKET))
+        .otherwise(_floor_div(_US, _BW)),
     )
 
 
@@ -141,7 +147,7 @@ BURST_COLUMNS = ["previous_transaction_timestamp", "starts_new_burst", "burst_id
 def _bursts_per_key(approved: DataFrame, gap_us: int, key: str, ts: str, tid: str) -> DataFrame:
     """No hot key: one exchange by key feeds lag, running sum and burst count."""
     rows = approved.withColumn(_US, epoch_micros(ts))
-    w = Window.partitionBy(key).orderBy(_US, tid)
+    w = Window.partitionBy(key).orderBy(F.col(_US).asc_nulls_last(), F.col(tid).asc_nulls_last())
     rows = rows.select(
         "*",
         F.lag(_US).over(w).alias("_sw_prev_us"),
@@ -214,15 +220,21 @@ def _bursts_split(approved: DataFrame, hot: DataFrame, gap_us: int, per_key: Dat
     own partitioning."""
     rows = _with_buckets(approved, hot, key, ts)
 
-    w = Window.partitionBy(key, _BKT).orderBy(_US, tid)
+    # NULL times sort last, as in SQL.
+    w = Window.partitionBy(key, _BKT).orderBy(F.col(_US).asc_nulls_last(), F.col(tid).asc_nulls_last())
     rows = rows.select(
         "*",
         F.lag(_US).over(w).alias("_sw_prev_us"),
         F.lag(ts).over(w).alias("_sw_prev_ts"),
+        (F.row_number().over(w) == 1).alias("_sw_first_row"),
     )
+    # A cut inside the bucket: the burst rule for every row but the first
+    # (whose predecessor is in an earlier bucket, handled by the stitch).
     rows = rows.withColumn(
         "_sw_cut",
-        F.when(F.col("_sw_prev_us").isNotNull() & (F.col(_US) - F.col("_sw_prev_us") > gap_us), 1).otherwise(0),
+        F.when(F.col("_sw_first_row"), 0)
+        .when(F.col("_sw_prev_us").isNull() | (F.col(_US) - F.col("_sw_prev_us") > gap_us), 1)
+        .otherwise(0),
     )
     rows = rows.withColumn(
         "_sw_seg", F.sum("_sw_cut").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -239,13 +251,18 @@ def _bursts_split(approved: DataFrame, hot: DataFrame, gap_us: int, per_key: Dat
         F.count_if(F.col("_sw_seg") == 0).alias("_sw_first_size"),
         F.max_by("_sw_seg_size", "_sw_seg").alias("_sw_last_size"),
     )
-    wb = Window.partitionBy(key).orderBy(_BKT)
+    wb = Window.partitionBy(key).orderBy(F.col(_BKT).asc_nulls_last())
     prev_last = F.lag("_sw_last_us").over(wb)
+    has_prev = F.lag(F.lit(1)).over(wb).isNotNull()
+    # The first row continues the previous bucket's last burst unless the
+    # burst rule starts a new one (no predecessor, predecessor time NULL, or
+    # gap above the limit; a NULL own time compares as not above).
     summary = summary.select(
         "*",
         F.lag("_sw_last_ts").over(wb).alias("_sw_prev_last_ts"),
-        F.when(prev_last.isNotNull() & (F.col("_sw_first_us") - prev_last <= gap_us), 1)
-        .otherwise(0)
+        F.when(~has_prev | prev_last.isNull(), 0)
+        .when(F.col("_sw_first_us") - prev_last > gap_us, 0)
+        .otherwise(1)
         .alias("_sw_joins"),
     )
     starts = F.col("_sw_n_segs") - F.col("_sw_joins")
@@ -284,10 +301,13 @@ def _bursts_split(approved: DataFrame, hot: DataFrame, gap_us: int, per_key: Dat
     out = rows.join(summary, [key, _BKT])
     seg = F.col("_sw_seg")
     out = (
-        out.withColumn("previous_transaction_timestamp", F.coalesce(F.col("_sw_prev_ts"), F.col("_sw_prev_last_ts")))
+        out.withColumn(
+            "previous_transaction_timestamp",
+            F.when(F.col("_sw_first_row"), F.col("_sw_prev_last_ts")).otherwise(F.col("_sw_prev_ts")),
+        )
         .withColumn(
             "starts_new_burst",
-            F.when(F.col("_sw_prev_us").isNull(), 1 - F.col("_sw_joins")).otherwise(F.col("_sw_cut")).cast("int"),
+            F.when(F.col("_sw_first_row"), 1 - F.col("_sw_joins")).otherwise(F.col("_sw_cut")).cast("int"),
         )
         .withColumn("burst_id", (F.col("_sw_offset") + seg + 1 - F.col("_sw_joins")).cast("long"))
         .withColumn(
@@ -389,7 +409,7 @@ def with_rolling_counts(
     hot = detect_hot_keys(approved, skew, key, ts)
     if hot is None:
         rows = approved.withColumn(_US, epoch_micros(ts))
-        w = Window.partitionBy(key).orderBy(_US)
+        w = Window.partitionBy(key).orderBy(F.col(_US).asc_nulls_last())
         return rows.select(
             *approved.columns,
             *[
@@ -399,13 +419,13 @@ def with_rolling_counts(
             ],
         )
     rows = _with_buckets(approved, hot, key, ts, min_width_us=max_us)
-    reach = F.when(F.col(_BW).isNull(), F.col(_BKT)).otherwise(
+    reach = F.when(F.col(_BW).isNull() | F.col(_US).isNull(), F.col(_BKT)).otherwise(
         _floor_div(f"({_US} + {max_us})", _BW)
     )
     rows = rows.withColumn("_sw_home", F.col(_BKT)).withColumn(
         _BKT, F.explode(F.sequence(F.col(_BKT), reach))
     )
-    w = Window.partitionBy(key, _BKT).orderBy(_US)
+    w = Window.partitionBy(key, _BKT).orderBy(F.col(_US).asc_nulls_last())
     for m in widths:
         rows = rows.withColumn(
             window_count_column(m),

@@ -167,3 +167,66 @@ def test_hot_employee_is_spread_over_partitions(spark):
     got = _sizes(V.velocity_burst_scored(sub, RuleParams(burst_gap_minutes=0.05), small))
     want = {k: v[3] for k, v in brute_bursts(rows, 0.05).items()}
     assert got == want
+
+
+def _duck_reference(rows, gap, width):
+    """The reference's SQL over inline rows (DuckDB: NULL times sort last)."""
+    import duckdb
+    import pandas as pd
+
+    con = duckdb.connect()
+    frame = pd.DataFrame(rows, columns=["transaction_id", "employee_id", "transaction_timestamp"])
+    frame["transaction_timestamp"] = pd.to_datetime(frame["transaction_timestamp"])
+    con.register("t", frame)
+    bursts = con.execute(f"""
+        WITH o AS (SELECT *, LAG(transaction_timestamp) OVER (PARTITION BY employee_id
+                       ORDER BY transaction_timestamp, transaction_id) AS prev FROM t),
+        b AS (SELECT *, CASE WHEN prev IS NULL THEN 1
+                             WHEN transaction_timestamp > prev + INTERVAL {gap} MINUTE THEN 1 ELSE 0 END AS s FROM o),
+        g AS (SELECT *, SUM(s) OVER (PARTITION BY employee_id ORDER BY transaction_timestamp, transaction_id
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS bid FROM b)
+        SELECT transaction_id, prev, s, CAST(bid AS BIGINT),
+               COUNT(*) OVER (PARTITION BY employee_id, bid) FROM g""").fetchall()
+    rolling = con.execute(f"""
+        SELECT transaction_id, COUNT(*) OVER (PARTITION BY employee_id ORDER BY transaction_timestamp
+               RANGE BETWEEN INTERVAL {width} MINUTE PRECEDING AND CURRENT ROW) FROM t""").fetchall()
+    return {r[0]: tuple(r[1:]) for r in bursts}, dict(rolling)
+
+
+@pytest.mark.parametrize("skew", SKEWS)
+def test_null_timestamps_match_sql_semantics(spark, skew):
+    minutes = [0, 3, None, 7, None, 30, 31, None]
+    specs = [{"employee_id": 1, "transaction_timestamp": None if m is None else at(m)} for m in minutes]
+    specs += [{"employee_id": 2, "transaction_timestamp": at(m)} for m in (1, 2)]
+    df = txn_df(spark, specs)
+    rows = [(i, s["employee_id"], s["transaction_timestamp"]) for i, s in enumerate(specs, start=1)]
+    want_b, want_r = _duck_reference(rows, 10, 15)
+    got = {r["transaction_id"]: (r["previous_transaction_timestamp"], r["starts_new_burst"], r["burst_id"])
+           for r in V.burst_groups(df, 10, skew).collect()}
+    assert got == {k: v[:3] for k, v in want_b.items()}
+    assert _sizes(V.velocity_burst_scored(df, RuleParams(), skew)) == {k: v[3] for k, v in want_b.items()}
+    counts = {r["transaction_id"]: r["transactions_in_window"] for r in V.rolling_transaction_count(df, 15, skew).collect()}
+    assert counts == want_r  # no row is lost, NULL times count each other
+
+
+_nullable_minutes = st.lists(st.one_of(st.none(), st.integers(min_value=0, max_value=180)), min_size=1, max_size=30)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(emp_a=_nullable_minutes, emp_b=_nullable_minutes, gap=st.sampled_from([5, 20]),
+       width=st.sampled_from([10, 30]), bucket=st.sampled_from([1, 15]))
+def test_split_paths_match_sql_with_null_times(spark, emp_a, emp_b, gap, width, bucket):
+    specs = [{"employee_id": 1, "transaction_timestamp": None if m is None else at(m)} for m in emp_a]
+    specs += [{"employee_id": 2, "transaction_timestamp": None if m is None else at(m)} for m in emp_b]
+    df = txn_df(spark, specs)
+    rows = [(i, s["employee_id"], s["transaction_timestamp"]) for i, s in enumerate(specs, start=1)]
+    want_b, want_r = _duck_reference(rows, gap, width)
+    for skew in (UNSPLIT, SkewParams(sample_fraction=1.0, rows_per_bucket=1, min_bucket_minutes=bucket)):
+        got = {r["transaction_id"]: (r["previous_transaction_timestamp"], r["starts_new_burst"], r["burst_id"])
+               for r in V.burst_groups(df, gap, skew).collect()}
+        assert got == {k: v[:3] for k, v in want_b.items()}
+        assert _sizes(V.velocity_burst_scored(df, RuleParams(burst_gap_minutes=gap), skew)) == {
+            k: v[3] for k, v in want_b.items()}
+        counts = {r["transaction_id"]: r["transactions_in_window"]
+                  for r in V.rolling_transaction_count(df, width, skew).collect()}
+        assert counts == want_r
