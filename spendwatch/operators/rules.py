@@ -62,7 +62,9 @@ def transaction_features(
         "transaction_id", "company_id", "employee_id", "merchant_id", "transaction_timestamp",
         "amount", "is_international", "merchant_country", "is_fraud", "fraud_type",
     ]
-    approved = approved_only(txn).select(*cols)
+    # The statistics join on employee_id in the SQL form drops rows without
+    # an employee; the filter keeps that (and reaches the scan).
+    approved = approved_only(txn).where(F.col("employee_id").isNotNull()).select(*cols)
     per_key = employees.select("employee_id", "employee_name") if employees is not None else None
     # T1 statistics over the same approved rows, computed inside the burst
     # plan: window aggregates on the per-employee partition, or a partial

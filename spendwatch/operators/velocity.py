@@ -298,7 +298,10 @@ def _bursts_split(approved: DataFrame, hot: DataFrame, gap_us: int, per_key: Dat
     if per_key is not None:
         summary = summary.join(per_key, key)
 
-    out = rows.join(summary, [key, _BKT])
+    # NULL-safe on the key: rows of a NULL employee form one group, as in SQL
+    # windows, and must come back too.
+    s2 = summary.withColumnRenamed(key, "_sw_k").withColumnRenamed(_BKT, "_sw_b")
+    out = rows.join(s2, rows[key].eqNullSafe(s2["_sw_k"]) & (rows[_BKT] == s2["_sw_b"]))
     seg = F.col("_sw_seg")
     out = (
         out.withColumn(
@@ -363,8 +366,13 @@ def burst_sizes(txn: DataFrame, gap_minutes: float, skew: SkewParams = DEFAULT_S
 
 def velocity_burst_scored(txn: DataFrame, rules: RuleParams = RuleParams(),
                           skew: SkewParams = DEFAULT_SKEW) -> DataFrame:
-    """Burst size per approved row and ``predicted_velocity_fraud``."""
-    base = approved_only(txn).select(TID, KEY, TS, "amount", "is_fraud", "fraud_type")
+    """Burst size per approved row and ``predicted_velocity_fraud``.
+
+    Rows without an employee are left out: the SQL form attaches burst sizes
+    with an equi-join on employee_id, which no NULL matches.
+    """
+    base = approved_only(txn).where(F.col(KEY).isNotNull()).select(
+        TID, KEY, TS, "amount", "is_fraud", "fraud_type")
     out = annotate_bursts(base, rules.burst_gap_minutes, skew)
     return out.select(
         TID,

@@ -230,3 +230,20 @@ def test_split_paths_match_sql_with_null_times(spark, emp_a, emp_b, gap, width,
         counts = {r["transaction_id"]: r["transactions_in_window"]
                   for r in V.rolling_transaction_count(df, width, skew).collect()}
         assert counts == want_r
+
+
+@pytest.mark.parametrize("skew", SKEWS)
+def test_null_employee_rows(spark, skew):
+    from spendwatch.operators import rules as R
+
+    specs = [{"employee_id": None, "transaction_timestamp": at(m)} for m in (0, 4, 8)]
+    specs += [{"employee_id": 1, "transaction_timestamp": at(m)} for m in (0, 50)]
+    df = txn_df(spark, specs)
+    groups = {r["transaction_id"]: (r["starts_new_burst"], r["burst_id"]) for r in V.burst_groups(df, 10, skew).collect()}
+    assert groups == {1: (1, 1), 2: (0, 1), 3: (0, 1), 4: (1, 1), 5: (1, 2)}  # NULL employees: one group
+    sizes = sorted((r["employee_id"], r["burst_id"], r["transactions_in_burst"])
+                   for r in V.burst_sizes(df, 10, skew).collect() if r["employee_id"] is not None)
+    assert sizes == [(1, 1, 1), (1, 2, 1)]
+    assert V.burst_sizes(df, 10, skew).where("employee_id is null").collect()[0]["transactions_in_burst"] == 3
+    assert set(_sizes(V.velocity_burst_scored(df, RuleParams(), skew))) == {4, 5}  # dropped, as by the SQL join
+    assert {r["transaction_id"] for r in R.fraud_scored_transactions(df, skew=skew).collect()} == {4, 5}
