@@ -94,3 +94,20 @@ def test_split_and_unsplit_scoring_agree(spark):
     a = norm(R.fraud_scored_transactions(txn, P).collect())
     b = norm(R.fraud_scored_transactions(txn, P, split).collect())
     assert a == b
+
+
+def test_split_and_unsplit_alerts_agree(spark):
+    specs = [{"employee_id": 1 + i % 4, "merchant_id": 1 + i % 2, "amount": float(5 + (i * 53) % 7000),
+              "is_international": i % 5 == 0, "transaction_timestamp": at((i * 11) % 500)} for i in range(160)]
+    txn = txn_df(spark, specs)
+    emp = employees_df(spark, [(e, 1, f"E{e}", "Ops", 1000.0) for e in (1, 2, 3)])  # employee 4 unknown
+    mer = merchants_df(spark, [(1, "Shop", "Meals", "US"), (2, "Air", "Travel", "CA")])
+    split = SkewParams(sample_fraction=1.0, rows_per_bucket=5, min_bucket_minutes=2)
+
+    def rows(skew):
+        return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r)
+                      for r in R.fraud_alerts(txn, emp, mer, P, skew).collect())
+
+    plain = rows(SkewParams())
+    assert plain and plain == rows(split)
+    assert all(r[2] != 4 for r in plain)  # inner join with employees
