@@ -70,7 +70,7 @@ def transaction_features(
     # plan: window aggregates on the per-employee partition, or a partial
     # aggregate on the per-bucket summary when employees are split.
     rows = annotate_bursts(approved, rules.burst_gap_minutes, skew, per_key=per_key,
-                           key_aggregates=_stat_aggregates())
+                           key_aggregates=_stat_aggregates(), need_previous=False)
     if merchants is not None:
         rows = rows.join(merchants.select("merchant_id", "merchant_name", "category"), "merchant_id")
     return rows

@@ -175,11 +175,17 @@ def annotate_bursts(
     ts: str = TS,
     tid: str = TID,
     key_aggregates: dict[str, Callable[[WindowSpec | None], Column]] | None = None,
+    need_previous: bool = True,
 ) -> DataFrame:
     """Every input row plus ``previous_transaction_timestamp``,
     ``starts_new_burst``, ``burst_id`` (1-based per key) and
     ``transactions_in_burst``.
 
+    With ``need_previous=False`` the previous timestamp column is NULL and,
+    when hot keys exist, the gap-wide bucket plan is used: it needs no
+    ordering inside a bucket, so even a hot employee packed into one instant
+    is spread over tasks.
+
     A row starts a new burst when it has no predecessor or its timestamp is
     strictly more than ``gap_minutes`` after the predecessor's.
 
@@ -210,9 +216,69 @@ def annotate_bursts(
     if aggs:
         per_key_aggs = approved.groupBy(key).agg(*[agg(None).alias(name) for name, agg in aggs.items()])
         per_key = per_key_aggs if per_key is None else per_key_aggs.join(per_key, key)
+    if not need_previous:
+        return _bursts_gap_buckets(approved, gap_us, per_key, key, ts, tid).select(*out_cols)
     return _bursts_split(approved, hot, gap_us, per_key, key, ts, tid).select(*out_cols)
 
 
+def _bursts_gap_buckets(approved: DataFrame, gap_us: int, per_key: DataFrame | None,
+                        key: str, ts: str, tid: str) -> DataFrame:
+    """Bursts without ordering inside a bucket.
+
+    Buckets are ``gap + 1 µs`` wide, so two rows of one bucket are at most
+    ``gap`` apart and every burst boundary falls between buckets.  Per
+    bucket, a partial aggregate keeps the first and last time, the count and
+    the first (time, id); a window over the buckets of a key (at most one per
+    gap of time) numbers the bursts and totals their sizes; the rows join
+    back on (key, bucket), where AQE splits a bucket that holds many rows.
+    Rows without a time each get a bucket of their own after all others,
+    ordered by id, which reproduces the SQL rule for them.
+    """
+    width = gap_us + 1
+    rows = approved.withColumn(_US, epoch_micros(ts))
+    rows = rows.withColumn(
+        _BKT, F.when(F.col(_US).isNull(), F.lit(_NULL_TIME_BUCKET)).otherwise(_floor_div(_US, str(width)))
+    ).withColumn("_sw_sub", F.when(F.col(_US).isNull(), F.col(tid)).otherwise(F.lit(None).cast(
+        approved.schema[tid].dataType)))
+    first_key = F.struct(F.col(_US), F.col(tid))
+    buckets = rows.groupBy(key, _BKT, "_sw_sub").agg(
+        F.min(_US).alias("_sw_first_us"),
+        F.max(_US).alias("_sw_last_us"),
+        F.count(F.lit(1)).alias("_sw_n"),
+        F.min(first_key).alias("_sw_first_row"),
+    )
+    wb = Window.partitionBy(key).orderBy(F.col(_BKT).asc_nulls_last(), F.col("_sw_sub").asc_nulls_last())
+    prev_last = F.lag("_sw_last_us").over(wb)
+    has_prev = F.lag(F.lit(1)).over(wb).isNotNull()
+    buckets = buckets.select(
+        "*",
+        F.when(~has_prev | prev_last.isNull(), 1)
+        .when(F.col("_sw_first_us") - prev_last > gap_us, 1)
+        .otherwise(0)
+        .alias("_sw_starts"),
+    )
+    buckets = buckets.withColumn(
+        "_sw_burst", F.sum("_sw_starts").over(wb.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    )
+    buckets = buckets.withColumn("_sw_size", F.sum("_sw_n").over(Window.partitionBy(key, "_sw_burst")))
+    if per_key is not None:
+        buckets = buckets.join(per_key, key)
+    b2 = (buckets.drop("_sw_first_us", "_sw_last_us", "_sw_n")
+          .withColumnRenamed(key, "_sw_k").withColumnRenamed(_BKT, "_sw_b").withColumnRenamed("_sw_sub", "_sw_s"))
+    out = rows.join(
+        b2,
+        rows[key].eqNullSafe(b2["_sw_k"]) & (rows[_BKT] == b2["_sw_b"]) & rows["_sw_sub"].eqNullSafe(b2["_sw_s"]),
+    )
+    is_first = (F.col(_US).eqNullSafe(F.col("_sw_first_row._sw_us"))) & (F.col(tid).eqNullSafe(
+        F.col(f"_sw_first_row.{tid}")))
+    return (
+        out.withColumn("previous_transaction_timestamp", F.lit(None).cast(approved.schema[ts].dataType))
+        .withColumn("starts_new_burst", F.when(is_first, F.col("_sw_starts")).otherwise(0).cast("int"))
+        .withColumn("burst_id", F.col("_sw_burst").cast("long"))
+        .withColumn("transactions_in_burst", F.col("_sw_size").cast("long"))
+    )
+
+
 def _bursts_split(approved: DataFrame, hot: DataFrame, gap_us: int, per_key: DataFrame | None,
                   key: str, ts: str, tid: str) -> DataFrame:
     """Hot keys split into time buckets: local segmentation per (key, bucket),
@@ -358,7 +424,7 @@ def burst_sizes(txn: DataFrame, gap_minutes: float, skew: SkewParams = DEFAULT_S
     """
     base = approved_only(txn).select(TID, KEY, TS)
     return (
-        annotate_bursts(base, gap_minutes, skew)
+        annotate_bursts(base, gap_minutes, skew, need_previous=False)
         .groupBy(KEY, "burst_id")
         .agg(F.count(F.lit(1)).alias("transactions_in_burst"))
     )
@@ -373,7 +439,7 @@ def velocity_burst_scored(txn: DataFrame, rules: RuleParams = RuleParams(),
     """
     base = approved_only(txn).where(F.col(KEY).isNotNull()).select(
         TID, KEY, TS, "amount", "is_fraud", "fraud_type")
-    out = annotate_bursts(base, rules.burst_gap_minutes, skew)
+    out = annotate_bursts(base, rules.burst_gap_minutes, skew, need_previous=False)
     return out.select(
         TID,
         KEY,

@@ -27,21 +27,26 @@ def test_burst_pipeline_without_hot_keys_is_one_exchange(spark):
     assert len(re.findall(r"Window \[", text)) >= 3
 
 
-def test_burst_pipeline_with_hot_keys_splits_by_bucket(spark):
+def test_burst_pipelines_with_hot_keys(spark):
     from spendwatch.operators import rules as R
+    from spendwatch.operators import velocity as V
     from spendwatch.params import TESTDATA_RULES, SkewParams
     from spendwatch.sources import testdata as td
 
     skew = SkewParams(sample_fraction=1.0, rows_per_bucket=5, min_bucket_minutes=60)
-    df = R.fraud_scored_transactions(td.event_transactions(spark, SF0001), TESTDATA_RULES, skew)
-    df.collect()
-    text = physical_plan(df, "simple")  # the final adaptive plan
-    assert "isFinalPlan=true" in text
-    text = text.split("== Initial Plan ==")[0]
-    # the fact rows are shuffled by (employee, bucket): the full rows for the
-    # windows, and a pruned (key, bucket, time, id) projection for the
-    # per-bucket summary; nothing is shuffled by employee alone except
-    # per-employee aggregates and the small summary.
+    txn = td.event_transactions(spark, SF0001)
+    # Products without the previous timestamp: gap-wide buckets, no ordering
+    # inside a bucket (no lag over the fact rows), bounded hot list broadcast.
+    scored = R.fraud_scored_transactions(txn, TESTDATA_RULES, skew)
+    scored.collect()
+    text = physical_plan(scored, "simple").split("== Initial Plan ==")[0]
+    assert "_sw_bucket" in text and "Window [lag(_sw_us" not in text, text
+    # T4 keeps the time-bucket split: the rows are shuffled by (employee,
+    # bucket) for the in-bucket windows (plus a pruned projection for the
+    # per-bucket summary).
+    groups = V.burst_groups(txn, TESTDATA_RULES.burst_gap_minutes, skew)
+    groups.collect()
+    text = physical_plan(groups, "simple").split("== Initial Plan ==")[0]
     fact = re.findall(r"(?<!Reused)Exchange hashpartitioning\(employee_id#\d+L, _sw_bucket#\d+L, \d+\)", text)
     assert 1 <= len(fact) <= 2, text
     assert "BroadcastExchange" in text  # the bounded hot-key table
