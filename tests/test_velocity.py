@@ -247,3 +247,18 @@ def test_null_employee_rows(spark, skew):
     assert V.burst_sizes(df, 10, skew).where("employee_id is null").collect()[0]["transactions_in_burst"] == 3
     assert set(_sizes(V.velocity_burst_scored(df, RuleParams(), skew))) == {4, 5}  # dropped, as by the SQL join
     assert {r["transaction_id"] for r in R.fraud_scored_transactions(df, skew=skew).collect()} == {4, 5}
+
+
+def test_hot_employee_packed_into_one_instant(spark):
+    """Time buckets cannot split one instant; the gap-wide bucket plan of the
+    burst products needs no order inside a bucket, so it still gives exact
+    sizes (and the join back is what AQE can split or broadcast)."""
+    specs = [{"employee_id": 1, "transaction_timestamp": at(0)} for _ in range(40)]
+    specs += [{"employee_id": 1, "transaction_timestamp": at(m)} for m in (5, 30)]
+    specs += [{"employee_id": 2, "transaction_timestamp": at(m)} for m in (0, 1)]
+    df = txn_df(spark, specs)
+    rows = [(i, s["employee_id"], s["transaction_timestamp"]) for i, s in enumerate(specs, start=1)]
+    skew = SkewParams(sample_fraction=1.0, rows_per_bucket=5, min_bucket_minutes=1)
+    want = brute_bursts(rows, 10)
+    assert _sizes(V.velocity_burst_scored(df, RuleParams(), skew)) == {k: v[3] for k, v in want.items()}
+    assert sorted(r["transactions_in_burst"] for r in V.burst_sizes(df, 10, skew).collect()) == [1, 2, 41]
