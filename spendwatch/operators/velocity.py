@@ -10,8 +10,14 @@ employee holding a large share of all rows would serialize the job.
   at most N / rows_per_bucket rows, so it is broadcast.
 * No hot employee: the textbook plan, one exchange by employee feeding
   ``lag``, the running sum and the burst count (and the RANGE counts).
-* Hot employees: the ordered work is keyed by ``(employee_id, bucket)``;
-  every other employee stays one bucket.
+* Hot employees, burst products without the previous timestamp (T5, P9 and
+  the fraud scoring): gap-wide buckets.  Two rows of a ``gap + 1 µs`` bucket
+  are never more than a gap apart, so bursts follow from per-bucket partial
+  aggregates and a window over the buckets; nothing is ordered inside a
+  bucket and the rows join back on (employee, bucket).
+* Hot employees, products that show the previous timestamp (T2-T4): the
+  ordered work is keyed by ``(employee_id, bucket)`` with time buckets of
+  about ``rows_per_bucket`` rows; every other employee stays one bucket.
 * Bursts: each (employee, bucket) is segmented locally with ``lag`` and a
   running sum.  A per-bucket summary (min/max time, segment count, first and
   last segment size) is stitched across buckets with windows over the
