@@ -93,3 +93,51 @@ def test_budget_alerts_match_sql(spark, rows, budget):
     want = sorted((tuple(_norm(dict(zip(oc, r))[c]) for c in cols) for r in res.fetchall()), key=repr)
     assert sorted(oc) == cols
     assert got == want
+
+
+_txn = st.tuples(
+    st.integers(min_value=1, max_value=3),                      # employee
+    st.integers(min_value=0, max_value=600),                    # minute
+    st.sampled_from(["approved", "approved", "approved", "declined"]),
+    st.integers(min_value=100, max_value=60_000),               # cents
+    st.booleans(),                                              # international
+    st.sampled_from(["none", "none", "large_amount", "velocity_attack"]),
+)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(_txn, min_size=1, max_size=50))
+def test_fraud_scoring_matches_sql(spark, rows):
+    from datetime import datetime, timedelta
+
+    import duckdb
+    import pandas as pd
+
+    from spendwatch.operators import rules as R
+    from spendwatch.params import TESTDATA_RULES
+
+    t0 = datetime(2025, 3, 1)
+    specs = [{"employee_id": e, "company_id": 5, "transaction_timestamp": t0 + timedelta(minutes=m),
+              "transaction_status": s, "amount": c / 100.0, "is_international": i,
+              "fraud_type": f, "is_fraud": int(f != "none")} for e, m, s, c, i, f in rows]
+    df = txn_df(spark, specs)
+
+    def rounded(v):
+        return round(v, 6) if isinstance(v, float) else v
+
+    got_df = R.fraud_scored_transactions(df, TESTDATA_RULES)
+    cols = sorted(got_df.columns)
+    got = sorted((tuple(rounded(r[c]) for c in cols) for r in got_df.collect()), key=repr)
+
+    frame = pd.DataFrame(
+        [(i, s["company_id"], s["employee_id"], s["transaction_timestamp"], s["amount"], s["transaction_status"],
+          s["is_international"], s["is_fraud"], s["fraud_type"]) for i, s in enumerate(specs, start=1)],
+        columns=["transaction_id", "company_id", "employee_id", "transaction_timestamp", "amount",
+                 "transaction_status", "is_international", "is_fraud", "fraud_type"])
+    con = duckdb.connect()
+    con.register("transactions", frame)
+    res = con.execute("WITH " + ",\n".join(oracle.SCORED_ALL) + "\nSELECT * FROM scored2")
+    oc = [d[0] for d in res.description]
+    want = sorted((tuple(rounded(dict(zip(oc, r))[c]) for c in cols) for r in res.fetchall()), key=repr)
+    assert sorted(oc) == cols
+    assert got == want
