@@ -141,3 +141,34 @@ def test_fraud_scoring_matches_sql(spark, rows):
     want = sorted((tuple(rounded(dict(zip(oc, r))[c]) for c in cols) for r in res.fetchall()), key=repr)
     assert sorted(oc) == cols
     assert got == want
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(min_value=1, max_value=3), st.integers(min_value=0, max_value=400),
+                          st.sampled_from(["none", "velocity_attack", None]),
+                          st.sampled_from(["approved", "approved", "declined"])), min_size=1, max_size=50))
+def test_sweep_matches_sql(spark, rows):
+    from datetime import datetime, timedelta
+
+    import duckdb
+    import pandas as pd
+
+    from spendwatch.operators import evaluation as E
+    from spendwatch.params import TESTDATA_SWEEP
+
+    t0 = datetime(2025, 3, 1)
+    specs = [{"employee_id": e, "transaction_timestamp": t0 + timedelta(minutes=m), "fraud_type": f,
+              "transaction_status": s} for e, m, f, s in rows]
+    got_df = E.velocity_threshold_experiment(txn_df(spark, specs), TESTDATA_SWEEP)
+    cols = sorted(got_df.columns)
+    got = sorted(tuple(r[c] for c in cols) for r in got_df.collect())
+    frame = pd.DataFrame([(s["employee_id"], s["transaction_timestamp"], s["fraud_type"], s["transaction_status"])
+                          for s in specs],
+                         columns=["employee_id", "transaction_timestamp", "fraud_type", "transaction_status"])
+    frame["fraud_type"] = frame["fraud_type"].astype("string")
+    con = duckdb.connect()
+    con.register("transactions", frame)
+    res = con.execute("WITH " + oracle._sweep_sql() + "\nSELECT * FROM experiment")
+    oc = [d[0] for d in res.description]
+    want = sorted(tuple(dict(zip(oc, r))[c] for c in cols) for r in res.fetchall())
+    assert got == want
