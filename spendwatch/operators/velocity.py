@@ -24,9 +24,11 @@ employee holding a large share of all rows would serialize the job.
   summary only, and joined back on ``(employee_id, bucket)``, which is how
   the rows are already partitioned.  Burst ids and sizes are exact for any
   bucketing, including bursts spanning many buckets.
-* Rolling counts: a row is copied into the later buckets its look-back
-  window reaches (only rows within ``window`` of a bucket end), the RANGE
-  count runs per (employee, bucket), and the copies are dropped.
+* Rolling counts with hot keys: the rows are first counted per (employee,
+  instant) -- a partial aggregate, so rows sharing an instant become one --
+  then each instant is copied into the later buckets its look-back window
+  reaches, a RANGE sum of the counts runs per (employee, bucket), the copies
+  are dropped and the rows join back on (employee, instant).
 
 Rows that share a timestamp are ordered by ``transaction_id`` everywhere, so
 ``lag`` and the running sum agree on peer order.
@@ -90,8 +92,11 @@ def _floor_div(num: str, den: str) -> Column:
 
 def _with_buckets(df: DataFrame, hot: DataFrame, key: str, ts: str,
                   min_width_us: int = 0) -> DataFrame:
-    """Adds ``_US``, ``_BW`` (widened to ``min_width_us``) and ``_BKT``."""
-    out = df.withColumn(_US, epoch_micros(ts)).join(F.broadcast(hot), key, "left")
+    """Adds ``_US`` (unless present), ``_BW`` (widened to ``min_width_us``)
+    and ``_BKT``."""
+    if _US not in df.columns:
+        df = df.withColumn(_US, epoch_micros(ts))
+    out = df.join(F.broadcast(hot), key, "left")
     if min_width_us:
         # greatest() skips NULLs, so keep unsplit keys NULL explicitly.
         out = out.withColumn(
@@ -498,7 +503,13 @@ def with_rolling_counts(
                 for m in widths
             ],
         )
-    rows = _with_buckets(approved, hot, key, ts, min_width_us=max_us)
+    # A RANGE count with peers is a RANGE sum of per-instant counts: the
+    # per-(key, time) partial aggregate collapses any number of rows sharing
+    # an instant into one, the split below runs on that narrow table, and the
+    # rows join back on (key, time).
+    timed = approved.withColumn(_US, epoch_micros(ts))
+    per_time = timed.groupBy(key, _US).agg(F.count(F.lit(1)).alias("_sw_n"))
+    rows = _with_buckets(per_time, hot, key, ts, min_width_us=max_us)
     reach = F.when(F.col(_BW).isNull() | F.col(_US).isNull(), F.col(_BKT)).otherwise(
         _floor_div(f"({_US} + {max_us})", _BW)
     )
@@ -509,10 +520,14 @@ def with_rolling_counts(
     for m in widths:
         rows = rows.withColumn(
             window_count_column(m),
-            F.count(F.lit(1)).over(w.rangeBetween(-minutes_to_micros(m), Window.currentRow)),
+            F.sum("_sw_n").over(w.rangeBetween(-minutes_to_micros(m), Window.currentRow)),
         )
-    rows = rows.where(F.col(_BKT) == F.col("_sw_home"))
-    return rows.select(*out_cols)
+    counted = rows.where(F.col(_BKT) == F.col("_sw_home")).select(
+        F.col(key).alias("_sw_k"), F.col(_US).alias("_sw_t"), *[window_count_column(m) for m in widths]
+    )
+    # NULL-safe: rows of a NULL employee or a NULL time come back too.
+    out = timed.join(counted, timed[key].eqNullSafe(counted["_sw_k"]) & timed[_US].eqNullSafe(counted["_sw_t"]))
+    return out.select(*out_cols)
 
 
 def rolling_transaction_count(txn: DataFrame, window_minutes: int,
