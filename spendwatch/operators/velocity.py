@@ -10,15 +10,17 @@ employee holding a large share of all rows would serialize the job.
   at most N / rows_per_bucket rows, so it is broadcast.
 * No hot employee: the textbook plan, one exchange by employee feeding
   ``lag``, the running sum and the burst count (and the RANGE counts).
-* Hot employees, burst products without the previous timestamp (T5, P9 and
-  the fraud scoring): gap-wide buckets.  Two rows of a ``gap + 1 µs`` bucket
-  are never more than a gap apart, so bursts follow from per-bucket partial
-  aggregates and a window over the buckets; nothing is ordered inside a
-  bucket and the rows join back on (employee, bucket).
-* Hot employees, products that show the previous timestamp (T2-T4): the
-  ordered work is keyed by ``(employee_id, bucket)`` with time buckets of
-  about ``rows_per_bucket`` rows; every other employee stays one bucket.
-* Bursts: each (employee, bucket) is segmented locally with ``lag`` and a
+* Hot employees, bursts (T3-T5, P9 and the fraud scoring): gap-wide
+  buckets.  Two rows of a ``gap + 1 µs`` bucket are never more than a gap
+  apart, so bursts follow from per-bucket partial aggregates and a window
+  over the buckets; nothing is ordered inside a bucket and the rows join
+  back on (employee, bucket).
+* Hot employees, previous timestamp (T2-T4): a row's predecessor shares its
+  instant unless it has the smallest id there, else it is the previous
+  distinct instant; the lag runs over per-(employee, instant) rows, keyed
+  by ``(employee_id, time bucket)`` with buckets of about
+  ``rows_per_bucket`` instants, every other employee one bucket.
+* Time-bucket split: each (employee, bucket) is segmented locally with ``lag`` and a
   running sum.  A per-bucket summary (min/max time, segment count, first and
   last segment size) is stitched across buckets with windows over the
   summary only, and joined back on ``(employee_id, bucket)``, which is how
@@ -227,9 +229,39 @@ def annotate_bursts(
     if aggs:
         per_key_aggs = approved.groupBy(key).agg(*[agg(None).alias(name) for name, agg in aggs.items()])
         per_key = per_key_aggs if per_key is None else per_key_aggs.join(per_key, key)
-    if not need_previous:
-        return _bursts_gap_buckets(approved, gap_us, per_key, key, ts, tid).select(*out_cols)
-    return _bursts_split(approved, hot, gap_us, per_key, key, ts, tid).select(*out_cols)
+    out = _bursts_gap_buckets(approved, gap_us, per_key, key, ts, tid)
+    if need_previous:
+        out = _with_previous_times(out, approved, hot, key, ts, tid)
+    return out.select(*out_cols)
+
+
+def _with_previous_times(rows: DataFrame, approved: DataFrame, hot: DataFrame,
+                         key: str, ts: str, tid: str) -> DataFrame:
+    """``previous_transaction_timestamp`` without ordering the rows.
+
+    A row's predecessor shares its instant unless the row has the smallest id
+    there; otherwise it is the last row of the previous distinct instant.  So
+    the rows are counted per (key, instant) -- rows sharing an instant become
+    one -- the previous instant comes from a lag over that narrow table (split
+    into time buckets for hot keys), and the rows join back on (key,
+    instant).
+    """
+    timed = approved.withColumn(_US, epoch_micros(ts))
+    instants = timed.groupBy(key, _US).agg(
+        F.min(tid).alias("_sw_first_tid"), F.max(ts).alias("_sw_its")
+    ).select(key, _US, F.col("_sw_its").alias(ts), F.col("_sw_first_tid").alias(tid))
+    prev = _bursts_split(instants.drop(_US), hot, 0, None, key, ts, tid).select(
+        F.col(key).alias("_sw_pk"),
+        epoch_micros(ts).alias("_sw_pt"),
+        F.col(tid).alias("_sw_first_tid"),
+        F.col("previous_transaction_timestamp").alias("_sw_prev_instant"),
+    )
+    rows = rows.drop("previous_transaction_timestamp")
+    j = rows.join(prev, rows[key].eqNullSafe(prev["_sw_pk"]) & rows[_US].eqNullSafe(prev["_sw_pt"]))
+    return j.withColumn(
+        "previous_transaction_timestamp",
+        F.when(F.col(tid).eqNullSafe(F.col("_sw_first_tid")), F.col("_sw_prev_instant")).otherwise(F.col(ts)),
+    )
 
 
 def _bursts_gap_buckets(approved: DataFrame, gap_us: int, per_key: DataFrame | None,

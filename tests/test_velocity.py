@@ -262,6 +262,9 @@ def test_hot_employee_packed_into_one_instant(spark):
     want = brute_bursts(rows, 10)
     assert _sizes(V.velocity_burst_scored(df, RuleParams(), skew)) == {k: v[3] for k, v in want.items()}
     assert sorted(r["transactions_in_burst"] for r in V.burst_sizes(df, 10, skew).collect()) == [1, 2, 41]
+    groups = {r["transaction_id"]: (r["previous_transaction_timestamp"], r["starts_new_burst"], r["burst_id"])
+              for r in V.burst_groups(df, 10, skew).collect()}
+    assert groups == {k: v[:3] for k, v in want.items()}
     # rolling counts run on per-instant counts, so the instant is one row there
     counts = {r["transaction_id"]: r["transactions_in_window"]
               for r in V.rolling_transaction_count(df, 10, skew).collect()}
