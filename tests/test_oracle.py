@@ -5,7 +5,9 @@ import math
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from spendwatch.plans.oracle import oracle_sql
+from spendwatch.plans.registry import queries
 
 from .conftest import SF0001
 
