@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from spendwatch.llm.common import table
+from spendwatch.llm.decontam import decontaminate, decontaminate_sql
+from spendwatch.llm.quality import quality_rules, quality_sql
 from spendwatch.llm.sharding import shard_documents, shard_sql
 from spendwatch.llm.warc import warc_round_trip, warc_sql
 
@@ -16,20 +18,34 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_round_trip(table(spark, sf_dir, "pages"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base figures and line-frequency verdict of all documents."""
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents placed in 8 shards by the hash tree."""
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents against all benchmark items."""
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": op1_warc,
+        "op3_quality": op3_quality,
         "op7_sharding": op7_sharding,
+        "op10_decontamination": op10_decontamination,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_warc": warc_sql(),
+        "op3_quality": quality_sql(),
         "op7_sharding": shard_sql(),
+        "op10_decontamination": decontaminate_sql(),
     }
