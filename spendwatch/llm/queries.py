@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spendwatch.llm.common import table
 from spendwatch.llm.decontam import decontaminate, decontaminate_sql
+from spendwatch.llm.html import extract_text
+from spendwatch.llm.packing import pack_documents
 from spendwatch.llm.quality import quality_rules, quality_sql
 from spendwatch.llm.sharding import shard_documents, shard_sql
 from spendwatch.llm.warc import warc_round_trip, warc_sql
@@ -23,6 +25,16 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 1024 tokens."""
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents placed in 8 shards by the hash tree."""
     return shard_documents(table(spark, sf_dir, "documents"))
@@ -37,6 +49,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": op1_warc,
         "op3_quality": op3_quality,
+        "op4_html": op4_html,
+        "op6_packing": op6_packing,
         "op7_sharding": op7_sharding,
         "op10_decontamination": op10_decontamination,
     }
