@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from spendwatch.llm.common import table
 from spendwatch.llm.decontam import decontaminate, decontaminate_sql
 from spendwatch.llm.html import extract_text
+from spendwatch.llm.neardup import near_duplicates
 from spendwatch.llm.packing import pack_documents
 from spendwatch.llm.quality import quality_rules, quality_sql
 from spendwatch.llm.sharding import shard_documents, shard_sql
@@ -30,6 +31,11 @@ def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages"))
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 1024 tokens."""
     return pack_documents(table(spark, sf_dir, "documents"))
@@ -50,6 +56,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_warc": op1_warc,
         "op3_quality": op3_quality,
         "op4_html": op4_html,
+        "op5_minhash": op5_minhash,
         "op6_packing": op6_packing,
         "op7_sharding": op7_sharding,
         "op10_decontamination": op10_decontamination,
