@@ -11,6 +11,7 @@ from spendwatch.llm.decontam import decontaminate, decontaminate_sql
 from spendwatch.llm.html import extract_text
 from spendwatch.llm.neardup import near_duplicates
 from spendwatch.llm.packing import pack_documents
+from spendwatch.llm.passages import without_repeats
 from spendwatch.llm.quality import quality_rules, quality_sql
 from spendwatch.llm.sharding import shard_documents, shard_sql
 from spendwatch.llm.warc import warc_round_trip, warc_sql
@@ -46,6 +47,11 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without bytes of 100-byte strings that start earlier."""
+    return without_repeats(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against all benchmark items."""
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
@@ -59,6 +65,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_minhash": op5_minhash,
         "op6_packing": op6_packing,
         "op7_sharding": op7_sharding,
+        "op8_suffix_array": op8_suffix_array,
         "op10_decontamination": op10_decontamination,
     }
 
