@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from spendwatch.llm.common import table
 from spendwatch.llm.decontam import decontaminate, decontaminate_sql
 from spendwatch.llm.html import extract_text
+from spendwatch.llm.lm import score_documents
 from spendwatch.llm.neardup import near_duplicates
 from spendwatch.llm.packing import pack_documents
 from spendwatch.llm.passages import without_repeats
@@ -52,6 +53,11 @@ def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model scores of all documents."""
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against all benchmark items."""
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
@@ -66,6 +72,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_packing": op6_packing,
         "op7_sharding": op7_sharding,
         "op8_suffix_array": op8_suffix_array,
+        "op9_language_model": op9_language_model,
         "op10_decontamination": op10_decontamination,
     }
 
