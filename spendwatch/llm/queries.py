@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from spendwatch.llm.common import table
 from spendwatch.llm.decontam import decontaminate, decontaminate_sql
 from spendwatch.llm.html import extract_text
+from spendwatch.llm.licenses import license_scan, license_sql
 from spendwatch.llm.lm import score_documents
 from spendwatch.llm.neardup import near_duplicates
 from spendwatch.llm.packing import pack_documents
@@ -23,9 +24,14 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_round_trip(table(spark, sf_dir, "pages"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in all documents."""
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base figures and line-frequency verdict of all documents."""
-    return quality_rules(table(spark, sf_dir, "documents"))
+    return quality_rules(table(spark, sf_dir, "documents")).drop("text_key")
 
 
 def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +72,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": op1_warc,
+        "op2_license_scan": op2_license_scan,
         "op3_quality": op3_quality,
         "op4_html": op4_html,
         "op5_minhash": op5_minhash,
@@ -80,6 +87,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_warc": warc_sql(),
+        "op2_license_scan": license_sql(),
         "op3_quality": quality_sql(),
         "op7_sharding": shard_sql(),
         "op10_decontamination": decontaminate_sql(),
