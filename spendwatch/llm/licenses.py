@@ -5,7 +5,8 @@ names and years as they stand) and looked at in units: each line, and the whole
 compared with each template's by ``2 * common / (|unit| + |template|)``. A template
 can only reach the limit if ``|unit|`` lies between ``limit / (2 - limit)`` and its inverse times
 ``|template|``, so units outside every template's bounds are dropped on size alone and each unit meets
-only templates within its bounds. Units of one word are compared as that word.
+only templates within its bounds. By the same bound a unit must share so many of a template's bigrams that it
+has one of a few words; units without any are dropped first. Units of one word are compared as that word.
 
 The templates are a small literal table: no join, no shuffle. Every text is read whole.
 
@@ -15,6 +16,9 @@ order of its id; repeated rows each get a row; an empty table gives an empty res
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -84,38 +88,74 @@ def _bounds(size: int, percent: int) -> tuple[int, int]:
     return -(-size * percent // (200 - percent)), size * (200 - percent) // percent
 
 
+def required_words(sets: list[list[str]], percent: int) -> list[str]:
+    """Strings of which a unit that reaches the limit with any template contains at least one.
+
+    It shares at least ``limit / (2 - limit)`` of the template's bigrams, so it cannot lack all of any larger part:
+    words are chosen, long ones first, until the bigrams that they touch are such a part of each template.
+    """
+    chosen: list[str] = []
+    for grams in sorted(sets, key=len):
+        spare = len(grams) + (-len(grams) * percent // (200 - percent))
+        words = {w for g in grams for w in g.split()}
+        while sum(any(c in g for c in chosen) for g in grams) <= spare:
+            rest = [w for w in words if not any(c in w for c in chosen)]
+            touch = {w: (sum(w in g.split() for g in grams), sum(any(w in g.split() for g in s) for s in sets)) for w in rest}
+            chosen.append(max(rest, key=lambda w: (len(w) > 4, not w.isdigit(), touch[w], w)))
+    return chosen
+
+
 def license_matches(docs: DataFrame, templates: dict[str, str] = TEMPLATES, percent: int = PERCENT) -> DataFrame:
     """(doc_id, unit, license, dice_percent): the best template of each line (unit from 0) or whole text (unit -1) that reaches the limit."""
     sets = {k: template_bigrams(v) for k, v in sorted(templates.items())}
-    windows = [_bounds(len(v), percent) for v in sets.values()]
-    # a line's words bound its bigrams from above, its bigrams can be fewer
-    least = min(a for a, _ in windows)
+    bounds = [_bounds(len(v), percent) for v in sets.values()]
+    least, most = min(a for a, _ in bounds), max(b for _, b in bounds)
+    literal = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("license"),
+                F.lit(-k).alias("order"),
+                F.lit(low).alias("low"),
+                F.lit(high).alias("high"),
+                F.lit(len(have)).alias("n"),
+                F.array(*map(F.lit, have)).alias("grams"),
+            )
+            for k, ((name, have), (low, high)) in enumerate(zip(sets.items(), bounds))
+        ]
+    )
+
+    def similar(unit: Column) -> Column:
+        """The unit's best template; all inside lambdas, so that nothing is computed twice."""
+
+        def dice(t: Column) -> Column:
+            share = F.lit(200.0) * F.size(F.array_intersect(unit["grams"], t["grams"])) / (F.size(unit["grams"]) + t["n"])
+            return F.struct(share.alias("dice"), t["order"].alias("order"), t["license"].alias("license"))
+
+        near = F.filter(literal, lambda t: F.size(unit["grams"]).between(t["low"], t["high"]))
+        return F.struct(unit["unit"].alias("unit"), F.array_max(F.transform(near, dice)).alias("best"))
+
+    asked = required_words(list(sets.values()), percent)
+
+    def likely(x: Column) -> Column:
+        """Whether a required word is in the text, which is lowered once."""
+        return F.exists(F.array(F.lower(x)), lambda low: functools.reduce(operator.or_, [low.contains(w) for w in asked]))
+
     text = F.coalesce("text", F.lit(""))
     lines = F.transform(F.split(text, "\n"), lambda x, i: F.struct(i.alias("unit"), x.alias("raw")))
     whole = F.array(F.struct(F.lit(-1).alias("unit"), text.alias("raw")))
-    several = F.instr(text, "\n") > 0  # else the whole text is its only line
-    units = docs.select("doc_id", F.explode(F.when(several, F.concat(lines, whole)).otherwise(lines)).alias("u"))
-    words = units.select("doc_id", "u.unit", F.array_remove(F.split(normalised(F.col("u.raw")), " "), "").alias("words"))
-    # of one line, the bigrams are at least as many as the distinct words less one
-    grams = words.where(F.size("words") >= max(1, least)).where(
-        F.size(F.array_distinct("words")) - 1 <= max(b for _, b in windows)
-    ).select("doc_id", "unit", bigrams(F.col("words")).alias("grams"))
-    n = F.size("grams")
-    scores = [
-        F.when(
-            n.between(*window),
-            F.struct(
-                (F.lit(200.0) * F.size(F.array_intersect(F.col("grams"), F.array(*map(F.lit, have)))) / (n + len(have))).alias("dice"),
-                F.lit(-k).alias("order"),
-                F.lit(name).alias("license"),
-            ),
-        )
-        for k, ((name, have), window) in enumerate(zip(sets.items(), windows))
-    ]
-    best = F.array_max(F.array(*scores)) if scores else F.lit(None)
-    # evaluated once: the template of greatest similarity, the first among equals
-    found = grams.where(n <= max(b for _, b in windows)).select("doc_id", "unit", best.alias("best")).where(F.col("best.dice") >= percent)
-    return found.select("doc_id", "unit", F.col("best.license").alias("license"), F.round("best.dice", 6).alias("dice_percent"))
+    units = F.when(likely(text), F.when(F.instr(text, "\n") > 0, F.concat(lines, whole)).otherwise(lines))  # else the text is its only line
+    units = F.filter(units, lambda u: likely(u["raw"]))
+    split = lambda x: F.array_remove(F.split(normalised(x), " "), "")
+    units = F.transform(units, lambda u: F.struct(u["unit"].alias("unit"), split(u["raw"]).alias("words")))
+    # distinct words less one are at most the bigrams, all words at least
+    sized = F.filter(units, lambda u: (F.size(u["words"]) >= max(1, least)) & (F.size(F.array_distinct(u["words"])) - 1 <= most))
+    grams = F.transform(sized, lambda u: F.struct(u["unit"].alias("unit"), bigrams(u["words"]).alias("grams")))
+    found = F.filter(F.transform(grams, similar), lambda x: x["best"]["dice"] >= percent)
+    # the outer form, as the inner one makes Spark compute the array again for a filter on its size
+    rows = docs.select("doc_id", F.explode_outer(found).alias("u")).where("u is not null")
+    return rows.select(
+        "doc_id", "u.unit", F.col("u.best.license").alias("license"), F.round("u.best.dice", 6).alias("dice_percent")
+    )
 
 
 def license_scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, percent: int = PERCENT) -> DataFrame:
