@@ -10,7 +10,6 @@ from spendwatch.functions.exprs import (  # noqa: F401
     money_avg,
     money_sum,
     money_units,
-    units_to_money,
     month_start,
     round_half_away,
     safe_divide,

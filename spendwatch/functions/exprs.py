@@ -6,6 +6,8 @@ inside whole-stage codegen.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
@@ -44,23 +46,39 @@ def safe_divide(numerator: Column | str, denominator: Column | str) -> Column:
 
 # Money is summed exactly and converted to double once.  A double sum depends
 # on the order rows are added in, i.e. on partitioning; near a rounding tie (a
-# mean of exactly x.xx5) that decides the rounded report value.  Each amount
-# becomes an integer number of micro-units (exact for amounts with up to 6
-# decimals, cents in practice) and the integers are accumulated as
-# decimal(38,0), which cannot overflow; integer-to-decimal and decimal
-# addition stay on Spark's long fast path, about 3x the cost of a double sum
-# where a double-to-decimal cast per row is about 5x.
+# mean of exactly x.xx5) that decides the rounded report value.
+#
+# Rule: an amount that is a whole number of micro-units within 2^53 of them
+# (any amount with up to 6 decimals below 9.0e9) enters as that integer; the
+# integers add up as decimal(38,0), exactly and in any order.  Every other
+# amount (finer, larger, infinite, NaN) enters a double sum beside it, as in
+# SQL: nothing is rounded or refused, NaN and infinities show in the result,
+# and only the last bits of such a sum can depend on the order of rows.
 MICRO_UNITS = 1_000_000
+_MOST_UNITS = float(2**53)
 
 
 def money_units(col: Column | str) -> Column:
-    """An amount as an exact integer count of micro-units (decimal(38,0))."""
-    return F.rint(_c(col) * F.lit(float(MICRO_UNITS))).cast("long").cast("decimal(38,0)")
+    """An amount as a whole number of micro-units (bigint); NULL if it is not one."""
+    scaled = F.rint(_c(col) * F.lit(float(MICRO_UNITS)))
+    whole = (F.abs(scaled) <= F.lit(_MOST_UNITS)) & (scaled / F.lit(float(MICRO_UNITS)) == _c(col))
+    return F.when(whole, scaled.cast("long"))
+
+
+def money_rest(col: Column | str) -> Column:
+    """The amount if it is not a whole number of micro-units, else NULL."""
+    return F.when(money_units(col).isNull(), _c(col))
+
 
+def exact_units(col: Column | str) -> Column:
+    """``money_units`` in the type they are summed in."""
+    return money_units(col).cast("decimal(38,0)")
 
-def units_to_money(units: Column) -> Column:
-    """A micro-unit total back to a double amount."""
-    return units.cast("double") / F.lit(float(MICRO_UNITS))
+
+def money_total(units: Column, rest: Column) -> Column:
+    """Total of the summed units and the summed rest, as double; NULL over no amounts."""
+    exact = units.cast("double") / F.lit(float(MICRO_UNITS))
+    return F.when(rest.isNull(), exact).when(exact.isNull(), rest).otherwise(exact + rest)
 
 
 def _over(agg: Column, window: WindowSpec | None) -> Column:
@@ -70,7 +88,7 @@ def _over(agg: Column, window: WindowSpec | None) -> Column:
 def money_sum(col: Column | str, window: WindowSpec | None = None) -> Column:
     """Exact sum of an amount column, as double (NULL over no rows); a window
     aggregate when ``window`` is given."""
-    return units_to_money(_over(F.sum(money_units(col)), window))
+    return money_total(_over(F.sum(exact_units(col)), window), _over(F.sum(money_rest(col)), window))
 
 
 def money_avg(col: Column | str, window: WindowSpec | None = None) -> Column:
@@ -78,6 +96,44 @@ def money_avg(col: Column | str, window: WindowSpec | None = None) -> Column:
     return F.try_divide(money_sum(col, window), _over(F.count(_c(col)), window))
 
 
+# Mean and deviation from exact totals, so that a grouped and a window
+# aggregate give the same doubles.
+def money_moments(col: Column | str, prefix: str) -> dict[str, Callable[[WindowSpec | None], Column]]:
+    """Aggregates behind ``money_statistics``: name -> function of a window spec or None."""
+    square = money_units(col).cast("decimal(19,0)") * money_units(col).cast("decimal(19,0)")
+    raw = {
+        "n": F.count(_c(col)),
+        "units": F.sum(exact_units(col)),
+        "squares": F.try_sum(square.cast("decimal(38,0)")),
+        "rest": F.sum(money_rest(col)),
+        "rest_n": F.count(money_rest(col)),
+        "sd": F.stddev_pop(_c(col)),
+    }
+    return {f"{prefix}{name}": (lambda w, a=agg: _over(a, w)) for name, agg in raw.items()}
+
+
+def money_statistics(prefix: str) -> tuple[Column, Column]:
+    """(mean, population standard deviation) from the columns of ``money_moments``.
+
+    With S units over n amounts, S = n m + r for the whole number m, and
+    n var = (Q - m S - r m) - r^2 / n: the bracket is exact in decimal and the
+    last term is below n, so equal amounts give exactly 0 and exact ties stay
+    exact.  Where amounts are not all whole units, or the squares leave
+    decimal(38,0), the double aggregate stands in.
+    """
+    n, units = F.col(f"{prefix}n"), F.col(f"{prefix}units")
+    mean = F.try_divide(money_total(units, F.col(f"{prefix}rest")), n)
+    whole = F.expr(f"CAST({prefix}units div nullif({prefix}n, 0) AS DECIMAL(20,0))")
+    left = units - whole * n.cast("decimal(18,0)")
+    exact = F.try_subtract(
+        F.try_subtract(F.col(f"{prefix}squares"), F.try_multiply(whole, units)), F.try_multiply(whole, left.cast("decimal(18,0)"))
+    ).cast("double")
+    spread = exact - left.cast("double") * left.cast("double") / n
+    sd = F.sqrt(F.greatest(spread, F.lit(0.0)) / n) / F.lit(float(MICRO_UNITS))
+    double = (F.col(f"{prefix}rest_n") > 0) | exact.isNull()
+    return mean, F.when(double, F.col(f"{prefix}sd")).otherwise(sd)
+
+
 def zero_if_null(col: Column | str) -> Column:
     """An aggregate over no rows gives NULL; report it as 0."""
     return F.coalesce(_c(col), F.lit(0))

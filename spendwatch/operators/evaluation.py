@@ -13,17 +13,15 @@ from pyspark.sql import functions as F
 from spendwatch.functions.exprs import money_avg, money_sum, round_half_away, safe_divide, zero_if_null
 from spendwatch.operators.velocity import (
     approved_only,
-    window_count_column,
+    rolling_velocity_rule,
     with_rolling_counts,
 )
 from spendwatch.params import (
-    BEST_CONFIG_FORMAT,
     BURST_METHOD_FORMAT,
     DEFAULT_SKEW,
     DEFAULT_SWEEP,
     FRAUD_NONE,
     FRAUD_VELOCITY,
-    PERCENT_FORMAT,
     RuleParams,
     SkewParams,
     SweepParams,
@@ -170,7 +168,7 @@ def velocity_threshold_experiment(txn: DataFrame, sweep: SweepParams = DEFAULT_S
     not_vel = F.col("fraud_type") != F.lit(VELOCITY_LABEL)
     aggs = []
     for i, (w, k) in enumerate(configs):
-        pred = F.col(window_count_column(w)) >= k
+        pred = rolling_velocity_rule(w, k)
         aggs += [
             _count_if(is_vel & pred).alias(f"tp{i}"),
             _count_if(not_vel & pred).alias(f"fp{i}"),
@@ -215,18 +213,3 @@ def best_velocity_config(experiment: DataFrame) -> DataFrame:
     return experiment.orderBy(
         F.desc("recall"), F.desc("precision"), F.asc("window_minutes"), F.asc("minimum_transactions")
     ).limit(1)
-
-
-def best_velocity_config_text(best: DataFrame) -> DataFrame:
-    """The highest-recall configuration as report text: "<k> transactions
-    within <w> minutes" and the rates as percentages with two decimals."""
-    def pct(c: str) -> Column:
-        return F.format_string(PERCENT_FORMAT, F.col(c) * F.lit(100.0))
-
-    return best.select(
-        F.format_string(BEST_CONFIG_FORMAT, "minimum_transactions", "window_minutes")
-        .alias("configuration"),
-        pct("recall").alias("recall_pct"),
-        pct("precision").alias("precision_pct"),
-        pct("false_positive_rate").alias("false_positive_rate_pct"),
-    )

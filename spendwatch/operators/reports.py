@@ -10,14 +10,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendwatch.functions.exprs import (
+    exact_units,
     is_approved,
     is_declined,
     money_avg,
+    money_rest,
     money_sum,
-    money_units,
+    money_total,
     month_start,
     round_half_away,
-    units_to_money,
 )
 from spendwatch.params import (
     BUDGET_AT_RISK,
@@ -140,37 +141,37 @@ def merchant_status_counts(txn: DataFrame) -> DataFrame:
     return txn.groupBy("merchant_id", "transaction_status", "decline_reason").agg(
         F.count(F.lit(1)).alias("_n"),
         F.count("amount").alias("_n_amount"),
-        F.sum(money_units("amount")).alias("_amount"),  # exact, see money_sum
+        F.sum(exact_units("amount")).alias("_units"),  # see money_sum
+        F.sum(money_rest("amount")).alias("_rest"),
     )
 
 
-def _per_merchant(counts: DataFrame, with_top_reason: bool = False) -> DataFrame:
+def _per_merchant(counts: DataFrame) -> DataFrame:
     approved_n = F.sum(F.when(is_approved(), F.col("_n")).otherwise(0))
     aggs = [
         F.sum("_n").alias("total_transactions"),
         approved_n.alias("approved_transactions"),
         F.sum(F.when(is_declined(), F.col("_n")).otherwise(0)).alias("declined_transactions"),
-        units_to_money(F.sum("_amount")).alias("_total_value"),
+        money_total(F.sum("_units"), F.sum("_rest")).alias("_total_value"),
         F.try_divide(
-            units_to_money(F.sum(F.when(is_approved(), F.col("_amount")))),
+            money_total(F.sum(F.when(is_approved(), F.col("_units"))), F.sum(F.when(is_approved(), F.col("_rest")))),
             F.sum(F.when(is_approved(), F.col("_n_amount"))),
         ).alias("_avg_approved"),
     ]
-    if with_top_reason:
-        # T12 as an aggregate: the declined (merchant, reason) group with the
-        # smallest (-count, reason is null, reason), i.e. the largest count,
-        # ties to the alphabetically first reason, NULL last -- the row that
-        # row_number() = 1 picks.  Approved groups have no ranking value and
-        # are skipped; a merchant without declines gets NULL.
-        rank = F.when(
-            is_declined(),
-            F.struct(
-                (-F.col("_n")).alias("neg_count"),
-                F.col("decline_reason").isNull().alias("null_last"),
-                F.col("decline_reason").alias("reason"),
-            ),
-        )
-        aggs.append(F.min_by("decline_reason", rank).alias("most_common_decline_reason"))
+    # T12 as an aggregate: the declined (merchant, reason) group with the
+    # smallest (-count, reason is null, reason), i.e. the largest count,
+    # ties to the alphabetically first reason, NULL last -- the row that
+    # row_number() = 1 picks.  Approved groups have no ranking value and
+    # are skipped; a merchant without declines gets NULL.
+    rank = F.when(
+        is_declined(),
+        F.struct(
+            (-F.col("_n")).alias("neg_count"),
+            F.col("decline_reason").isNull().alias("null_last"),
+            F.col("decline_reason").alias("reason"),
+        ),
+    )
+    aggs.append(F.min_by("decline_reason", rank).alias("most_common_decline_reason"))
     return counts.groupBy("merchant_id").agg(*aggs)
 
 
@@ -185,17 +186,22 @@ _METRIC_COLUMNS = [
 ]
 
 
-def merchant_transaction_metrics(txn: DataFrame, merchants: DataFrame,
-                                 counts: DataFrame | None = None) -> DataFrame:
+def merchant_transaction_metrics(txn: DataFrame, merchants: DataFrame) -> DataFrame:
     """Per merchant: total/approved/declined counts, total value of all
     rows, mean of approved amounts only (NULL without approved rows).
 
-    Aggregated by merchant_id first (it determines name, category and
-    country), then joined to the dimension.  ``counts`` is an optional
-    ``merchant_status_counts`` result to derive from.
+    One aggregate by merchant_id (it determines name, category and country)
+    with conditional counts and sums, then the join to the dimension.
     """
-    c = counts if counts is not None else merchant_status_counts(txn)
-    j = _per_merchant(c).join(_merchant_dim(merchants), "merchant_id")
+    approved_amount = F.when(is_approved(), F.col("amount"))
+    per_merchant = txn.groupBy("merchant_id").agg(
+        F.count(F.lit(1)).alias("total_transactions"),
+        F.sum(F.when(is_approved(), 1).otherwise(0)).alias("approved_transactions"),
+        F.sum(F.when(is_declined(), 1).otherwise(0)).alias("declined_transactions"),
+        money_sum("amount").alias("_total_value"),
+        money_avg(approved_amount).alias("_avg_approved"),
+    )
+    j = per_merchant.join(_merchant_dim(merchants), "merchant_id")
     return j.select(
         *_METRIC_COLUMNS,
         round_half_away("_total_value", 2).alias("total_transaction_value"),
@@ -243,7 +249,7 @@ def merchant_decline_analysis(txn: DataFrame, merchants: DataFrame,
     """
     # One pass over the fact: (merchant, status, reason) partial aggregate,
     # then one row per merchant carrying the metrics and the top reason.
-    per_merchant = _per_merchant(merchant_status_counts(txn), with_top_reason=True)
+    per_merchant = _per_merchant(merchant_status_counts(txn))
     j = per_merchant.join(_merchant_dim(merchants), "merchant_id")
     total = F.col("total_transactions")
     approval = F.try_divide(F.lit(100.0) * F.col("approved_transactions"), total)

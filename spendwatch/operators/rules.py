@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendwatch.functions.exprs import money_avg, round_half_away
+from spendwatch.functions.exprs import money_moments, money_statistics, round_half_away
 from spendwatch.operators.velocity import annotate_bursts, approved_only
 from spendwatch.params import (
     DEFAULT_RULES,
@@ -29,20 +29,24 @@ from spendwatch.params import (
 FLAGS = ["large_transaction_flag", "unusual_amount_flag", "velocity_flag", "international_risk_flag"]
 
 
-def _stat_aggregates() -> dict:
-    """T1 aggregates as functions of an optional window spec."""
-    return {
-        "employee_avg_amount": lambda w: money_avg("amount", w),
-        "employee_amount_stddev": lambda w: F.stddev_pop("amount") if w is None else F.stddev_pop("amount").over(w),
-    }
+_MOMENTS = "_sw_m_"
+
+
+def _with_statistics(df: DataFrame) -> DataFrame:
+    """The moment columns turned into the T1 mean and deviation."""
+    mean, sd = money_statistics(_MOMENTS)
+    out = df.select("*", mean.alias("employee_avg_amount"), sd.alias("employee_amount_stddev"))
+    return out.drop(*money_moments("amount", _MOMENTS))
 
 
 def employee_transaction_stats(txn: DataFrame) -> DataFrame:
     """Mean and *population* standard deviation of approved amounts per
     employee (over the whole sample, as the reference SQL does).  A partial
-    aggregate, so a hot employee is combined map-side."""
-    aggs = _stat_aggregates()
-    return approved_only(txn).groupBy("employee_id").agg(*[a(None).alias(n) for n, a in aggs.items()])
+    aggregate, so a hot employee is combined map-side; computed from exact
+    totals, so the window form in ``transaction_features`` gives the same
+    doubles."""
+    aggs = money_moments("amount", _MOMENTS)
+    return _with_statistics(approved_only(txn).groupBy("employee_id").agg(*[a(None).alias(n) for n, a in aggs.items()]))
 
 
 def transaction_features(
@@ -70,7 +74,8 @@ def transaction_features(
     # plan: window aggregates on the per-employee partition, or a partial
     # aggregate on the per-bucket summary when employees are split.
     rows = annotate_bursts(approved, rules.burst_gap_minutes, skew, per_key=per_key,
-                           key_aggregates=_stat_aggregates(), need_previous=False)
+                           key_aggregates=money_moments("amount", _MOMENTS), need_previous=False)
+    rows = _with_statistics(rows)
     if merchants is not None:
         rows = rows.join(merchants.select("merchant_id", "merchant_name", "category"), "merchant_id")
     return rows

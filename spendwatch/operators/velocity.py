@@ -4,12 +4,15 @@ Both rules order an employee's approved transactions in time.  A plain
 ``Window.partitionBy("employee_id")`` puts each employee in one task, so an
 employee holding a large share of all rows would serialize the job.
 
-* ``detect_hot_keys`` samples the rows (one small job), estimates rows per
-  employee and, for employees above ``SkewParams.rows_per_bucket``, picks a
-  time-bucket width that gives buckets of about that many rows.  The list has
-  at most N / rows_per_bucket rows, so it is broadcast.
-* No hot employee: the textbook plan, one exchange by employee feeding
-  ``lag``, the running sum and the burst count (and the RANGE counts).
+* ``hot_key_buckets`` is part of the plan: a sampled aggregate that estimates rows
+  per employee and, for employees above ``SkewParams.rows_per_bucket``, picks a
+  time-bucket width that gives buckets of about that many rows.  It is joined
+  null-safely (a NULL employee can be hot too) and the planner sizes the join;
+  no job runs while a plan is built.
+* Rows of other employees take the textbook plan: one exchange by employee feeding
+  ``lag``, the running sum and the burst count (and the rolling counts).  Rows
+  of hot employees take the plans below, and both are united.  With no hot
+  employee the second branch is empty and adaptive execution drops it.
 * Hot employees, bursts (T3-T5, P9 and the fraud scoring): gap-wide
   buckets.  Two rows of a ``gap + 1 µs`` bucket are never more than a gap
   apart, so bursts follow from per-bucket partial aggregates and a window
@@ -18,19 +21,13 @@ employee holding a large share of all rows would serialize the job.
 * Hot employees, previous timestamp (T2-T4): a row's predecessor shares its
   instant unless it has the smallest id there, else it is the previous
   distinct instant; the lag runs over per-(employee, instant) rows, keyed
-  by ``(employee_id, time bucket)`` with buckets of about
-  ``rows_per_bucket`` instants, every other employee one bucket.
-* Time-bucket split: each (employee, bucket) is segmented locally with ``lag`` and a
-  running sum.  A per-bucket summary (min/max time, segment count, first and
-  last segment size) is stitched across buckets with windows over the
-  summary only, and joined back on ``(employee_id, bucket)``, which is how
-  the rows are already partitioned.  Burst ids and sizes are exact for any
-  bucketing, including bursts spanning many buckets.
-* Rolling counts with hot keys: the rows are first counted per (employee,
-  instant) -- a partial aggregate, so rows sharing an instant become one --
-  then each instant is copied into the later buckets its look-back window
-  reaches, a RANGE sum of the counts runs per (employee, bucket), the copies
-  are dropped and the rows join back on (employee, instant).
+  by ``(employee_id, time bucket)``, with the bucket before giving the first row's.
+* Rolling counts are differences of running totals: a row adds one at its
+  time and takes it away just after its window, so each count is one
+  growing sum over these events, whose cost does not depend on how many rows a
+  window holds.  For hot employees the rows are first counted per (employee,
+  instant), events are dealt to the time bucket they fall in, summed there, and
+  shifted by the totals of the buckets before, for any bucket width.
 
 Rows that share a timestamp are ordered by ``transaction_id`` everywhere, so
 ``lag`` and the running sum agree on peer order.
@@ -38,7 +35,6 @@ Rows that share a timestamp are ordered by ``transaction_id`` everywhere, so
 
 from __future__ import annotations
 
-import weakref
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -70,7 +66,7 @@ def hot_key_buckets(df: DataFrame, skew: SkewParams = DEFAULT_SKEW, key: str = K
     Estimated from a sample; the estimate only steers the physical split, the
     results do not depend on it.
     """
-    f = float(skew.sample_fraction)
+    f = min(float(skew.sample_fraction), 1.0)
     sampled = df.select(key, epoch_micros(ts).alias(_US))
     if f < 1.0:
         sampled = sampled.sample(fraction=f, seed=skew.seed)
@@ -83,71 +79,25 @@ def hot_key_buckets(df: DataFrame, skew: SkewParams = DEFAULT_SKEW, key: str = K
     span = (F.col("_hi") - F.col("_lo") + 1).cast("double")
     width = F.greatest(
         F.lit(max(minutes_to_micros(skew.min_bucket_minutes), 1)).cast("long"),
-        (span * F.lit(threshold) / F.col("_n")).cast("long"),
+        F.coalesce((span * F.lit(threshold) / F.col("_n")).cast("long"), F.lit(1).cast("long")),
     )
     return per_key.where(F.col("_n") >= F.lit(threshold)).select(key, width.alias(_BW))
 
 
-def _floor_div(num: str, den: str) -> Column:
-    return F.expr(f"({num} - pmod({num}, {den})) div {den}")
-
-
-def _with_buckets(df: DataFrame, hot: DataFrame, key: str, ts: str,
-                  min_width_us: int = 0) -> DataFrame:
-    """Adds ``_US`` (unless present), ``_BW`` (widened to ``min_width_us``)
-    and ``_BKT``."""
-    if _US not in df.columns:
-        df = df.withColumn(_US, epoch_micros(ts))
-    out = df.join(F.broadcast(hot), key, "left")
-    if min_width_us:
-        # greatest() skips NULLs, so keep unsplit keys NULL explicitly.
-        out = out.withColumn(
-            _BW,
-            F.when(F.col(_BW).isNotNull(), F.greatest(F.col(_BW), F.lit(min_width_us).cast("long"))),
-        )
-    # A NULL time goes to a last bucket of its own (SQL sorts NULL times
-    # last); a non-NULL bucket keeps the equi-joins on (key, bucket) whole.
-    return out.withColumn(
-        _BKT,
-        F.when(F.col(_BW).isNull(), F.lit(0).cast("long"))
-        .when(F.col(_US).isNull(), F.lit(_NULL_TIME_BUCKET))
-        .otherwise(_floor_div(_US, _BW)),
-    )
-
-
-_PROFILES: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
-
-# Hot-key lists up to this many rows are brought back as a literal table;
-# longer ones (still at most N / rows_per_bucket rows) stay distributed.
-LOCAL_HOT_KEYS = 10_000
+def _with_width(rows: DataFrame, skew: SkewParams, key: str, ts: str) -> DataFrame:
+    """Adds the bucket width of each row's key, NULL unless the key is hot.
 
+    Null-safe, so a hot NULL key is found too.  The hot list has at most about
+    N / rows_per_bucket rows; the planner and adaptive execution choose the join
+    by its size.
+    """
+    hot = hot_key_buckets(rows, skew, key, ts).withColumnRenamed(key, "_sw_hot")
+    return rows.join(hot, rows[key].eqNullSafe(hot["_sw_hot"]), "left").drop("_sw_hot")
 
-def detect_hot_keys(approved: DataFrame, skew: SkewParams = DEFAULT_SKEW, key: str = KEY,
-                    ts: str = TS) -> DataFrame | None:
-    """Runs the sampled detection as one small job.
 
-    Returns the hot-key table (at most N / rows_per_bucket rows, so it can
-    be broadcast), or None when no key is hot; the caller then plans the
-    plain per-key windows.  Only the first ``LOCAL_HOT_KEYS + 1`` rows are
-    fetched: a short list becomes a literal table, a longer one is left as
-    the distributed detection plan.  With ``skew.reuse_profile`` the result
-    is remembered per session for the same (key, time) input plan, so
-    several products over one table profile it once.
-    """
-    spark = approved.sparkSession
-    cache_key = (approved.select(key, ts).semanticHash(), skew, key, ts)
-    cache = _PROFILES.setdefault(spark, {})
-    if skew.reuse_profile and cache_key in cache:
-        found, schema = cache[cache_key]
-    else:
-        hot = hot_key_buckets(approved, skew, key, ts)
-        found, schema = hot.limit(LOCAL_HOT_KEYS + 1).collect(), hot.schema
-        cache[cache_key] = (found, schema)
-    if not found:
-        return None
-    if len(found) > LOCAL_HOT_KEYS:
-        return hot_key_buckets(approved, skew, key, ts)
-    return spark.createDataFrame(found, schema)
+def _bucket(us: Column, width: Column) -> Column:
+    """Number of the time bucket; a NULL time has the last bucket (SQL sorts NULL times last)."""
+    return F.when(us.isNull(), F.lit(_NULL_TIME_BUCKET)).otherwise(F.floor((us - F.pmod(us, width)) / width).cast("long"))
 
 
 # --------------------------------------------------------------------------
@@ -194,69 +144,71 @@ def annotate_bursts(
     ``starts_new_burst``, ``burst_id`` (1-based per key) and
     ``transactions_in_burst``.
 
-    With ``need_previous=False`` the previous timestamp column is NULL and,
-    when hot keys exist, the gap-wide bucket plan is used: it needs no
-    ordering inside a bucket, so even a hot employee packed into one instant
-    is spread over tasks.
+    With ``need_previous=False`` the previous timestamp of hot employees is
+    NULL: gap-wide buckets need no ordering inside a bucket, so even a hot employee
+    packed into one instant is spread over tasks.
 
     A row starts a new burst when it has no predecessor or its timestamp is
     strictly more than ``gap_minutes`` after the predecessor's.
 
     ``key_aggregates`` (name -> function of a window spec, or None, returning
     an aggregate over the rows of a key) adds per-key aggregates to every
-    row: window aggregates over the per-key partition when no key is hot (no
-    extra scan or shuffle), a partial aggregate joined to the per-bucket
-    summary when hot keys are split.
+    row: window aggregates over the per-key partition, or a partial aggregate
+    joined to the per-bucket summary for hot employees.  They must give the
+    same value in both forms (see ``exprs.money_moments``).
 
     ``per_key`` (optional, keyed by ``key``) is inner-joined per employee:
-    onto the rows when they are partitioned by employee, onto the per-bucket
-    summary when hot employees are split, so the rows are never reshuffled
-    for it.
+    onto rows partitioned by employee, onto the per-bucket summary for hot
+    employees, so the rows are never reshuffled for it.
     """
     gap_us = minutes_to_micros(gap_minutes)
     aggs = dict(key_aggregates or {})
     extra = [c for c in per_key.columns if c != key] if per_key is not None else []
     out_cols = approved.columns + list(aggs) + extra + BURST_COLUMNS
-    hot = detect_hot_keys(approved, skew, key, ts)
-    if hot is None:
-        rows = _bursts_per_key(approved, gap_us, key, ts, tid)
-        if aggs:
-            whole_key = Window.partitionBy(key)
-            rows = rows.select("*", *[agg(whole_key).alias(name) for name, agg in aggs.items()])
-        if per_key is not None:
-            rows = rows.join(per_key, key)
-        return rows.select(*out_cols)
+    tagged = _with_width(approved, skew, key, ts)
+    plain = _bursts_per_key(tagged.where(F.col(_BW).isNull()).drop(_BW), gap_us, key, ts, tid)
     if aggs:
-        per_key_aggs = approved.groupBy(key).agg(*[agg(None).alias(name) for name, agg in aggs.items()])
-        per_key = per_key_aggs if per_key is None else per_key_aggs.join(per_key, key)
-    out = _bursts_gap_buckets(approved, gap_us, per_key, key, ts, tid)
+        whole_key = Window.partitionBy(key)
+        plain = plain.select("*", *[agg(whole_key).alias(name) for name, agg in aggs.items()])
+    if per_key is not None:
+        plain = plain.join(per_key, key)
+    hot = tagged.where(F.col(_BW).isNotNull())
+    summary = per_key
+    if aggs:
+        summary = hot.groupBy(key).agg(*[agg(None).alias(name) for name, agg in aggs.items()])
+        if per_key is not None:
+            summary = summary.join(per_key, key)
+    split = _bursts_gap_buckets(hot.drop(_BW), gap_us, summary, key, ts, tid)
     if need_previous:
-        out = _with_previous_times(out, approved, hot, key, ts, tid)
-    return out.select(*out_cols)
+        split = _with_previous_times(split.drop("previous_transaction_timestamp"), hot, key, ts, tid)
+    return plain.select(*out_cols).unionByName(split.select(*out_cols))
 
 
-def _with_previous_times(rows: DataFrame, approved: DataFrame, hot: DataFrame,
-                         key: str, ts: str, tid: str) -> DataFrame:
-    """``previous_transaction_timestamp`` without ordering the rows.
+def _with_previous_times(rows: DataFrame, hot: DataFrame, key: str, ts: str, tid: str) -> DataFrame:
+    """``previous_transaction_timestamp`` of hot employees' rows without ordering the rows.
 
     A row's predecessor shares its instant unless the row has the smallest id
     there; otherwise it is the last row of the previous distinct instant.  So
     the rows are counted per (key, instant) -- rows sharing an instant become
-    one -- the previous instant comes from a lag over that narrow table (split
-    into time buckets for hot keys), and the rows join back on (key,
-    instant).
+    one -- and a lag runs over the instants of each time bucket, whose first
+    takes the last instant of the bucket before.  NULL times are one instant, the last.
     """
-    timed = approved.withColumn(_US, epoch_micros(ts))
-    instants = timed.groupBy(key, _US).agg(
-        F.min(tid).alias("_sw_first_tid"), F.max(ts).alias("_sw_its")
-    ).select(key, _US, F.col("_sw_its").alias(ts), F.col("_sw_first_tid").alias(tid))
-    prev = _bursts_split(instants.drop(_US), hot, 0, None, key, ts, tid).select(
+    timed = hot.withColumn(_US, epoch_micros(ts))
+    instants = timed.groupBy(key, _BW, _US).agg(F.min(tid).alias("_sw_first_tid"), F.max(ts).alias("_sw_its"))
+    instants = instants.withColumn(_BKT, _bucket(F.col(_US), F.col(_BW)))
+    within = Window.partitionBy(key, _BKT).orderBy(F.col(_US).asc_nulls_last())
+    instants = instants.withColumn("_sw_before", F.lag("_sw_its").over(within))
+    across = Window.partitionBy(key).orderBy(_BKT)
+    ends = instants.groupBy(key, _BKT).agg(F.max("_sw_its").alias("_sw_last")).select(
+        F.col(key).alias("_sw_ek"), F.col(_BKT).alias("_sw_eb"), F.lag("_sw_last").over(across).alias("_sw_carried")
+    )
+    prev = instants.join(ends, instants[key].eqNullSafe(ends["_sw_ek"]) & (instants[_BKT] == ends["_sw_eb"])).select(
         F.col(key).alias("_sw_pk"),
-        epoch_micros(ts).alias("_sw_pt"),
-        F.col(tid).alias("_sw_first_tid"),
-        F.col("previous_transaction_timestamp").alias("_sw_prev_instant"),
+        F.col(_US).alias("_sw_pt"),
+        "_sw_first_tid",
+        F.coalesce("_sw_before", "_sw_carried").alias("_sw_prev_instant"),
     )
-    rows = rows.drop("previous_transaction_timestamp")
+    rows = rows.withColumn(_US, epoch_micros(ts))
     j = rows.join(prev, rows[key].eqNullSafe(prev["_sw_pk"]) & rows[_US].eqNullSafe(prev["_sw_pt"]))
     return j.withColumn(
         "previous_transaction_timestamp",
@@ -279,9 +231,7 @@ def _bursts_gap_buckets(approved: DataFrame, gap_us: int, per_key: DataFrame | N
     """
     width = gap_us + 1
     rows = approved.withColumn(_US, epoch_micros(ts))
-    rows = rows.withColumn(
-        _BKT, F.when(F.col(_US).isNull(), F.lit(_NULL_TIME_BUCKET)).otherwise(_floor_div(_US, str(width)))
-    ).withColumn("_sw_sub", F.when(F.col(_US).isNull(), F.col(tid)).otherwise(F.lit(None).cast(
+    rows = rows.withColumn(_BKT, _bucket(F.col(_US), F.lit(width).cast("long"))).withColumn("_sw_sub", F.when(F.col(_US).isNull(), F.col(tid)).otherwise(F.lit(None).cast(
         approved.schema[tid].dataType)))
     first_key = F.struct(F.col(_US), F.col(tid))
     buckets = rows.groupBy(key, _BKT, "_sw_sub").agg(
@@ -322,126 +272,21 @@ def _bursts_gap_buckets(approved: DataFrame, gap_us: int, per_key: DataFrame | N
     )
 
 
-def _bursts_split(approved: DataFrame, hot: DataFrame, gap_us: int, per_key: DataFrame | None,
-                  key: str, ts: str, tid: str) -> DataFrame:
-    """Hot keys split into time buckets: local segmentation per (key, bucket),
-    a per-bucket summary stitched across buckets, joined back on the rows'
-    own partitioning."""
-    rows = _with_buckets(approved, hot, key, ts)
-
-    # NULL times sort last, as in SQL.
-    w = Window.partitionBy(key, _BKT).orderBy(F.col(_US).asc_nulls_last(), F.col(tid).asc_nulls_last())
-    rows = rows.select(
-        "*",
-        F.lag(_US).over(w).alias("_sw_prev_us"),
-        F.lag(ts).over(w).alias("_sw_prev_ts"),
-        (F.row_number().over(w) == 1).alias("_sw_first_row"),
-    )
-    # A cut inside the bucket: the burst rule for every row but the first
-    # (whose predecessor is in an earlier bucket, handled by the stitch).
-    rows = rows.withColumn(
-        "_sw_cut",
-        F.when(F.col("_sw_first_row"), 0)
-        .when(F.col("_sw_prev_us").isNull() | (F.col(_US) - F.col("_sw_prev_us") > gap_us), 1)
-        .otherwise(0),
-    )
-    rows = rows.withColumn(
-        "_sw_seg", F.sum("_sw_cut").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    )
-    rows = rows.withColumn("_sw_seg_size", F.count(F.lit(1)).over(Window.partitionBy(key, _BKT, "_sw_seg")))
-
-    # One row per (key, bucket): the only data the cross-bucket stitch needs.
-    # Everything below stays partitioned by key: one small exchange.
-    summary = rows.groupBy(key, _BKT).agg(
-        F.min(_US).alias("_sw_first_us"),
-        F.max(_US).alias("_sw_last_us"),
-        F.max(ts).alias("_sw_last_ts"),
-        (F.max("_sw_seg") + 1).alias("_sw_n_segs"),
-        F.count_if(F.col("_sw_seg") == 0).alias("_sw_first_size"),
-        F.max_by("_sw_seg_size", "_sw_seg").alias("_sw_last_size"),
-    )
-    wb = Window.partitionBy(key).orderBy(F.col(_BKT).asc_nulls_last())
-    prev_last = F.lag("_sw_last_us").over(wb)
-    has_prev = F.lag(F.lit(1)).over(wb).isNotNull()
-    # The first row continues the previous bucket's last burst unless the
-    # burst rule starts a new one (no predecessor, predecessor time NULL, or
-    # gap above the limit; a NULL own time compares as not above).
-    summary = summary.select(
-        "*",
-        F.lag("_sw_last_ts").over(wb).alias("_sw_prev_last_ts"),
-        F.when(~has_prev | prev_last.isNull(), 0)
-        .when(F.col("_sw_first_us") - prev_last > gap_us, 0)
-        .otherwise(1)
-        .alias("_sw_joins"),
-    )
-    starts = F.col("_sw_n_segs") - F.col("_sw_joins")
-    summary = summary.withColumn(
-        "_sw_offset",
-        F.coalesce(F.sum(starts).over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-    )
-    first_burst = F.col("_sw_offset") + 1 - F.col("_sw_joins")
-    last_burst = F.col("_sw_offset") + starts
-
-    # The first and last segment of a bucket may continue into neighbouring
-    # buckets; their burst totals are the sums of all pieces with the same
-    # burst id (ids are unique within a key, so a RANGE 0..0 frame ordered by
-    # id adds them up without leaving the key's partition).  Interior
-    # segments are whole already.
-    first_piece = F.struct(F.lit(0).alias("end"), first_burst.alias("burst"),
-                           F.col("_sw_first_size").alias("size"))
-    last_piece = F.struct(F.lit(1).alias("end"), last_burst.alias("burst"),
-                          F.col("_sw_last_size").alias("size"))
-    carried = [key, _BKT, "_sw_prev_last_ts", "_sw_joins", "_sw_offset", "_sw_n_segs"]
-    pieces = summary.select(
-        *carried,
-        F.explode(
-            F.when(F.col("_sw_n_segs") > 1, F.array(first_piece, last_piece)).otherwise(F.array(first_piece))
-        ).alias("p"),
-    ).select(*carried, "p.end", "p.burst", "p.size")
-    by_burst = Window.partitionBy(key).orderBy("burst").rangeBetween(0, 0)
-    pieces = pieces.withColumn("total", F.sum("size").over(by_burst))
-    summary = pieces.groupBy(*carried).agg(
-        F.max(F.when(F.col("end") == 0, F.col("total"))).alias("_sw_first_total"),
-        F.max(F.when(F.col("end") == 1, F.col("total"))).alias("_sw_last_total"),
-    )
-    if per_key is not None:
-        summary = summary.join(per_key, key)
-
-    # NULL-safe on the key: rows of a NULL employee form one group, as in SQL
-    # windows, and must come back too.
-    s2 = summary.withColumnRenamed(key, "_sw_k").withColumnRenamed(_BKT, "_sw_b")
-    out = rows.join(s2, rows[key].eqNullSafe(s2["_sw_k"]) & (rows[_BKT] == s2["_sw_b"]))
-    seg = F.col("_sw_seg")
-    out = (
-        out.withColumn(
-            "previous_transaction_timestamp",
-            F.when(F.col("_sw_first_row"), F.col("_sw_prev_last_ts")).otherwise(F.col("_sw_prev_ts")),
-        )
-        .withColumn(
-            "starts_new_burst",
-            F.when(F.col("_sw_first_row"), 1 - F.col("_sw_joins")).otherwise(F.col("_sw_cut")).cast("int"),
-        )
-        .withColumn("burst_id", (F.col("_sw_offset") + seg + 1 - F.col("_sw_joins")).cast("long"))
-        .withColumn(
-            "transactions_in_burst",
-            F.when(seg == 0, F.col("_sw_first_total"))
-            .when(seg == F.col("_sw_n_segs") - 1, F.col("_sw_last_total"))
-            .otherwise(F.col("_sw_seg_size"))
-            .cast("long"),
-        )
-    )
-    return out
-
-
 def approved_only(txn: DataFrame) -> DataFrame:
     return txn.where(is_approved())
 
 
 def previous_transaction_gap(txn: DataFrame, skew: SkewParams = DEFAULT_SKEW) -> DataFrame:
-    """Previous approved timestamp of the same employee."""
+    """Previous approved timestamp of the same employee (no burst work)."""
     base = approved_only(txn).select(TID, KEY, TS)
-    # The gap value does not influence the previous timestamp.
-    return annotate_bursts(base, 0.0, skew).select(TID, KEY, TS, "previous_transaction_timestamp")
+    tagged = _with_width(base, skew, KEY, TS)
+    w = Window.partitionBy(KEY).orderBy(F.col(TS).asc_nulls_last(), F.col(TID).asc_nulls_last())
+    plain = tagged.where(F.col(_BW).isNull()).select(
+        TID, KEY, TS, F.lag(TS).over(w).alias("previous_transaction_timestamp")
+    )
+    hot = tagged.where(F.col(_BW).isNotNull())
+    split = _with_previous_times(hot.drop(_BW), hot, KEY, TS, TID)
+    return plain.unionByName(split.select(*plain.columns))
 
 
 def burst_boundaries(txn: DataFrame, gap_minutes: float, skew: SkewParams = DEFAULT_SKEW) -> DataFrame:
@@ -502,13 +347,32 @@ def velocity_burst_scored(txn: DataFrame, rules: RuleParams = RuleParams(),
 # --------------------------------------------------------------------------
 
 
-def window_count_column(window_minutes: int) -> str:
-    return f"transactions_in_{int(window_minutes)}_minutes"
+def window_count_column(window_minutes: float) -> str:
+    """Column name of a window width; fractions of a minute keep their digits."""
+    m = float(window_minutes)
+    return f"transactions_in_{int(m) if m.is_integer() else str(m).replace('.', '_')}_minutes"
+
+
+def _rolling_events(rows: DataFrame, widths: Sequence[int], n: Column, keep: list[str]) -> DataFrame:
+    """Each row as events: at its time ``n`` is added for all widths; just after its window ``n`` is taken away for one.
+
+    ``_sw_at`` is the event's time, ``_sw_after`` 1 for those that follow all rows of their time, ``_sw_d<i>`` the change for width i.
+    """
+    def event(at: Column, after: int, which: int | None) -> Column:
+        change = [
+            (n if which is None else -n if which == i else F.lit(0)).cast("long").alias(f"_sw_d{i}") for i in range(len(widths))
+        ]
+        return F.struct(at.alias("_sw_at"), F.lit(after).alias("_sw_after"), *change)
+
+    events = [event(F.col(_US), 0, None)] + [event(F.col(_US) + w, 1, i) for i, w in enumerate(widths)]
+    # a row without a time has no window to leave
+    all_events = F.when(F.col(_US).isNull(), F.array(events[0])).otherwise(F.array(*events))
+    return rows.select(*keep, F.explode(all_events).alias("_sw_e")).select(*keep, "_sw_e.*")
 
 
 def with_rolling_counts(
     approved: DataFrame,
-    windows_minutes: Sequence[int],
+    windows_minutes: Sequence[float],
     skew: SkewParams = DEFAULT_SKEW,
     key: str = KEY,
     ts: str = TS,
@@ -516,53 +380,52 @@ def with_rolling_counts(
 ) -> DataFrame:
     """Adds one count column per distinct width: rows of the same key with a
     timestamp in ``[ts - window, ts]``, both ends inclusive, the row itself and
-    its timestamp peers included.
+    its timestamp peers included; rows without a time count each other.
 
-    All widths share one exchange and one sort.
+    A count is a running total over events (see ``_rolling_events``), so it costs
+    the same however many rows a window holds.  All widths share one
+    exchange and one sort.
     """
-    widths = sorted({int(m) for m in windows_minutes})
-    max_us = minutes_to_micros(max(widths))
-    out_cols = approved.columns + [window_count_column(m) for m in widths]
-    hot = detect_hot_keys(approved, skew, key, ts)
-    if hot is None:
-        rows = approved.withColumn(_US, epoch_micros(ts))
-        w = Window.partitionBy(key).orderBy(F.col(_US).asc_nulls_last())
-        return rows.select(
-            *approved.columns,
-            *[
-                F.count(F.lit(1)).over(w.rangeBetween(-minutes_to_micros(m), Window.currentRow))
-                .alias(window_count_column(m))
-                for m in widths
-            ],
-        )
-    # A RANGE count with peers is a RANGE sum of per-instant counts: the
-    # per-(key, time) partial aggregate collapses any number of rows sharing
-    # an instant into one, the split below runs on that narrow table, and the
-    # rows join back on (key, time).
-    timed = approved.withColumn(_US, epoch_micros(ts))
-    per_time = timed.groupBy(key, _US).agg(F.count(F.lit(1)).alias("_sw_n"))
-    rows = _with_buckets(per_time, hot, key, ts, min_width_us=max_us)
-    reach = F.when(F.col(_BW).isNull() | F.col(_US).isNull(), F.col(_BKT)).otherwise(
-        _floor_div(f"({_US} + {max_us})", _BW)
-    )
-    rows = rows.withColumn("_sw_home", F.col(_BKT)).withColumn(
-        _BKT, F.explode(F.sequence(F.col(_BKT), reach))
+    widths = sorted({minutes_to_micros(m): window_count_column(m) for m in windows_minutes}.items())
+    if widths[0][0] < 0:
+        raise ValueError("a window cannot be negative")
+    micros, names = [w for w, _ in widths], [c for _, c in widths]
+    timed = _with_width(approved, skew, key, ts).withColumn(_US, epoch_micros(ts))
+    whole = approved.columns
+
+    def totals(events: DataFrame, *by: str) -> DataFrame:
+        # NULL times are a partition of their own
+        w = Window.partitionBy(*by, F.col("_sw_at").isNull()).orderBy("_sw_at", "_sw_after")
+        growing = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        return events.select("*", *[F.sum(f"_sw_d{i}").over(growing).alias(c) for i, c in enumerate(names)])
+
+    cold = timed.where(F.col(_BW).isNull())
+    plain = totals(_rolling_events(cold, micros, F.lit(1), whole), key).where("_sw_after = 0").select(*whole, *names)
+
+    # hot keys: instants, dealt to buckets by event time
+    hot = timed.where(F.col(_BW).isNotNull())
+    instants = hot.groupBy(key, _BW, _US).agg(F.count(F.lit(1)).alias("_sw_n"))
+    events = _rolling_events(instants, micros, F.col("_sw_n"), [key, _BW, _US])
+    events = events.withColumn(_BKT, _bucket(F.col("_sw_at"), F.col(_BW)))
+    local = totals(events, key, _BKT).where("_sw_after = 0")
+    before = Window.partitionBy(key).orderBy(_BKT).rowsBetween(Window.unboundedPreceding, -1)
+    carried = events.groupBy(key, _BKT).agg(*[F.sum(f"_sw_d{i}").alias(f"_sw_d{i}") for i in range(len(names))]).select(
+        F.col(key).alias("_sw_ck"),
+        F.col(_BKT).alias("_sw_cb"),
+        *[F.coalesce(F.sum(f"_sw_d{i}").over(before), F.lit(0)).alias(f"_sw_c{i}") for i in range(len(names))],
     )
-    w = Window.partitionBy(key, _BKT).orderBy(F.col(_US).asc_nulls_last())
-    for m in widths:
-        rows = rows.withColumn(
-            window_count_column(m),
-            F.sum("_sw_n").over(w.rangeBetween(-minutes_to_micros(m), Window.currentRow)),
-        )
-    counted = rows.where(F.col(_BKT) == F.col("_sw_home")).select(
-        F.col(key).alias("_sw_k"), F.col(_US).alias("_sw_t"), *[window_count_column(m) for m in widths]
+    timeless = F.col(_US).isNull()  # all that came before has left; only the rows without a time count
+    counted = local.join(carried, local[key].eqNullSafe(carried["_sw_ck"]) & (local[_BKT] == carried["_sw_cb"])).select(
+        F.col(key).alias("_sw_k"),
+        F.col(_US).alias("_sw_t"),
+        *[(F.col(c) + F.when(timeless, F.lit(0)).otherwise(F.col(f"_sw_c{i}"))).alias(c) for i, c in enumerate(names)],
     )
-    # NULL-safe: rows of a NULL employee or a NULL time come back too.
-    out = timed.join(counted, timed[key].eqNullSafe(counted["_sw_k"]) & timed[_US].eqNullSafe(counted["_sw_t"]))
-    return out.select(*out_cols)
+    rows = hot.select(*whole, _US)
+    split = rows.join(counted, rows[key].eqNullSafe(counted["_sw_k"]) & rows[_US].eqNullSafe(counted["_sw_t"]))
+    return plain.unionByName(split.select(*plain.columns))
 
 
-def rolling_transaction_count(txn: DataFrame, window_minutes: int,
+def rolling_transaction_count(txn: DataFrame, window_minutes: float,
                               skew: SkewParams = DEFAULT_SKEW) -> DataFrame:
     """``transactions_in_window`` per approved row."""
     base = approved_only(txn).select(TID, KEY, TS, "is_fraud", "fraud_type")
@@ -573,11 +436,18 @@ def rolling_transaction_count(txn: DataFrame, window_minutes: int,
     )
 
 
-def rolling_velocity_flags(txn: DataFrame, window_minutes: int, minimum_transactions: int,
+def rolling_velocity_rule(window_minutes: float, minimum_transactions: int) -> Column:
+    """T23's condition on the column of ``with_rolling_counts``."""
+    return F.col(window_count_column(window_minutes)) >= minimum_transactions
+
+
+def rolling_velocity_flags(txn: DataFrame, window_minutes: float, minimum_transactions: int,
                            skew: SkewParams = DEFAULT_SKEW) -> DataFrame:
     """T22 plus ``predicted_velocity_fraud`` (count >= minimum)."""
-    out = rolling_transaction_count(txn, window_minutes, skew)
-    return out.withColumn(
-        "predicted_velocity_fraud",
-        F.when(F.col("transactions_in_window") >= minimum_transactions, 1).otherwise(0),
+    base = approved_only(txn).select(TID, KEY, TS, "is_fraud", "fraud_type")
+    out = with_rolling_counts(base, [window_minutes], skew)
+    return out.select(
+        TID, KEY, TS, "is_fraud", "fraud_type",
+        F.col(window_count_column(window_minutes)).alias("transactions_in_window"),
+        F.when(rolling_velocity_rule(window_minutes, minimum_transactions), 1).otherwise(0).alias("predicted_velocity_fraud"),
     )

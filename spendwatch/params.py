@@ -35,10 +35,6 @@ HEALTH_OK = "healthy"
 BURST_METHOD_FORMAT = "burst_level_{minimum}_transactions_{gap}_minutes"
 # Country of the card programme: other merchant countries are international.
 HOME_COUNTRY = "US"
-# Report text formats.
-BEST_CONFIG_FORMAT = "%d transactions within %d minutes"
-PERCENT_FORMAT = "%.2f%%"
-LOAD_LINE_FORMAT = "Loaded %s: %s rows"
 # Rule thresholds, bands and the sweep grid are the defaults of the
 # dataclasses below; they are fixed values too.
 
@@ -76,7 +72,7 @@ class DeclineParams:
 class SweepParams:
     """Rolling-velocity sweep grid: (window_minutes, minimum_transactions)."""
 
-    configs: tuple[tuple[int, int], ...] = (
+    configs: tuple[tuple[float, int], ...] = (
         (10, 3),
         (10, 4),
         (10, 5),
@@ -102,9 +98,6 @@ class SkewParams:
     rows_per_bucket: int = 2_000_000
     min_bucket_minutes: float = 1.0 / 60  # one second
     seed: int = 17
-    # Reuse a detection result for the same input plan within a session.
-    # Safe for results: the split only changes the physical plan.
-    reuse_profile: bool = True
 
 
 # Reference defaults.
@@ -127,3 +120,4 @@ TESTDATA_BUDGET = BudgetParams(at_risk_pct=80.0, over_pct=100.0)
 TESTDATA_DECLINE = DeclineParams(monitor_pct=18.0, high_pct=22.0)
 TESTDATA_SWEEP = SweepParams(configs=((60, 2), (60, 3), (120, 3), (180, 3), (180, 4)))
 TESTDATA_ROLLING_WINDOW_MINUTES = 60
+TESTDATA_ROLLING_MINIMUM = 3

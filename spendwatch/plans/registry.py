@@ -16,6 +16,7 @@ from spendwatch.operators import enrich, evaluation, reports, rules, velocity
 from spendwatch.params import (
     TESTDATA_BUDGET,
     TESTDATA_DECLINE,
+    TESTDATA_ROLLING_MINIMUM,
     TESTDATA_ROLLING_WINDOW_MINUTES,
     TESTDATA_RULES,
     TESTDATA_SWEEP,
@@ -108,7 +109,7 @@ QUERIES: dict[str, Query] = {
     "merchant_health_counts": lambda s, sf: reports.merchant_health_counts(
         _events(s, sf), td.merchants(s, sf), TESTDATA_DECLINE
     ),
-    # T1-T5, P9, T22
+    # T1-T5, P9, T22, T23
     "employee_transaction_stats": lambda s, sf: _round_stats(rules.employee_transaction_stats(_events(s, sf))),
     "previous_transaction_gap": lambda s, sf: velocity.previous_transaction_gap(_events(s, sf), _SKEW),
     "burst_boundaries": lambda s, sf: velocity.burst_boundaries(_events(s, sf), GAP, _SKEW),
@@ -118,6 +119,9 @@ QUERIES: dict[str, Query] = {
     "rolling_transaction_count": lambda s, sf: velocity.rolling_transaction_count(
         _events(s, sf), TESTDATA_ROLLING_WINDOW_MINUTES, _SKEW
     ),
+    "rolling_velocity_flags": lambda s, sf: velocity.rolling_velocity_flags(
+        _events(s, sf), TESTDATA_ROLLING_WINDOW_MINUTES, TESTDATA_ROLLING_MINIMUM, _SKEW
+    ),
     # T6-T9, P3, P5
     "transaction_features": _features,
     "rule_large_transaction": _rule(rules.large_transaction_flag, "large_transaction_flag"),
@@ -140,14 +144,8 @@ QUERIES: dict[str, Query] = {
     ),
     "velocity_threshold_experiment": _experiment,
     "best_velocity_config": lambda s, sf: evaluation.best_velocity_config(_experiment(s, sf)),
-    "best_velocity_config_text": lambda s, sf: evaluation.best_velocity_config_text(
-        evaluation.best_velocity_config(_experiment(s, sf))
-    ),
     # P12-P15
     "table_row_counts": lambda s, sf: tables_src.table_row_counts(td.tables(s, sf)),
-    "table_row_count_lines": lambda s, sf: tables_src.table_row_count_lines(
-        tables_src.table_row_counts(td.tables(s, sf))
-    ),
     "fraud_label_distribution": lambda s, sf: enrich.fraud_label_distribution(_events(s, sf)),
     "eligible_employees": lambda s, sf: enrich.eligible_employees(_events(s, sf), 4),
     "enriched_transactions": _events,

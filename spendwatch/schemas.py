@@ -19,7 +19,7 @@ EMPLOYEES = T.StructType(
         T.StructField("company_id", T.LongType()),
         T.StructField("employee_name", T.StringType()),
         T.StructField("department", T.StringType()),
-        T.StructField("monthly_budget", T.DoubleType()),
+        T.StructField("monthly_budget", T.LongType()),
     ]
 )
 
@@ -44,7 +44,7 @@ TRANSACTIONS = T.StructType(
         T.StructField("decline_reason", T.StringType()),
         T.StructField("is_international", T.BooleanType()),
         T.StructField("merchant_country", T.StringType()),
-        T.StructField("is_fraud", T.IntegerType()),
+        T.StructField("is_fraud", T.LongType()),
         T.StructField("fraud_type", T.StringType()),
     ]
 )

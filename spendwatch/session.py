@@ -1,13 +1,10 @@
 """Session defaults for tests and the benchmark (local mode).
 
-On a cluster the session comes from the platform; ``checkpoint_dir`` reads
-``spark.checkpoint.dir`` from it and only sets one when it is unset.
+On a cluster the session comes from the platform.
 """
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 LOCAL_CONF = {
@@ -40,13 +37,3 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster; a scratch folder
-    only when none is configured (local tests)."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="spendwatch-ckpt-")
-        spark.sparkContext.setCheckpointDir(d)
-    return d

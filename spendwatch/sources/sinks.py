@@ -11,6 +11,7 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from spendwatch.operators import evaluation, reports, rules, velocity
 from spendwatch.params import (
@@ -25,6 +26,7 @@ from spendwatch.params import (
     SkewParams,
     SweepParams,
 )
+from spendwatch.sources.tables import TIMESTAMP_FORMAT
 
 
 def write_report(df: DataFrame, path: str, fmt: str = "parquet", single_file: bool = False,
@@ -33,11 +35,20 @@ def write_report(df: DataFrame, path: str, fmt: str = "parquet", single_file: bo
     out = df.coalesce(1) if single_file else df
     writer = out.write.mode(mode).format(fmt)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        # six fraction digits, the pattern that ``tables.load_table`` reads
+        writer = writer.option("header", True).option("timestampNTZFormat", TIMESTAMP_FORMAT)
     writer.save(path)
     return path
 
 
+def read_report(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
+    """A written report, with its declared schema."""
+    reader = spark.read.schema(schema)
+    if fmt == "csv":
+        reader = reader.option("header", True).option("mode", "FAILFAST").option("timestampNTZFormat", TIMESTAMP_FORMAT)
+    return reader.format(fmt).load(path)
+
+
 Report = Callable[[dict[str, DataFrame]], DataFrame]
 
 
@@ -70,15 +81,17 @@ def run_evaluations(spark: SparkSession, tables: dict[str, DataFrame], out_dir:
                     rule_params: RuleParams = DEFAULT_RULES, sweep: SweepParams = DEFAULT_SWEEP,
                     skew: SkewParams = DEFAULT_SKEW) -> dict[str, str]:
     """The three evaluations.  The scored rows are an output anyway: they are
-    written first and the summary and per-type tables are computed from the
-    written files, which cuts the lineage instead of recomputing the scoring
-    (or caching it in executor memory)."""
+    written first, in the asked format, and the summary and per-type tables are
+    computed from the written files, which cuts the lineage instead of
+    recomputing the scoring (or caching it in executor memory).  CSV is read
+    back with the declared schema; doubles are written in their shortest exact
+    form, so both formats give the same summaries."""
     txn = tables["transactions"]
     out = {}
     scored_path = os.path.join(out_dir, "fraud_rule_scored_transactions")
-    out["fraud_rule_scored_transactions"] = write_report(
-        rules.fraud_scored_transactions(txn, rule_params, skew), scored_path, "parquet")
-    scored = spark.read.parquet(scored_path)
+    scored = rules.fraud_scored_transactions(txn, rule_params, skew)
+    out["fraud_rule_scored_transactions"] = write_report(scored, scored_path, fmt)
+    scored = read_report(spark, scored_path, scored.schema, fmt)
     small = {
         "fraud_rule_evaluation_summary": evaluation.fraud_evaluation_summary(scored),
         "fraud_rule_evaluation_by_type": evaluation.fraud_evaluation_by_type(scored),

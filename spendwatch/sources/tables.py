@@ -7,9 +7,10 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendwatch.params import LOAD_LINE_FORMAT
 from spendwatch.schemas import TABLES
 
+#: Zone-less timestamps in CSV: up to six fraction digits read, as many as there are written.
+TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 TABLE_NAMES = ("companies", "employees", "merchants", "transactions")
 
 
@@ -26,7 +27,7 @@ def load_table(spark: SparkSession, directory: str, name: str, fmt: str = "csv")
             spark.read.schema(schema)
             .option("header", True)
             .option("mode", "FAILFAST")
-            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
+            .option("timestampNTZFormat", TIMESTAMP_FORMAT)
             .csv(path)
         )
     if fmt == "parquet":
@@ -68,11 +69,3 @@ def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
-
-
-def table_row_count_lines(counts: DataFrame) -> DataFrame:
-    """Load report lines: ``Loaded <table>: <n with thousands separators> rows``."""
-    return counts.select(
-        "table_name",
-        F.format_string(LOAD_LINE_FORMAT, F.col("table_name"), F.format_number("row_count", 0)).alias("line"),
-    )
