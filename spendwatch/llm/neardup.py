@@ -7,10 +7,18 @@
    register with a chance of at least s, so a link at 0.75 is missed by all 32 bands with a chance of 5e-6.
 4. Stars: a bucket's documents are paired with its smallest id only. Pairs whose
    likelihood estimate is above ``ESTIMATE`` (five standard errors below the limit) are
-   verified on the full sets, computed anew from the texts, and components are made.
-5. Buckets that still hold several components get stars around other members, and at last every
-   pair of documents of different components that share a bucket is estimated and,
-   if need be, verified. Pairs inside a component can add nothing and are never made.
+   verified on the full sets, computed anew from the texts; linked documents are joined to parts of components.
+5. Open buckets (of several parts) of up to ``SMALL`` documents: every pair across parts is
+   estimated and verified likewise. Pairs inside a part can add nothing and are never made.
+6. Larger open buckets are never paired out. All documents that were compared with one centre c are a cluster,
+   and their exact overlaps with c bound each other's: documents x and y share at
+   most ``min(|x & c|, |y & c|)`` shingles of c, and the link needs ``3 (|x| + |y|) / 7`` in all. So
+   either the bound alone reaches the limit, which is decided on the few (size, overlap) classes of a cluster before any
+   documents are paired; or they share a shingle outside c. They then share so many that one lies in the
+   prefix of each, the rarest in the cluster first, and they meet in a new bucket by it. What many documents hold (a common
+   passage) stays out of the prefixes. New buckets go through 5 or, if larger, once more through 6 with their own centres; what then still meets
+   across parts is paired as in 5.
+7. Components are made of all links at the end.
 
 Rows: a NULL text or one without words has an empty set, links with nothing and stands alone; repeated
 rows share a class; rows with one id are one document; a NULL id takes the component of an
@@ -25,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from spendwatch.llm.common import salted_min, written
 from spendwatch.llm.components import components
@@ -33,7 +42,8 @@ from spendwatch.llm.shingles import WordHashes, overlap, set_key, shingle_set
 
 ROWS = 4
 ESTIMATE = 0.55
-STAR_ROUNDS = 2
+#: Documents of a bucket that are paired with each other at most.
+SMALL = 32
 #: Shingles that are sketched together.
 TOGETHER = 1 << 18
 
@@ -94,29 +104,139 @@ def _estimate(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return rows.select("a", "b", "n_a", "n_b", "r_a", "r_b").mapInArrow(read, "a long, b long")
 
 
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b, t_a, t_b) of pairs."""
+    side = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"t_{x}"))
+    return pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "t_a", "t_b")
+
+
+class _Sets:
+    """Sets of texts; those of the last few second texts, the star centres, are kept."""
+
+    def __init__(self) -> None:
+        self.hashes = WordHashes()
+        self.last: dict[str, np.ndarray] = {}
+
+    def both(self, a: str, b: str) -> tuple[np.ndarray, np.ndarray]:
+        if b not in self.last:
+            if len(self.last) >= 8:
+                self.last.clear()
+            self.last[b] = shingle_set(b, self.hashes)
+        return shingle_set(a, self.hashes), self.last[b]
+
+
 def _verify(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Pairs whose full sets are similar enough."""
-    side = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"t_{x}"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        last: dict = {}  # the sets of the last few star centres
+        sets = _Sets()
         for batch in batches:
             keep = []
-            for b, ta, tb in zip(batch.column(1), batch.column(2), batch.column(3)):
-                text = tb.as_py()
-                sb = last.get(text)
-                if sb is None:
-                    if len(last) >= 8:
-                        last.clear()
-                    sb = last[text] = shingle_set(text, hashes)
-                sa = shingle_set(ta.as_py(), hashes)
+            for ta, tb in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                sa, sb = sets.both(ta, tb)
                 both = overlap(sa, sb)
                 keep.append(100 * both >= percent * (len(sa) + len(sb) - both))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    rows = pairs.join(side("b"), "b").join(side("a"), "a")
-    return rows.select("a", "b", "t_a", "t_b").mapInArrow(read, "a long, b long")
+    return _with_texts(pairs, texts).mapInArrow(read, "a long, b long")
+
+
+_COMPARED = "doc_id long, centre long, n long, n_centre long, common long, prefix long, outside array<long>"
+
+
+def _compared(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Documents (a) with their centres (b): sizes, overlap, the shingles outside the centre, and how long their prefix is.
+
+    A link of a document of n shingles shares at least ``percent`` of them, so at least that less the overlap
+    lie outside the centre, and of these one is in the prefix, in any order that all documents of the cluster use.
+    """
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets = _Sets()
+        for batch in batches:
+            rows = []
+            for ta, tb in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                sa, sb = sets.both(ta, tb)
+                out = np.setdiff1d(sa, sb, assume_unique=True)
+                common = len(sa) - len(out)
+                need = max(1, -(-percent * len(sa) // 100) - common)
+                rows.append((len(sa), len(sb), common, max(0, len(out) - need + 1), out.view(np.int64)))
+            columns = [batch.column(0), batch.column(1), *(pa.array([r[k] for r in rows], pa.int64()) for k in range(4))]
+            columns.append(pa.array([r[4] for r in rows], pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in _COMPARED.split(", ")])
+
+    return _with_texts(pairs, texts).mapInArrow(read, _COMPARED)
+
+
+def hooked(links: DataFrame) -> DataFrame:
+    """(doc_id, part): a part of each linked document's component, by its least neighbour and that one's least neighbour.
+
+    Documents of one part are connected; a component can have several parts, which only leaves more pairs to try.
+    """
+    both = links.select(F.col("a").alias("doc_id"), "b").union(links.select("b", "a"))
+    least = both.groupBy("doc_id").agg(F.min("b").alias("b")).select("doc_id", F.least("doc_id", "b").alias("up"))
+    above = least.select(F.col("doc_id").alias("up"), F.col("up").alias("top"))
+    return least.join(above, "up", "left").select("doc_id", F.coalesce("top", "up").alias("part"))
+
+
+def _ordered_pairs(pairs: DataFrame) -> DataFrame:
+    """Distinct pairs with the greater id first."""
+    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
+
+
+def _linked(rows: DataFrame, percent: int) -> DataFrame:
+    """The links among documents that were compared with their centres."""
+    near = 100 * F.col("common") >= percent * (F.col("n") + F.col("n_centre") - F.col("common"))
+    return rows.where(near).select(F.col("doc_id").alias("a"), F.col("centre").alias("b"))
+
+
+def _part_of(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """Adds each document's part; one without links is its own."""
+    return rows.join(parts, "doc_id", "left").withColumn("part", F.coalesce("part", "doc_id"))
+
+
+def _across(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """All pairs across parts within small buckets (bucket, doc_id)."""
+    left = _part_of(rows, parts)
+    right = left.select("bucket", F.col("doc_id").alias("b"), F.col("part").alias("other"))
+    return _ordered_pairs(left.join(right, "bucket").where("part < other").select(F.col("doc_id").alias("a"), "b"))
+
+
+def _named(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """Clusters with their parts, without those that are one part."""
+    named = _part_of(rows, parts)
+    centre = parts.select(F.col("doc_id").alias("centre"), F.col("part").alias("centre_part"))
+    named = named.join(centre, "centre", "left").withColumn("centre_part", F.coalesce("centre_part", "centre"))
+    several = named.groupBy("centre").agg(F.count_if(F.col("part") != F.col("centre_part")).alias("apart")).where("apart > 0")
+    return written(named.join(several.select("centre"), "centre"), "named")
+
+
+def _by_bound(named: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a cluster across parts whose overlaps with the centre alone can reach the limit.
+
+    Decided on the cluster's distinct (size, overlap) classes; a class can only take part if the
+    centre holds ``percent`` of its shingles, and one of the two is outside the centre's part.
+    """
+    inside = named.where(100 * F.col("common") >= percent * F.col("n"))
+    kinds = inside.groupBy("centre", "n", "common").agg(F.max((F.col("part") != F.col("centre_part")).cast("int")).alias("apart"))
+    other = kinds.select("centre", F.col("n").alias("m"), F.col("common").alias("shared"))
+    enough = (100 + percent) * F.least("common", "shared") >= percent * (F.col("n") + F.col("m"))
+    near = kinds.where("apart = 1").join(other, "centre").where(enough).select("centre", "n", "common", "m", "shared")
+    left = inside.where("part <> centre_part").select("centre", "n", "common", F.col("doc_id").alias("a"), "part")
+    right = inside.select(
+        "centre", F.col("n").alias("m"), F.col("common").alias("shared"), F.col("doc_id").alias("b"), F.col("part").alias("other")
+    )
+    pairs = left.join(near, ["centre", "n", "common"]).join(right, ["centre", "m", "shared"]).where("part <> other")
+    return _ordered_pairs(pairs.select("a", "b"))
+
+
+def _by_shingle(named: DataFrame) -> DataFrame:
+    """(bucket, doc_id, part): documents of a cluster that share a shingle of their prefixes, the rarest first."""
+    spread = named.where("prefix > 0").select("centre", "doc_id", "part", "prefix", F.explode("outside").alias("shingle"))
+    held = spread.groupBy("centre", "shingle").agg(F.count(F.lit(1)).alias("held"))
+    rank = Window.partitionBy("centre", "doc_id").orderBy("held", "shingle")
+    kept = spread.join(held, ["centre", "shingle"]).withColumn("place", F.row_number().over(rank))
+    return kept.where("place <= prefix and held > 1").select(F.xxhash64("centre", "shingle").alias("bucket"), "doc_id", "part")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
@@ -135,49 +255,42 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     bands = REGISTERS // ROWS
     spread = reps.select("doc_id", "registers", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band"))
     members = spread.select("doc_id", F.xxhash64("band", F.expr(f"substring(registers, band * {ROWS} + 1, {ROWS})")).alias("bucket"))
-    crowded = members.groupBy("bucket").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
-    buckets = written(members.join(crowded.select("bucket", "least"), "bucket"), "buckets")
-
-    def tried(pairs: DataFrame, known: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-        """New pairs as they were tried, and the links among them."""
-        pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-        if known is not None:
-            pairs = pairs.join(known, ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
-        likely = written(_estimate(pairs, reps, percent), "likely")
-        return pairs, written(_verify(likely, texts, percent).distinct(), "links")
-
-    pairs, links = tried(buckets.select(F.col("doc_id").alias("a"), F.col("least").alias("b")), None)
-    joined = components(links, "a", "b")
-    for turn in range(STAR_ROUNDS + 1):
-        named = joined.select(F.col("node").alias("doc_id"), "component")
-        open_rows = (
-            buckets.drop("least").join(named, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-        )
-        mixed_buckets = (
-            open_rows.groupBy("bucket")
-            .agg(
-                F.min("component").alias("c0"),
-                F.max("component").alias("c1"),
-                F.min(F.struct(F.xxhash64(F.lit(turn), "doc_id").alias("draw"), F.col("doc_id").alias("centre"), F.col("component").alias("at"))).alias("pick"),
-            )
-            .where("c0 < c1")
-            .select("bucket", "pick.centre", "pick.at")
+    crowded = members.groupBy("bucket").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count(F.lit(1)).alias("n"))
+    crowded = crowded.where("least < most").select("bucket", "least", (F.col("n") > SMALL).alias("large"))
+    buckets = written(members.join(crowded, "bucket"), "buckets")
+
+    def tried(pairs: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+        """Pairs as they were tried, and the links among them."""
+        pairs = written(_ordered_pairs(pairs), name)
+        return pairs, written(_verify(_estimate(pairs, reps, percent), texts, percent), "links")
+
+    star = buckets.select(F.col("doc_id").alias("a"), F.col("least").alias("b"), "large")
+    pairs, links = tried(star.where("not large"), "pairs")
+    rows = written(_compared(_ordered_pairs(star.where("large")), texts, percent), "clusters")
+    links = links.union(_linked(rows, percent))
+    small = _across(buckets.where("not large").select("bucket", "doc_id"), written(hooked(links), "parts"))
+    links = links.union(tried(small.join(pairs, ["a", "b"], "left_anti"), "pairs")[1])
+    for again in (False, True):
+        if rows.isEmpty():
+            break
+        parts = written(hooked(links), "parts")
+        named = _named(rows, parts)
+        alike = _by_bound(named, percent)
+        met = _by_shingle(named)
+        sizes = met.groupBy("bucket").agg(
+            F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"), F.min("part").alias("p0"), F.max("part").alias("p1")
         )
-        rows = open_rows.join(mixed_buckets, "bucket")
-        if turn < STAR_ROUNDS:
-            new = rows.where("component <> at").select(F.col("doc_id").alias("a"), F.col("centre").alias("b"))
-        else:
-            left = rows.select("bucket", "doc_id", "component")
-            right = left.select("bucket", F.col("doc_id").alias("b"), F.col("component").alias("other"))
-            new = left.join(right, "bucket").where("component < other").select(F.col("doc_id").alias("a"), "b")
-        more, found = tried(new, pairs)
-        pairs = pairs.union(more)
-        if not found.isEmpty():
-            links = links.union(found)
-            joined = components(links, "a", "b")
-        if more.isEmpty():
+        sizes = sizes.where("p0 < p1").select("bucket", "least", ((F.col("n") > SMALL) & F.lit(not again)).alias("large"))
+        met = written(met.select("bucket", "doc_id").join(sizes, "bucket"), "buckets")
+        direct = _across(met.where("not large").select("bucket", "doc_id"), parts)
+        links = links.union(tried(alike.union(direct), "pairs")[1])
+        if again:
             break
+        star = met.where("large").select(F.col("doc_id").alias("a"), F.col("least").alias("b"))
+        known = rows.select(F.greatest("doc_id", "centre").alias("a"), F.least("doc_id", "centre").alias("b"))
+        rows = written(_compared(_ordered_pairs(star).join(known, ["a", "b"], "left_anti"), texts, percent), "clusters")
+        links = links.union(_linked(rows, percent))
+    joined = components(links, "a", "b")
     best = joined.select(F.col("node").alias("rep"), "component")
     placed = classes.join(best, "rep", "left").select(
         F.col("doc_id").alias("_id"),
