@@ -54,37 +54,33 @@ def merchants_df(spark, rows):
 
 
 def brute_bursts(rows, gap_minutes):
-    """rows: (tid, emp, ts) approved; returns tid -> (prev_ts, starts, burst_id, size)."""
-    by_emp = {}
-    for tid, emp, ts in rows:
-        by_emp.setdefault(emp, []).append((ts, tid))
-    out = {}
+    """rows: (tid, emp, ts) approved; returns tid -> (prev_ts, starts, burst_id, size).
+
+    A NULL time sorts last; its own gap is not above the limit, and the gap after it always is.
+    """
     gap = timedelta(minutes=gap_minutes)
-    for emp, items in by_emp.items():
-        items.sort()
-        bid = 0
-        assigned = []
-        prev = None
-        for ts, tid in items:
-            starts = 1 if prev is None or ts > prev + gap else 0
-            bid += starts
-            assigned.append((tid, prev, starts, bid))
-            prev = ts
-        sizes = {}
-        for _, _, _, b in assigned:
-            sizes[b] = sizes.get(b, 0) + 1
-        for tid, p, s, b in assigned:
-            out[tid] = (p, s, b, sizes[b])
+    out = {}
+    for emp in {e for _, e, _ in rows}:
+        mine = sorted(((ts is None, ts or T0, tid, ts) for tid, e, ts in rows if e == emp))
+        bursts = []
+        for i, (_, _, tid, ts) in enumerate(mine):
+            before = mine[i - 1][3] if i else None
+            opens = before is None or ts is not None and ts - before > gap
+            if opens:
+                bursts.append([])
+            bursts[-1].append((tid, before, int(opens), len(bursts)))
+        out |= {tid: (before, opens, number, len(b)) for b in bursts for tid, before, opens, number in b}
     return out
 
 
 def brute_rolling(rows, window_minutes):
-    """rows: (tid, emp, ts); count of same-employee rows with ts in [ts - w, ts]."""
+    """rows: (tid, emp, ts); count of same-employee rows with ts in [ts - w, ts]; NULL times count each other."""
     w = timedelta(minutes=window_minutes)
-    out = {}
-    for tid, emp, ts in rows:
-        out[tid] = sum(1 for _, e2, t2 in rows if e2 == emp and ts - w <= t2 <= ts)
-    return out
+
+    def near(ts, other):
+        return other is None if ts is None else other is not None and ts - w <= other <= ts
+
+    return {tid: sum(e == emp and near(ts, other) for _, e, other in rows) for tid, emp, ts in rows}
 
 
 def round_half_away(x: float, digits: int) -> float:

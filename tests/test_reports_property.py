@@ -44,8 +44,7 @@ def test_merchant_analysis_matches_sql(spark, rows):
         [(s["merchant_id"], s["transaction_status"], s["decline_reason"], s["amount"]) for s in specs],
         columns=["merchant_id", "transaction_status", "decline_reason", "amount"]))
     con.register("merchants", pd.DataFrame(MERCHANTS, columns=["merchant_id", "merchant_name", "category", "country"]))
-    sql = "WITH " + ",\n".join([oracle.MTM, oracle.DRM, oracle.TDR, oracle.MDA]) + "\nSELECT * FROM mda"
-    res = con.execute(sql)
+    res = con.execute("WITH " + oracle.SHOPS + "\nSELECT * FROM health")
     oc = [d[0] for d in res.description]
     want = sorted((tuple(_norm(dict(zip(oc, r))[c]) for c in cols) for r in res.fetchall()), key=repr)
     assert sorted(oc) == cols
@@ -61,7 +60,7 @@ _spend = st.tuples(
 
 
 @settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(_spend, min_size=1, max_size=40), st.sampled_from([1000.0, 1234.56, 2000.0]))
+@given(st.lists(_spend, min_size=1, max_size=40), st.sampled_from([1000, 1234, 2000]))
 def test_budget_alerts_match_sql(spark, rows, budget):
     from datetime import datetime
 
@@ -86,9 +85,7 @@ def test_budget_alerts_match_sql(spark, rows, budget):
     con.register("order_transactions", frame)
     con.register("employees", pd.DataFrame(emps, columns=["employee_id", "company_id", "employee_name", "department",
                                                           "monthly_budget"]))
-    sql = ("WITH " + ",\n".join([oracle.MES, oracle.USAGE, oracle.STATUS])
-           + f"\nSELECT * FROM status WHERE budget_used_pct >= {TESTDATA_BUDGET.at_risk_pct}")
-    res = con.execute(sql)
+    res = con.execute("WITH " + oracle.BUDGET + "\nSELECT * FROM bands WHERE budget_status <> 'within_budget'")
     oc = [d[0] for d in res.description]
     want = sorted((tuple(_norm(dict(zip(oc, r))[c]) for c in cols) for r in res.fetchall()), key=repr)
     assert sorted(oc) == cols
@@ -136,7 +133,7 @@ def test_fraud_scoring_matches_sql(spark, rows):
                  "transaction_status", "is_international", "is_fraud", "fraud_type"])
     con = duckdb.connect()
     con.register("transactions", frame)
-    res = con.execute("WITH " + ",\n".join(oracle.SCORED_ALL) + "\nSELECT * FROM scored2")
+    res = con.execute("WITH " + oracle.SCORED + "\nSELECT * EXCLUDE (transaction_status) FROM scores")
     oc = [d[0] for d in res.description]
     want = sorted((tuple(rounded(dict(zip(oc, r))[c]) for c in cols) for r in res.fetchall()), key=repr)
     assert sorted(oc) == cols
@@ -162,13 +159,13 @@ def test_sweep_matches_sql(spark, rows):
     got_df = E.velocity_threshold_experiment(txn_df(spark, specs), TESTDATA_SWEEP)
     cols = sorted(got_df.columns)
     got = sorted(tuple(r[c] for c in cols) for r in got_df.collect())
-    frame = pd.DataFrame([(s["employee_id"], s["transaction_timestamp"], s["fraud_type"], s["transaction_status"])
-                          for s in specs],
-                         columns=["employee_id", "transaction_timestamp", "fraud_type", "transaction_status"])
+    frame = pd.DataFrame([(i, s["employee_id"], s["transaction_timestamp"], s["fraud_type"], s["transaction_status"])
+                          for i, s in enumerate(specs)],
+                         columns=["transaction_id", "employee_id", "transaction_timestamp", "fraud_type", "transaction_status"])
     frame["fraud_type"] = frame["fraud_type"].astype("string")
     con = duckdb.connect()
     con.register("transactions", frame)
-    res = con.execute("WITH " + oracle._sweep_sql() + "\nSELECT * FROM experiment")
+    res = con.execute("WITH " + oracle.APPROVED + ",\n" + oracle.sweep(oracle.GRID) + "\nSELECT * FROM experiment")
     oc = [d[0] for d in res.description]
     want = sorted(tuple(dict(zip(oc, r))[c] for c in cols) for r in res.fetchall())
     assert got == want

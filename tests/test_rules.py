@@ -56,7 +56,7 @@ def test_score_levels_and_alert_filter(spark):
         {"amount": 20.0, "transaction_timestamp": at(300), "transaction_status": "declined"},
     ]
     txn = txn_df(spark, specs)
-    emp = employees_df(spark, [(1, 1, "Ann", "Sales", 5000.0)])
+    emp = employees_df(spark, [(1, 1, "Ann", "Sales", 5000)])
     mer = merchants_df(spark, [(1, "Shop", "Meals", "US")])
     scored = {r["transaction_id"]: r for r in R.scored_with_dimensions(txn, emp, mer, P).collect()}
     assert {k: v["fraud_risk_level"] for k, v in scored.items()} == {1: "high_risk", 2: "medium_risk", 3: "low_risk"}
@@ -71,7 +71,7 @@ def test_score_levels_and_alert_filter(spark):
 def test_alerts_drop_rows_without_dimension_match(spark):
     specs = [{"amount": 6000.0, "employee_id": 1}, {"amount": 6000.0, "employee_id": 2, "transaction_timestamp": at(5)}]
     txn = txn_df(spark, specs)
-    emp = employees_df(spark, [(1, 1, "Ann", "Sales", 5000.0)])
+    emp = employees_df(spark, [(1, 1, "Ann", "Sales", 5000)])
     mer = merchants_df(spark, [(1, "Shop", "Meals", "US")])
     assert [r["transaction_id"] for r in R.fraud_alerts(txn, emp, mer, P).collect()] == [1]
 
@@ -88,25 +88,51 @@ def test_split_and_unsplit_scoring_agree(spark):
               "transaction_timestamp": at((i * 13) % 400)} for i in range(120)]
     txn = txn_df(spark, specs)
     split = SkewParams(sample_fraction=1.0, rows_per_bucket=4, min_bucket_minutes=3)
-    def norm(rows):  # sums in a different order may differ in the last bit
-        return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in rows)
+    a = sorted(R.fraud_scored_transactions(txn, P).collect())
+    assert a == sorted(R.fraud_scored_transactions(txn, P, split).collect())  # every column, unrounded
 
-    a = norm(R.fraud_scored_transactions(txn, P).collect())
-    b = norm(R.fraud_scored_transactions(txn, P, split).collect())
-    assert a == b
+
+def test_exact_three_sigma_rows_agree_in_both_plans(spark):
+    """Nine equal amounts and one larger are exactly three deviations apart: a strict limit flags none, in either plan."""
+    specs = [{"employee_id": e, "amount": 10.1 * e if i < 9 else 110.1 * e + 7, "transaction_timestamp": at(100 * i + e)}
+             for e in range(1, 41) for i in range(10)]
+    txn = txn_df(spark, specs)
+    plain = sorted(R.fraud_scored_transactions(txn, P).collect())
+    split = SkewParams(sample_fraction=1.0, rows_per_bucket=2, min_bucket_minutes=3)
+    assert plain == sorted(R.fraud_scored_transactions(txn, P, split).collect())
+    table = {r["employee_id"]: (r["employee_avg_amount"], r["employee_amount_stddev"])
+             for r in R.employee_transaction_stats(txn).collect()}
+    assert {(r["employee_id"], (r["employee_avg_amount"], r["employee_amount_stddev"])) for r in plain} == set(table.items())
+
+
+def test_amounts_that_are_not_whole_micro_units(spark):
+    """Finer and larger amounts are summed as doubles: nothing is cut or refused, and NaN shows."""
+    from spendwatch.operators import reports as Rp
+
+    def total(*amounts):
+        df = txn_df(spark, [{"amount": a} for a in amounts])
+        return Rp.monthly_employee_spend(df).collect()[0]["monthly_spend"]
+
+    assert total(1e-7) == 1e-7
+    assert total(9.3e12) == 9.3e12
+    assert total(9.3e12, 0.25) == 9.3e12 + 0.25
+    assert total(float("inf"), 1.0) == float("inf")
+    nan = total(float("nan"), 1.0)
+    assert nan != nan
+    stats = R.employee_transaction_stats(txn_df(spark, [{"amount": a} for a in (1e-7, 3e-7)])).collect()[0]
+    assert abs(stats["employee_amount_stddev"] - 1e-7) < 1e-12
 
 
 def test_split_and_unsplit_alerts_agree(spark):
     specs = [{"employee_id": 1 + i % 4, "merchant_id": 1 + i % 2, "amount": float(5 + (i * 53) % 7000),
               "is_international": i % 5 == 0, "transaction_timestamp": at((i * 11) % 500)} for i in range(160)]
     txn = txn_df(spark, specs)
-    emp = employees_df(spark, [(e, 1, f"E{e}", "Ops", 1000.0) for e in (1, 2, 3)])  # employee 4 unknown
+    emp = employees_df(spark, [(e, 1, f"E{e}", "Ops", 1000) for e in (1, 2, 3)])  # employee 4 unknown
     mer = merchants_df(spark, [(1, "Shop", "Meals", "US"), (2, "Air", "Travel", "CA")])
     split = SkewParams(sample_fraction=1.0, rows_per_bucket=5, min_bucket_minutes=2)
 
     def rows(skew):
-        return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r)
-                      for r in R.fraud_alerts(txn, emp, mer, P, skew).collect())
+        return sorted(R.fraud_alerts(txn, emp, mer, P, skew).collect())
 
     plain = rows(SkewParams())
     assert plain and plain == rows(split)

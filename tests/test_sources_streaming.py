@@ -139,3 +139,28 @@ def test_start_alerts_writes_closed_velocity_bursts(spark, tmp_path):
                              "30 minutes", trigger={"availableNow": True})
     q2.awaitTermination(120)
     assert spark.read.parquet(sink).count() == 3
+
+
+def test_csv_keeps_microseconds(spark, tmp_path):
+    """What the sink writes the loader reads, to the microsecond."""
+    specs = [{"transaction_timestamp": at(0, 123456)}, {"transaction_timestamp": at(1)}, {"transaction_timestamp": None}]
+    df = spark.createDataFrame(txn_rows(specs), TRANSACTIONS)
+    sinks.write_report(df, str(tmp_path / "transactions.csv"), "csv")
+    back = tables.load_table(spark, str(tmp_path), "transactions", "csv")
+    assert sorted(back.collect(), key=repr) == sorted(df.collect(), key=repr)
+
+
+def test_evaluate_honours_csv(spark, tmp_path):
+    specs = [{"amount": 6000.5 + i, "is_fraud": i % 2, "fraud_type": "large_amount" if i % 2 else "none",
+              "transaction_timestamp": at(50 * i, 7 * i)} for i in range(6)]
+    t = {"transactions": spark.createDataFrame(txn_rows(specs), TRANSACTIONS)}
+    csv = sinks.run_evaluations(spark, t, str(tmp_path / "csv"), "csv")
+    parquet = sinks.run_evaluations(spark, t, str(tmp_path / "parquet"))
+    scored = spark.read.parquet(parquet["fraud_rule_scored_transactions"])
+    back = sinks.read_report(spark, csv["fraud_rule_scored_transactions"], scored.schema, "csv")
+    assert sorted(back.collect()) == sorted(scored.collect())
+    for name, path in csv.items():
+        assert any(f.endswith(".csv") for f in os.listdir(path)), name
+    summary = spark.read.parquet(parquet["fraud_rule_evaluation_summary"])
+    again = sinks.read_report(spark, csv["fraud_rule_evaluation_summary"], summary.schema, "csv")
+    assert again.collect() == summary.collect()

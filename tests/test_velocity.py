@@ -124,19 +124,62 @@ def test_hot_key_table_is_bounded(spark):
     assert 9 * 60_000_000 <= hot[0][V._BW] <= 11 * 60_000_000
 
 
-def test_long_hot_key_list_stays_distributed(spark, monkeypatch):
-    monkeypatch.setattr(V, "LOCAL_HOT_KEYS", 1)
-    specs = [{"employee_id": 1 + i % 3, "transaction_timestamp": at((i * 7) % 120)} for i in range(60)]
+def test_building_a_plan_runs_no_job(spark):
+    """Hot-key detection is part of the plan."""
+    df = txn_df(spark, [{"transaction_timestamp": at(i)} for i in range(5)])
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build", "building plans")
+    try:
+        V.burst_groups(df, 10, SPLIT)
+        V.rolling_velocity_flags(df, 10, 3, SPLIT)
+        V.previous_transaction_gap(df, SPLIT)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert list(tracker.getJobIdsForGroup("build")) == []
+
+
+def test_hot_null_employee_is_split_exactly(spark):
+    """Rows without an employee are one group; a hot one gets several buckets and keeps every row."""
+    from pyspark.sql import functions as F
+
+    specs = [{"employee_id": None, "transaction_timestamp": at((i * 7) % 90)} for i in range(60)]
+    specs += [{"employee_id": 1, "transaction_timestamp": at(i)} for i in range(3)]
     df = txn_df(spark, specs)
     rows = [(i, s["employee_id"], s["transaction_timestamp"]) for i, s in enumerate(specs, start=1)]
-    skew = SkewParams(sample_fraction=1.0, rows_per_bucket=2, min_bucket_minutes=4, reuse_profile=False)
-    assert V.detect_hot_keys(df, skew) is not None
+    skew = SkewParams(sample_fraction=1.0, rows_per_bucket=10, min_bucket_minutes=1)
+    tagged = V._with_width(V.approved_only(df), skew, "employee_id", "transaction_timestamp")
+    buckets = tagged.where(F.col(V._BW).isNotNull()).select(
+        "employee_id", V._bucket(V.epoch_micros("transaction_timestamp"), F.col(V._BW)).alias("b")).distinct().collect()
+    assert len(buckets) >= 4 and {r["employee_id"] for r in buckets} == {None}
     want = brute_bursts(rows, 10)
-    assert _sizes(V.velocity_burst_scored(df, RuleParams(), skew)) == {k: v[3] for k, v in want.items()}
+    got = {r["transaction_id"]: (r["previous_transaction_timestamp"], r["starts_new_burst"], r["burst_id"])
+           for r in V.burst_groups(df, 10, skew).collect()}
+    assert got == {k: v[:3] for k, v in want.items()}
+    gaps = {r["transaction_id"]: r["previous_transaction_timestamp"] for r in V.previous_transaction_gap(df, skew).collect()}
+    assert gaps == {k: v[0] for k, v in want.items()}
     counts = {r["transaction_id"]: r["transactions_in_window"] for r in V.rolling_transaction_count(df, 15, skew).collect()}
     assert counts == brute_rolling(rows, 15)
 
 
+@pytest.mark.parametrize("skew", SKEWS)
+def test_fractional_windows(spark, skew):
+    specs = [{"transaction_timestamp": at(0.5 * i)} for i in range(8)]
+    df = txn_df(spark, specs)
+    rows = [(i, 1, s["transaction_timestamp"]) for i, s in enumerate(specs, start=1)]
+    out = V.with_rolling_counts(V.approved_only(df), [2.5, 0.5, 2], skew).collect()
+    assert V.window_count_column(2.5) == "transactions_in_2_5_minutes"
+    for width in (2.5, 0.5, 2):
+        assert {r["transaction_id"]: r[V.window_count_column(width)] for r in out} == brute_rolling(rows, width)
+
+
+def test_rolling_counts_use_no_sliding_frame(spark):
+    from spendwatch.plans.inspect import physical_plan
+
+    df = txn_df(spark, [{"transaction_timestamp": at(i)} for i in range(5)])
+    text = physical_plan(V.rolling_transaction_count(df, 10), "simple")
+    assert "RangeFrame, -" not in text and "unboundedpreceding$(), currentrow$()" in text
+
+
 def test_hot_employee_is_spread_over_partitions(spark):
     """One employee with over a third of all rows: with splitting, no
     partition of the (employee, bucket) shuffle holds most of the data."""
@@ -149,11 +192,11 @@ def test_hot_employee_is_spread_over_partitions(spark):
         (F.lit(at(0)).cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("id").cast("decimal(18,6)")))
         .alias("transaction_timestamp"),
     )
-    skew = SkewParams(sample_fraction=0.1, rows_per_bucket=500, min_bucket_minutes=1, reuse_profile=False)
-    hot = V.detect_hot_keys(base, skew)
-    assert [r["employee_id"] for r in hot.collect()] == [1]
-    bucketed = V._with_buckets(base, hot, "employee_id", "transaction_timestamp")
-    sizes = (bucketed.repartition(8, "employee_id", V._BKT)
+    skew = SkewParams(sample_fraction=0.1, rows_per_bucket=500, min_bucket_minutes=1)
+    assert [r["employee_id"] for r in V.hot_key_buckets(base, skew).collect()] == [1]
+    bucketed = V._with_width(base, skew, "employee_id", "transaction_timestamp").withColumn(
+        "b", F.coalesce(V._bucket(V.epoch_micros("transaction_timestamp"), F.col(V._BW)), F.lit(0)))
+    sizes = (bucketed.repartition(8, "employee_id", "b")
              .groupBy(F.spark_partition_id().alias("p")).count().collect())
     assert max(r["count"] for r in sizes) < 0.3 * n  # unsplit, one partition would hold >= n / 3
     # and the bursts are still exact
@@ -163,36 +206,12 @@ def test_hot_employee_is_spread_over_partitions(spark):
         F.lit("approved").alias("transaction_status"), F.lit(None).cast("string").alias("decline_reason"),
         F.lit(False).alias("is_international"), F.lit("US").alias("merchant_country"), F.lit(0).alias("is_fraud"),
         F.lit("none").alias("fraud_type"))
-    small = SkewParams(sample_fraction=1.0, rows_per_bucket=100, min_bucket_minutes=1, reuse_profile=False)
+    small = SkewParams(sample_fraction=1.0, rows_per_bucket=100, min_bucket_minutes=1)
     got = _sizes(V.velocity_burst_scored(sub, RuleParams(burst_gap_minutes=0.05), small))
     want = {k: v[3] for k, v in brute_bursts(rows, 0.05).items()}
     assert got == want
 
 
-def _duck_reference(rows, gap, width):
-    """The reference's SQL over inline rows (DuckDB: NULL times sort last)."""
-    import duckdb
-    import pandas as pd
-
-    con = duckdb.connect()
-    frame = pd.DataFrame(rows, columns=["transaction_id", "employee_id", "transaction_timestamp"])
-    frame["transaction_timestamp"] = pd.to_datetime(frame["transaction_timestamp"])
-    con.register("t", frame)
-    bursts = con.execute(f"""
-        WITH o AS (SELECT *, LAG(transaction_timestamp) OVER (PARTITION BY employee_id
-                       ORDER BY transaction_timestamp, transaction_id) AS prev FROM t),
-        b AS (SELECT *, CASE WHEN prev IS NULL THEN 1
-                             WHEN transaction_timestamp > prev + INTERVAL {gap} MINUTE THEN 1 ELSE 0 END AS s FROM o),
-        g AS (SELECT *, SUM(s) OVER (PARTITION BY employee_id ORDER BY transaction_timestamp, transaction_id
-                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS bid FROM b)
-        SELECT transaction_id, prev, s, CAST(bid AS BIGINT),
-               COUNT(*) OVER (PARTITION BY employee_id, bid) FROM g""").fetchall()
-    rolling = con.execute(f"""
-        SELECT transaction_id, COUNT(*) OVER (PARTITION BY employee_id ORDER BY transaction_timestamp
-               RANGE BETWEEN INTERVAL {width} MINUTE PRECEDING AND CURRENT ROW) FROM t""").fetchall()
-    return {r[0]: tuple(r[1:]) for r in bursts}, dict(rolling)
-
-
 @pytest.mark.parametrize("skew", SKEWS)
 def test_null_timestamps_match_sql_semantics(spark, skew):
     minutes = [0, 3, None, 7, None, 30, 31, None]
@@ -200,7 +219,7 @@ def test_null_timestamps_match_sql_semantics(spark, skew):
     specs += [{"employee_id": 2, "transaction_timestamp": at(m)} for m in (1, 2)]
     df = txn_df(spark, specs)
     rows = [(i, s["employee_id"], s["transaction_timestamp"]) for i, s in enumerate(specs, start=1)]
-    want_b, want_r = _duck_reference(rows, 10, 15)
+    want_b, want_r = brute_bursts(rows, 10), brute_rolling(rows, 15)
     got = {r["transaction_id"]: (r["previous_transaction_timestamp"], r["starts_new_burst"], r["burst_id"])
            for r in V.burst_groups(df, 10, skew).collect()}
     assert got == {k: v[:3] for k, v in want_b.items()}
@@ -220,7 +239,7 @@ def test_split_paths_match_sql_with_null_times(spark, emp_a, emp_b, gap, width,
     specs += [{"employee_id": 2, "transaction_timestamp": None if m is None else at(m)} for m in emp_b]
     df = txn_df(spark, specs)
     rows = [(i, s["employee_id"], s["transaction_timestamp"]) for i, s in enumerate(specs, start=1)]
-    want_b, want_r = _duck_reference(rows, gap, width)
+    want_b, want_r = brute_bursts(rows, gap), brute_rolling(rows, width)
     for skew in (UNSPLIT, SkewParams(sample_fraction=1.0, rows_per_bucket=1, min_bucket_minutes=bucket)):
         got = {r["transaction_id"]: (r["previous_transaction_timestamp"], r["starts_new_burst"], r["burst_id"])
                for r in V.burst_groups(df, gap, skew).collect()}
