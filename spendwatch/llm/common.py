@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,6 +59,13 @@ def salted_min(df: DataFrame, keys: list[str], value: str, out: str, salts: int
     return df.join(back, on, "left").drop(salt, "_salt_back", *[f"_k_{k}" for k in keys])
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``rows`` rows, so that what Python makes of one stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def ascii_lower(text: Column) -> Column:
     """Only A-Z lowered, as the contracts ask; other letters stay."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

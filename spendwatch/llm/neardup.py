@@ -15,7 +15,8 @@
    most ``min(|x & c|, |y & c|)`` shingles of c, and the link needs ``3 (|x| + |y|) / 7`` in all. So
    either the bound alone reaches the limit, which is decided on the few (size, overlap) classes of a cluster before any
    documents are paired; or they share a shingle outside c. They then share so many that one lies in the
-   prefix of each, the rarest in the cluster first, and they meet in a new bucket by it. What many documents hold (a common
+   prefix of each, the rarest in the cluster first, and they meet in a new bucket by it, if what
+   comes from its place on can still suffice. What many documents hold (a common
    passage) stays out of the prefixes. New buckets go through 5 or, if larger, once more through 6 with their own centres; what then still meets
    across parts is paired as in 5.
 7. Components are made of all links at the end.
@@ -31,11 +32,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from spendwatch.llm.common import salted_min, written
+from spendwatch.llm.common import salted_min, sliced, written
 from spendwatch.llm.components import components
 from spendwatch.llm.setsketch import REGISTERS, estimated, sketches
 from spendwatch.llm.shingles import WordHashes, overlap, set_key, shingle_set
@@ -93,9 +94,7 @@ def _estimate(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     rows = rows.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in sliced(batches):
             regs = [np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, REGISTERS) for k in (4, 5)]
             sizes = [batch.column(k).to_numpy().astype(np.float64) for k in (2, 3)]
             like = estimated(*regs, *sizes) >= min(ESTIMATE, percent / 100 - 0.2)
@@ -130,7 +129,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = _Sets()
-        for batch in batches:
+        for batch in sliced(batches):
             keep = []
             for ta, tb in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 sa, sb = sets.both(ta, tb)
@@ -153,7 +152,7 @@ def _compared(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = _Sets()
-        for batch in batches:
+        for batch in sliced(batches):
             rows = []
             for ta, tb in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 sa, sb = sets.both(ta, tb)
@@ -195,11 +194,22 @@ def _part_of(rows: DataFrame, parts: DataFrame) -> DataFrame:
     return rows.join(parts, "doc_id", "left").withColumn("part", F.coalesce("part", "doc_id"))
 
 
-def _across(rows: DataFrame, parts: DataFrame) -> DataFrame:
-    """All pairs across parts within small buckets (bucket, doc_id)."""
+def _across(rows: DataFrame, parts: DataFrame, allowed: Column | None = None) -> DataFrame:
+    """All pairs across parts within small buckets (bucket, doc_id), if ``allowed`` by their columns."""
     left = _part_of(rows, parts)
-    right = left.select("bucket", F.col("doc_id").alias("b"), F.col("part").alias("other"))
-    return _ordered_pairs(left.join(right, "bucket").where("part < other").select(F.col("doc_id").alias("a"), "b"))
+    right = left.select(*[F.col(c).alias("bucket" if c == "bucket" else f"{c}_2") for c in left.columns])
+    pairs = left.join(right, "bucket").where("part < part_2")
+    pairs = pairs if allowed is None else pairs.where(allowed)
+    return _ordered_pairs(pairs.select(F.col("doc_id").alias("a"), F.col("doc_id_2").alias("b")))
+
+
+def _reachable(percent: int) -> Column:
+    """Whether two documents of a cluster can be linked if this is their first shared shingle in order.
+
+    They share at most the lesser overlap inside the centre, and what comes from this place on outside.
+    """
+    most = F.least("common", "common_2") + F.least("rest", "rest_2")
+    return (100 + percent) * most >= percent * (F.col("n") + F.col("n_2"))
 
 
 def _named(rows: DataFrame, parts: DataFrame) -> DataFrame:
@@ -231,12 +241,20 @@ def _by_bound(named: DataFrame, percent: int) -> DataFrame:
 
 
 def _by_shingle(named: DataFrame) -> DataFrame:
-    """(bucket, doc_id, part): documents of a cluster that share a shingle of their prefixes, the rarest first."""
-    spread = named.where("prefix > 0").select("centre", "doc_id", "part", "prefix", F.explode("outside").alias("shingle"))
+    """Documents of a cluster that share a shingle of their prefixes, the rarest first.
+
+    (bucket, doc_id, part, n, common, rest): ``rest`` counts the shingles outside the centre from the shared one on.
+    """
+    size = F.size("outside").alias("out")
+    spread = named.where("prefix > 0").select(
+        "centre", "doc_id", "part", "n", "common", "prefix", size, F.explode("outside").alias("shingle")
+    )
     held = spread.groupBy("centre", "shingle").agg(F.count(F.lit(1)).alias("held"))
     rank = Window.partitionBy("centre", "doc_id").orderBy("held", "shingle")
     kept = spread.join(held, ["centre", "shingle"]).withColumn("place", F.row_number().over(rank))
-    return kept.where("place <= prefix and held > 1").select(F.xxhash64("centre", "shingle").alias("bucket"), "doc_id", "part")
+    return kept.where("place <= prefix and held > 1").select(
+        F.xxhash64("centre", "shingle").alias("bucket"), "doc_id", "part", "n", "common", (F.col("out") - F.col("place") + 1).alias("rest")
+    )
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
@@ -281,8 +299,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
             F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"), F.min("part").alias("p0"), F.max("part").alias("p1")
         )
         sizes = sizes.where("p0 < p1").select("bucket", "least", ((F.col("n") > SMALL) & F.lit(not again)).alias("large"))
-        met = written(met.select("bucket", "doc_id").join(sizes, "bucket"), "buckets")
-        direct = _across(met.where("not large").select("bucket", "doc_id"), parts)
+        met = written(met.drop("part").join(sizes, "bucket"), "buckets")
+        direct = _across(met.where("not large"), parts, _reachable(percent))
         links = links.union(tried(alike.union(direct), "pairs")[1])
         if again:
             break
