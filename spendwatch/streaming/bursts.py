@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendwatch.functions.exprs import epoch_micros, is_approved, minutes_to_micros
+from spendwatch.functions.exprs import epoch_micros, is_approved, minutes_to_micros, money_sum
 from spendwatch.params import DEFAULT_RULES, RuleParams
 
 BURST_COLUMNS = [
@@ -53,7 +53,7 @@ def burst_sessions(txn: DataFrame, rules: RuleParams = DEFAULT_RULES,
         F.min("transaction_timestamp").alias("burst_start"),
         F.max("transaction_timestamp").alias("burst_end"),
         F.count(F.lit(1)).alias("transactions_in_burst"),
-        F.sum("amount").alias("burst_amount"),
+        money_sum("amount").alias("burst_amount"),
     )
     return sessions.select(
         "employee_id",

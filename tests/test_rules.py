@@ -94,7 +94,7 @@ def test_split_and_unsplit_scoring_agree(spark):
 
 def test_exact_three_sigma_rows_agree_in_both_plans(spark):
     """Nine equal amounts and one larger are exactly three deviations apart: a strict limit flags none, in either plan."""
-    specs = [{"employee_id": e, "amount": 10.1 * e if i < 9 else 110.1 * e + 7, "transaction_timestamp": at(100 * i + e)}
+    specs = [{"employee_id": e, "amount": round(10.1 * e, 2) if i < 9 else round(110.1 * e + 7, 2), "transaction_timestamp": at(100 * i + e)}
              for e in range(1, 41) for i in range(10)]
     txn = txn_df(spark, specs)
     plain = sorted(R.fraud_scored_transactions(txn, P).collect())
