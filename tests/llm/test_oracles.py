@@ -49,8 +49,8 @@ def test_quality_of_odd_rows(docs_of, rows):
 
 def test_copies_are_not_boilerplate(docs_of):
     """A document is not rejected for being copied; one that is boilerplate for the most part is."""
-    text = "\n".join(f"sentence number {w} of a good text with its own words" for w in "abcdefghijkl")
-    rows = [(i, text) for i in range(40)] + [(100 + i, f"word{i} " * 60 + f"\n{LINE}") for i in range(40)]
+    text = "\n".join(" ".join(f"{w}{k}" for k in range(9)) for w in "abcdefghijkl")
+    rows = [(i, text) for i in range(40)] + [(100 + i, " ".join(f"word{i}x{k}" for k in range(60)) + f"\n{LINE}") for i in range(40)]
     rows += [(200, "\n".join([LINE] * 20) + "\nand little else to say")]
     kept = {r["doc_id"]: r["kept"] for r in quality_rules(docs_of(rows)).collect()}
     assert all(kept[i] for i in range(40)) and not kept[200]
