@@ -18,7 +18,8 @@
    prefix of each, the rarest in the cluster first, and they meet in a new bucket by it, if what
    comes from its place on can still suffice. What many documents hold (a common
    passage) stays out of the prefixes. New buckets go through 5 or, if larger, once more through 6 with their own centres; what then still meets
-   across parts is paired as in 5.
+   across parts is paired as in 5. A document that the first round has compared with such a centre is in its new cluster too, by
+   the figures of then.
 7. Components are made of all links at the end.
 
 Rows: a NULL text or one without words has an empty set, links with nothing and stands alone; repeated
@@ -304,9 +305,11 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
         links = links.union(tried(alike.union(direct), "pairs")[1])
         if again:
             break
-        star = met.where("large").select(F.col("doc_id").alias("a"), F.col("least").alias("b"))
-        known = rows.select(F.greatest("doc_id", "centre").alias("a"), F.least("doc_id", "centre").alias("b"))
-        rows = written(_compared(_ordered_pairs(star).join(known, ["a", "b"], "left_anti"), texts, percent), "clusters")
+        star = _ordered_pairs(met.where("large").select(F.col("doc_id").alias("a"), F.col("least").alias("b")))
+        known = rows.select(F.col("doc_id").alias("a"), F.col("centre").alias("b"))
+        new = _compared(star.join(known, ["a", "b"], "left_anti"), texts, percent)
+        before = rows.join(star.select(F.col("a").alias("doc_id"), F.col("b").alias("centre")), ["doc_id", "centre"], "left_semi")
+        rows = written(new.unionByName(before), "clusters")
         links = links.union(_linked(rows, percent))
     joined = components(links, "a", "b")
     best = joined.select(F.col("node").alias("rep"), "component")
