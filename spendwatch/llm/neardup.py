@@ -51,11 +51,12 @@ TOGETHER = 1 << 18
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, set_key, registers) of every row; key and registers NULL for an empty set."""
+    """(doc_id, text_key, n_shingles, set_key, registers) of every row; set key and registers NULL for an empty set."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         ids: list = []
+        keys: list = []
         sets: list[np.ndarray] = []
         held = 0
 
@@ -64,17 +65,20 @@ def sketched(docs: DataFrame) -> DataFrame:
             made = sketches(np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes), len(sets))
             columns = [
                 pa.array(ids, pa.int64()),
+                pa.array(keys, pa.int64()),
                 pa.array(sizes),
                 pa.array([set_key(s) if len(s) else None for s in sets], pa.binary()),
                 pa.array([r.tobytes() if n else None for r, n in zip(made, sizes)], pa.binary()),
             ]
             ids.clear()
+            keys.clear()
             sets.clear()
-            return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "set_key", "registers"])
+            return pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "n_shingles", "set_key", "registers"])
 
         for batch in batches:
-            for doc, text in zip(batch.column(0), batch.column(1)):
+            for doc, text, key in zip(*(batch.column(k) for k in range(3))):
                 ids.append(doc.as_py())
+                keys.append(key.as_py())
                 sets.append(shingle_set(text.as_py(), hashes))
                 held += len(sets[-1]) + 64
                 if held > TOGETHER:
@@ -83,7 +87,8 @@ def sketched(docs: DataFrame) -> DataFrame:
         if ids:
             yield out()
 
-    return docs.select("doc_id", "text").mapInArrow(read, "doc_id long, n_shingles long, set_key binary, registers binary")
+    rows = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"))
+    return rows.mapInArrow(read, "doc_id long, text_key long, n_shingles long, set_key binary, registers binary")
 
 
 def _estimate(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
@@ -259,7 +264,10 @@ def _by_shingle(named: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """Set size, component and verdict of every document; links are those of at least ``percent`` similarity."""
+    """Set size, component and verdict of every document; links are those of at least ``percent`` similarity.
+
+    ``text_key`` and ``set_key`` tell rows with equal ids apart.
+    """
     made = written(sketched(docs), "sketches")
     full = salted_min(made.where("n_shingles > 0").select("doc_id", "n_shingles", "set_key"), ["n_shingles", "set_key"], "doc_id", "rep")
     classes = written(full.select("doc_id", "n_shingles", "set_key", "rep").distinct(), "classes")
@@ -318,10 +326,15 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
         F.col("set_key").alias("_key"),
         F.coalesce("component", "rep").alias("component_id"),
     )
-    rows = made.select("doc_id", "n_shingles", "set_key").join(
+    rows = made.select("doc_id", "text_key", "n_shingles", "set_key").join(
         placed, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("set_key") == F.col("_key")), "left"
     )
     component = F.coalesce("component_id", "doc_id")
     return rows.select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept")
+        "doc_id",
+        "n_shingles",
+        component.alias("component_id"),
+        F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"),
+        "text_key",
+        "set_key",
     )

@@ -41,7 +41,7 @@ def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_key", "set_key")
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
