@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spendwatch.llm.common import table
 from spendwatch.llm.decontam import decontaminate, decontaminate_sql
+from spendwatch.llm.fim import fim_digests, fim_sql
 from spendwatch.llm.html import extract_text
 from spendwatch.llm.licenses import license_scan, license_sql
 from spendwatch.llm.lm import score_documents
@@ -69,6 +70,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
 
 
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents cut and reordered for fill-in-the-middle training, and rebuilt."""
+    return fim_digests(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": op1_warc,
@@ -81,6 +87,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_suffix_array": op8_suffix_array,
         "op9_language_model": op9_language_model,
         "op10_decontamination": op10_decontamination,
+        "op11_fim": op11_fim,
     }
 
 
@@ -91,4 +98,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_quality": quality_sql(),
         "op7_sharding": shard_sql(),
         "op10_decontamination": decontaminate_sql(),
+        "op11_fim": fim_sql(),
     }
