@@ -17,6 +17,7 @@ from spendwatch.llm.packing import pack_documents
 from spendwatch.llm.passages import without_repeats
 from spendwatch.llm.quality import quality_rules, quality_sql
 from spendwatch.llm.sharding import shard_documents, shard_sql
+from spendwatch.llm.vectorcodes import compress_report, compress_sql
 from spendwatch.llm.warc import warc_round_trip, warc_sql
 
 
@@ -75,6 +76,11 @@ def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim_digests(table(spark, sf_dir, "documents"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings as product codes of trained codebooks."""
+    return compress_report(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": op1_warc,
@@ -88,6 +94,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_language_model": op9_language_model,
         "op10_decontamination": op10_decontamination,
         "op11_fim": op11_fim,
+        "op12_vector_codes": op12_vector_codes,
     }
 
 
@@ -99,4 +106,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_sharding": shard_sql(),
         "op10_decontamination": decontaminate_sql(),
         "op11_fim": fim_sql(),
+        "op12_vector_codes": compress_sql(),
     }
