@@ -12,6 +12,7 @@ from spendwatch.llm.fim import fim_digests, fim_sql
 from spendwatch.llm.html import extract_text
 from spendwatch.llm.licenses import license_scan, license_sql
 from spendwatch.llm.lm import score_documents
+from spendwatch.llm.mixing import mix_report
 from spendwatch.llm.neardup import near_duplicates
 from spendwatch.llm.packing import pack_documents
 from spendwatch.llm.passages import without_repeats
@@ -81,6 +82,11 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compress_report(table(spark, sf_dir, "embeddings"))
 
 
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to target weights of their sources."""
+    return mix_report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": op1_warc,
@@ -95,6 +101,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_decontamination": op10_decontamination,
         "op11_fim": op11_fim,
         "op12_vector_codes": op12_vector_codes,
+        "op13_mixing": op13_mixing,
     }
 
 

@@ -1,0 +1,131 @@
+"""Mixing: targets against plain resharing, quotas and passes piece by piece, the tree's margins, odd rows."""
+
+import re
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from spendwatch.llm import mixing
+from spendwatch.llm.mixing import MixParams, drawn, mix_report, mixture, place, split, write_mixture
+
+from .conftest import SF0001, rows_of
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.integers(1, 300), st.integers(0, 2**63))
+def test_places_are_a_permutation(n, key):
+    found = place(np.arange(n), np.full(n, n), np.full(n, key, np.uint64))
+    assert sorted(found.tolist()) == list(range(n))
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 40), min_size=1, max_size=12), st.integers(1, 9), st.integers(0, 9))
+def test_tree_keeps_its_margins(quotas, shards, seed):
+    total = sum(quotas)
+    room = np.array([total // shards + (k < total % shards) for k in range(shards)])
+    made = split(np.array(quotas), room, (seed,))
+    assert (made.sum(axis=1) == quotas).all() and (made.sum(axis=0) == room).all() and (made >= 0).all()
+    assert (made == split(np.array(quotas), room, (seed,))).all()
+
+
+def test_tree_draws_without_bias():
+    shares = np.mean([split(np.array([600, 200, 200]), np.full(8, 125), (k,)) for k in range(300)], axis=0)
+    assert np.allclose(shares, np.array([[75.0], [25.0], [25.0]]), atol=2.0)
+
+
+def plain_targets(sizes, weights=(3, 1, 2), share=1.5, most=2):
+    """Shares by weight; what is above a limit is dealt again among the others."""
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: weights[k % len(weights)] for k, s in enumerate(names)}
+    target = {s: 0.0 for s in names}
+    left, open_names = share * sum(sizes.values()), set(names)
+    while open_names and left > 1e-9:
+        total = sum(weight[s] for s in open_names)
+        for s in open_names:
+            target[s] += left * weight[s] / total
+        left = sum(max(0.0, target[s] - most * sizes[s]) for s in open_names)
+        for s in list(open_names):
+            if target[s] >= most * sizes[s]:
+                target[s] = float(most * sizes[s])
+                open_names.discard(s)
+    return target
+
+
+def check(docs, params):
+    """All promises of the mix, from its pieces."""
+    rows = drawn(docs, params).collect()
+    sizes = defaultdict(int)
+    for r in docs.select("source", "text").collect():
+        sizes[r["source"]] += len(WORD.findall(r["text"] or ""))
+    target = plain_targets(sizes)
+    got, shard_words, held = defaultdict(int), defaultdict(int), defaultdict(int)
+    for r in rows:
+        n = sum(p["words"] for p in r["pieces"])
+        assert n <= 2 * r["size"] and r["source_size"] == sizes[r["source"]]
+        assert abs(r["target"] - target[r["source"]]) <= 1e-6 * max(1, target[r["source"]])
+        for turn in range(3):
+            runs = sorted((p["first_word"], p["first_word"] + p["words"]) for p in r["pieces"] if p["turn"] == turn)
+            assert all(a[1] <= b[0] for a, b in zip(runs, runs[1:])) and all(0 <= a < b <= r["size"] for a, b in runs)
+            if target[r["source"]] >= (turn + 1) * sizes[r["source"]] > 0:
+                assert sum(b - a for a, b in runs) == r["size"]  # a whole pass leaves nothing out
+        for p in r["pieces"]:
+            shard_words[p["shard"]] += p["words"]
+        got[r["source"]] += n
+        held[r["doc_id"]] += 1
+    assert len(rows) == docs.count()
+    assert all(abs(got[s] - target[s]) <= 0.5 + 1e-6 for s in sizes)
+    length = max(params.block_words, sum(target.values()) / mixing.MOST_BLOCKS)
+    if sum(got.values()) > 4 * params.shards * length:  # shards get as many blocks each, of which a source's last are shorter
+        assert max(shard_words.values()) <= min(shard_words.values()) + 4 * (length + 1) * len(sizes)
+    return rows
+
+
+ODD = [(None, "no id at all", None), (1, None, "a"), (2, "", "b"), (3, " \n ", "z"), (4, "one", "only"), (5, "a b\x0bc\x85d", "\U0001f600")]
+ODD += [(6, "same row", "a"), (6, "same row", "a"), (None, "no id at all", None), (7, "long " * 30_000, "uu"), (8, "x " * 77, "￿")]
+ODD += [(10 + k, "hot words here " * (k % 13), "hot") for k in range(300)]
+
+
+@pytest.mark.parametrize("block", [7, 64, 4096])
+def test_odd_rows(docs_of, monkeypatch, block):
+    monkeypatch.setattr(mixing, "GROUP", 3)
+    docs = docs_of(ODD).withColumns({c: F.lit(1) for c in ("size", "h", "rank", "first", "pieces", "range", "words")})
+    params = MixParams(block_words=block, shards=5)
+    rows = check(docs, params)
+    again = mix_report(docs.repartition(7), params)
+    assert rows_of(again, ["doc_id", "size", "taken"]) == rows_of(mix_report(docs, params), ["doc_id", "size", "taken"])
+    assert len(rows) == len(ODD)
+
+
+def test_one_source_and_none(docs_of):
+    check(docs_of([(k, "w " * k) for k in range(50)]), MixParams(block_words=3, shards=4))
+    assert mix_report(docs_of([])).collect() == []
+    (r,) = mix_report(docs_of([(1, None)])).collect()
+    assert (r["size"], r["source_size"], r["target"], r["taken"]) == (0, 0, 0.0, 0)
+
+
+def test_whole_table(spark):
+    check(spark.read.parquet(f"{SF0001}/documents.parquet"), MixParams())
+
+
+def test_large_mix_has_bounded_blocks(docs_of, monkeypatch):
+    monkeypatch.setattr(mixing, "MOST_BLOCKS", 10)
+    check(docs_of(ODD), MixParams(block_words=2, shards=3))
+
+
+def test_texts_of_the_mix(spark, docs_of, tmp_path):
+    docs, params = docs_of(ODD), MixParams(block_words=50, shards=4)
+    words = {(r["doc_id"], r["source"]): 0 for r in docs.collect()}
+    for r in mixture(docs, params).collect():
+        words[(r["doc_id"], r["source"])] += len(WORD.findall(r["text"]))
+    want = {k: 0 for k in words}
+    for r in drawn(docs, params).collect():
+        want[(r["doc_id"], r["source"])] += sum(p["words"] for p in r["pieces"])
+    assert words == want
+    write_mixture(spark, docs, str(tmp_path / "mix"), params)
+    assert spark.read.parquet(str(tmp_path / "mix")).count() == mixture(docs, params).count()
