@@ -9,17 +9,16 @@
    likelihood estimate is above ``ESTIMATE`` (five standard errors below the limit) are
    verified on the full sets, computed anew from the texts; linked documents are joined to parts of components.
 5. Open buckets (of several parts) of up to ``SMALL`` documents: every pair across parts is
-   estimated and verified likewise. Pairs inside a part can add nothing and are never made.
-6. Larger open buckets are never paired out. All documents that were compared with one centre c are a cluster,
-   and their exact overlaps with c bound each other's: documents x and y share at
+   estimated and verified likewise, at most ``SMALL - 1`` a document. Pairs inside a part can add nothing and are never made.
+6. Larger open buckets are never paired out. Their documents are compared with one centre c, the least document of the
+   part that holds most of the bucket: buckets of one group of copies share it, so a document is in about one cluster a group,
+   whatever the number of bands. The exact overlaps with c bound the documents' own: x and y share at
    most ``min(|x & c|, |y & c|)`` shingles of c, and the link needs ``3 (|x| + |y|) / 7`` in all. So
    either the bound alone reaches the limit, which is decided on the few (size, overlap) classes of a cluster before any
-   documents are paired; or they share a shingle outside c. They then share so many that one lies in the
-   prefix of each, the rarest in the cluster first, and they meet in a new bucket by it, if what
-   comes from its place on can still suffice. What many documents hold (a common
-   passage) stays out of the prefixes. New buckets go through 5 or, if larger, once more through 6 with their own centres; what then still meets
-   across parts is paired as in 5. A document that the first round has compared with such a centre is in its new cluster too, by
-   the figures of then.
+   documents are paired; or they share a shingle outside c, and then one that lies in the
+   prefix of each, the first outside shingles in order of their hashes. Prefixes are spread once a document and centre; only shingles that
+   documents of several parts hold become new buckets. These go through 5 or, if larger, through 6 again with a centre of their
+   own. What ``ROUNDS`` rounds leave in large buckets is paired as in 5, if the bound allows, so that no link is lost.
 7. Components are made of all links at the end.
 
 Rows: a NULL text or one without words has an empty set, links with nothing and stands alone; repeated
@@ -46,6 +45,8 @@ ROWS = 4
 ESTIMATE = 0.55
 #: Documents of a bucket that are paired with each other at most.
 SMALL = 32
+#: Rounds of centres for large buckets.
+ROUNDS = 4
 #: Shingles that are sketched together.
 TOGETHER = 1 << 18
 
@@ -146,11 +147,11 @@ def _verify(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return _with_texts(pairs, texts).mapInArrow(read, "a long, b long")
 
 
-_COMPARED = "doc_id long, centre long, n long, n_centre long, common long, prefix long, outside array<long>"
+_COMPARED = "doc_id long, centre long, n long, n_centre long, common long, out long, prefix array<long>"
 
 
 def _compared(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Documents (a) with their centres (b): sizes, overlap, the shingles outside the centre, and how long their prefix is.
+    """Documents (a) with their centres (b): sizes, overlap, number of shingles outside the centre, and the first of these by hash.
 
     A link of a document of n shingles shares at least ``percent`` of them, so at least that less the overlap
     lie outside the centre, and of these one is in the prefix, in any order that all documents of the cluster use.
@@ -165,7 +166,7 @@ def _compared(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
                 out = np.setdiff1d(sa, sb, assume_unique=True)
                 common = len(sa) - len(out)
                 need = max(1, -(-percent * len(sa) // 100) - common)
-                rows.append((len(sa), len(sb), common, max(0, len(out) - need + 1), out.view(np.int64)))
+                rows.append((len(sa), len(sb), common, len(out), out[: max(0, len(out) - need + 1)].view(np.int64)))
             columns = [batch.column(0), batch.column(1), *(pa.array([r[k] for r in rows], pa.int64()) for k in range(4))]
             columns.append(pa.array([r[4] for r in rows], pa.list_(pa.int64())))
             yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in _COMPARED.split(", ")])
@@ -173,15 +174,9 @@ def _compared(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return _with_texts(pairs, texts).mapInArrow(read, _COMPARED)
 
 
-def hooked(links: DataFrame) -> DataFrame:
-    """(doc_id, part): a part of each linked document's component, by its least neighbour and that one's least neighbour.
-
-    Documents of one part are connected; a component can have several parts, which only leaves more pairs to try.
-    """
-    both = links.select(F.col("a").alias("doc_id"), "b").union(links.select("b", "a"))
-    least = both.groupBy("doc_id").agg(F.min("b").alias("b")).select("doc_id", F.least("doc_id", "b").alias("up"))
-    above = least.select(F.col("doc_id").alias("up"), F.col("up").alias("top"))
-    return least.join(above, "up", "left").select("doc_id", F.coalesce("top", "up").alias("part"))
+def parted(links: DataFrame) -> DataFrame:
+    """(doc_id, part): the least document of each linked document's component so far."""
+    return written(components(links, "a", "b").select(F.col("node").alias("doc_id"), F.col("component").alias("part")), "parts")
 
 
 def _ordered_pairs(pairs: DataFrame) -> DataFrame:
@@ -218,6 +213,23 @@ def _reachable(percent: int) -> Column:
     return (100 + percent) * most >= percent * (F.col("n") + F.col("n_2"))
 
 
+def _centred(rows: DataFrame, parts: DataFrame, turn: int) -> DataFrame:
+    """(bucket, doc_id, centre) of open buckets.
+
+    At first the centre is the least document of the part that most rows are in, which other buckets share; later it is one of
+    the bucket's own, another one each turn, so that the shingle that made the bucket is inside the centre.
+    """
+    named = _part_of(rows, parts)
+    if turn == 0:
+        held = named.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("n"))
+        best = F.max_by("part", F.struct("n", -F.col("part")))
+        centres = held.groupBy("bucket").agg(best.alias("centre"), F.count(F.lit(1)).alias("of")).where("of > 1")
+    else:
+        drawn = F.min_by("doc_id", F.struct(F.xxhash64("doc_id", F.lit(turn)), "doc_id"))
+        centres = named.groupBy("bucket").agg(drawn.alias("centre"), F.min("part").alias("p0"), F.max("part").alias("p1")).where("p0 < p1")
+    return named.select("bucket", "doc_id").join(centres.select("bucket", "centre"), "bucket")
+
+
 def _named(rows: DataFrame, parts: DataFrame) -> DataFrame:
     """Clusters with their parts, without those that are one part."""
     named = _part_of(rows, parts)
@@ -247,19 +259,15 @@ def _by_bound(named: DataFrame, percent: int) -> DataFrame:
 
 
 def _by_shingle(named: DataFrame) -> DataFrame:
-    """Documents of a cluster that share a shingle of their prefixes, the rarest first.
+    """Documents of a cluster that share a shingle of their prefixes with a document of another part.
 
-    (bucket, doc_id, part, n, common, rest): ``rest`` counts the shingles outside the centre from the shared one on.
+    (bucket, doc_id, n, common, rest): ``rest`` counts the shingles outside the centre from the shared one on.
     """
-    size = F.size("outside").alias("out")
-    spread = named.where("prefix > 0").select(
-        "centre", "doc_id", "part", "n", "common", "prefix", size, F.explode("outside").alias("shingle")
-    )
-    held = spread.groupBy("centre", "shingle").agg(F.count(F.lit(1)).alias("held"))
-    rank = Window.partitionBy("centre", "doc_id").orderBy("held", "shingle")
-    kept = spread.join(held, ["centre", "shingle"]).withColumn("place", F.row_number().over(rank))
-    return kept.where("place <= prefix and held > 1").select(
-        F.xxhash64("centre", "shingle").alias("bucket"), "doc_id", "part", "n", "common", (F.col("out") - F.col("place") + 1).alias("rest")
+    spread = named.select("centre", "doc_id", "part", "n", "common", "out", F.posexplode("prefix").alias("place", "shingle"))
+    held = spread.groupBy("centre", "shingle").agg(F.min("part").alias("p0"), F.max("part").alias("p1"))
+    shared = held.where("p0 < p1").select("centre", "shingle")
+    return spread.join(shared, ["centre", "shingle"]).select(
+        F.xxhash64("centre", "shingle").alias("bucket"), "doc_id", "n", "common", (F.col("out") - F.col("place")).alias("rest")
     )
 
 
@@ -291,34 +299,36 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
         pairs = written(_ordered_pairs(pairs), name)
         return pairs, written(_verify(_estimate(pairs, reps, percent), texts, percent), "links")
 
-    star = buckets.select(F.col("doc_id").alias("a"), F.col("least").alias("b"), "large")
-    pairs, links = tried(star.where("not large"), "pairs")
-    rows = written(_compared(_ordered_pairs(star.where("large")), texts, percent), "clusters")
-    links = links.union(_linked(rows, percent))
-    small = _across(buckets.where("not large").select("bucket", "doc_id"), written(hooked(links), "parts"))
+    pairs, links = tried(buckets.select(F.col("doc_id").alias("a"), F.col("least").alias("b")), "pairs")
+    parts = parted(links)
+    small = _across(buckets.where("not large").select("bucket", "doc_id"), parts)
     links = links.union(tried(small.join(pairs, ["a", "b"], "left_anti"), "pairs")[1])
-    for again in (False, True):
-        if rows.isEmpty():
+    open_rows = buckets.where("large").select("bucket", "doc_id")
+    known = None
+    for turn in range(ROUNDS):
+        if open_rows.isEmpty():
             break
-        parts = written(hooked(links), "parts")
-        named = _named(rows, parts)
-        alike = _by_bound(named, percent)
-        met = _by_shingle(named)
-        sizes = met.groupBy("bucket").agg(
-            F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"), F.min("part").alias("p0"), F.max("part").alias("p1")
-        )
-        sizes = sizes.where("p0 < p1").select("bucket", "least", ((F.col("n") > SMALL) & F.lit(not again)).alias("large"))
-        met = written(met.drop("part").join(sizes, "bucket"), "buckets")
-        direct = _across(met.where("not large"), parts, _reachable(percent))
-        links = links.union(tried(alike.union(direct), "pairs")[1])
-        if again:
-            break
-        star = _ordered_pairs(met.where("large").select(F.col("doc_id").alias("a"), F.col("least").alias("b")))
-        known = rows.select(F.col("doc_id").alias("a"), F.col("centre").alias("b"))
-        new = _compared(star.join(known, ["a", "b"], "left_anti"), texts, percent)
-        before = rows.join(star.select(F.col("a").alias("doc_id"), F.col("b").alias("centre")), ["doc_id", "centre"], "left_semi")
-        rows = written(new.unionByName(before), "clusters")
+        # each round with the parts that the links so far make
+        star = written(_centred(open_rows, parted(links), turn).select("doc_id", "centre").distinct(), "centred")
+        asked = star.where("doc_id <> centre").select(F.col("doc_id").alias("a"), F.col("centre").alias("b"))
+        if known is None:
+            known = rows = written(_compared(asked, texts, percent), "clusters")
+        else:
+            # what an earlier round compared is in the cluster by its figures of then
+            new = _compared(asked.join(known.select(F.col("doc_id").alias("a"), F.col("centre").alias("b")), ["a", "b"], "left_anti"), texts, percent)
+            new = written(new, "clusters")
+            rows = new.unionByName(known.join(star, ["doc_id", "centre"], "left_semi"))
+            known = known.unionByName(new)
         links = links.union(_linked(rows, percent))
+        parts = parted(links)
+        named = _named(rows, parts)
+        met = written(_by_shingle(named), "met")
+        sizes = met.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
+        paired = F.lit(True) if turn == ROUNDS - 1 else F.col("size") <= SMALL
+        met = met.join(sizes, "bucket")
+        direct = _across(met.where(paired).drop("size"), parts, _reachable(percent))
+        links = links.union(tried(_by_bound(named, percent).union(direct), "pairs")[1])
+        open_rows = written(met.where(~paired).select("bucket", "doc_id"), "open")
     joined = components(links, "a", "b")
     best = joined.select(F.col("node").alias("rep"), "component")
     placed = classes.join(best, "rep", "left").select(
