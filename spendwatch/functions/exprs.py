@@ -98,18 +98,21 @@ def money_avg(col: Column | str, window: WindowSpec | None = None) -> Column:
 
 # Mean and deviation from exact totals, so that a grouped and a window
 # aggregate give the same doubles.
-def money_moments(col: Column | str, prefix: str) -> dict[str, Callable[[WindowSpec | None], Column]]:
+def money_moments(col: str, prefix: str) -> dict[str, Callable[[WindowSpec | None], Column]]:
     """Aggregates behind ``money_statistics``: name -> function of a window spec or None."""
-    square = money_units(col).cast("decimal(19,0)") * money_units(col).cast("decimal(19,0)")
+    c = f"`{col}`"
+    scaled = f"rint({c} * {float(MICRO_UNITS)!r}D)"
+    whole = f"abs({scaled}) <= {_MOST_UNITS!r}D AND {scaled} / {float(MICRO_UNITS)!r}D = {c}"
+    units, rest = f"if({whole}, CAST({scaled} AS BIGINT), NULL)", f"if({whole}, NULL, {c})"
     raw = {
-        "n": F.count(_c(col)),
-        "units": F.sum(exact_units(col)),
-        "squares": F.try_sum(square.cast("decimal(38,0)")),
-        "rest": F.sum(money_rest(col)),
-        "rest_n": F.count(money_rest(col)),
-        "sd": F.stddev_pop(_c(col)),
+        "n": f"count({c})",
+        "units": f"sum(CAST({units} AS DECIMAL(38,0)))",
+        "squares": f"try_sum(CAST(CAST({units} AS DECIMAL(19,0)) * CAST({units} AS DECIMAL(19,0)) AS DECIMAL(38,0)))",
+        "rest": f"sum({rest})",
+        "rest_n": f"count({rest})",
+        "sd": f"stddev_pop({c})",
     }
-    return {f"{prefix}{name}": (lambda w, a=agg: _over(a, w)) for name, agg in raw.items()}
+    return {f"{prefix}{name}": (lambda w, a=F.expr(agg): _over(a, w)) for name, agg in raw.items()}
 
 
 def money_statistics(prefix: str) -> tuple[Column, Column]:
@@ -161,6 +164,11 @@ def epoch_micros(ts: Column | str) -> Column:
     Built from the wall-clock fields, so daylight-saving changes of the
     session zone cannot shift a gap.
     """
+    if isinstance(ts, str):
+        t = f"CAST(`{ts}` AS TIMESTAMP_NTZ)"
+        days = f"CAST(datediff(CAST({t} AS DATE), DATE '1970-01-01') AS BIGINT) * {_MICROS_PER_DAY}L"
+        clock = f"(hour({t}) * 3600L + minute({t}) * 60L) * 1000000L"
+        return F.expr(f"{days} + {clock} + CAST(extract(SECOND FROM {t}) * 1000000 AS BIGINT)")
     t = _c(ts).cast("timestamp_ntz")
     days = F.datediff(t.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
     clock = (F.hour(t).cast("long") * 3600 + F.minute(t).cast("long") * 60) * 1_000_000

@@ -1,12 +1,10 @@
 """Rule-based fraud scoring.
 
-Plan shape: the approved rows are shuffled once, by employee (or by
-(employee, time bucket) for employees detected as hot, see ``velocity``).
-The burst windows, the per-employee statistics (window aggregates on the
-same partition) and the employee join all run on that partitioning; when
-hot employees are split the statistics are a partial aggregate attached to
-the small per-bucket summary instead.  The burst self-joins of the SQL
-formulation disappear: the burst size travels with each row.
+Plan shape: the approved rows are shuffled once, by (employee, segment), see ``velocity``:
+the burst windows and the per-employee statistics (window aggregates) run on that partitioning,
+and rows of hot employees take both from their segments.  The burst self-joins of the SQL
+formulation disappear: the burst size travels with each row.  Names are joined to the rows that are left
+after the alert filter.
 """
 
 from __future__ import annotations
@@ -69,13 +67,12 @@ def transaction_features(
     # The statistics join on employee_id in the SQL form drops rows without
     # an employee; the filter keeps that (and reaches the scan).
     approved = approved_only(txn).where(F.col("employee_id").isNotNull()).select(*cols)
-    per_key = employees.select("employee_id", "employee_name") if employees is not None else None
-    # T1 statistics over the same approved rows, computed inside the burst
-    # plan: window aggregates on the per-employee partition, or a partial
-    # aggregate on the per-bucket summary when employees are split.
-    rows = annotate_bursts(approved, rules.burst_gap_minutes, skew, per_key=per_key,
+    # T1 statistics over the same approved rows, computed inside the burst plan
+    rows = annotate_bursts(approved, rules.burst_gap_minutes, skew,
                            key_aggregates=money_moments("amount", _MOMENTS), need_previous=False)
     rows = _with_statistics(rows)
+    if employees is not None:
+        rows = rows.join(employees.select("employee_id", "employee_name"), "employee_id")
     if merchants is not None:
         rows = rows.join(merchants.select("merchant_id", "merchant_name", "category"), "merchant_id")
     return rows

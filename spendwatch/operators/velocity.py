@@ -2,31 +2,32 @@
 
 Both rules order an employee's approved transactions in time.  A plain
 ``Window.partitionBy("employee_id")`` puts each employee in one task, so an
-employee holding a large share of all rows would serialize the job.
-
-* ``hot_key_buckets`` is part of the plan: a sampled aggregate that estimates rows
-  per employee and, for employees above ``SkewParams.rows_per_bucket``, picks a
-  time-bucket width that gives buckets of about that many rows.  It is joined
-  null-safely (a NULL employee can be hot too) and the planner sizes the join;
-  no job runs while a plan is built.
-* Rows of other employees take the textbook plan: one exchange by employee feeding
-  ``lag``, the running sum and the burst count (and the rolling counts).  Rows
-  of hot employees take the plans below, and both are united.  With no hot
-  employee the second branch is empty and adaptive execution drops it.
-* Hot employees, bursts (T3-T5, P9 and the fraud scoring): gap-wide
-  buckets.  Two rows of a ``gap + 1 µs`` bucket are never more than a gap
-  apart, so bursts follow from per-bucket partial aggregates and a window
-  over the buckets; nothing is ordered inside a bucket and the rows join
-  back on (employee, bucket).
-* Hot employees, previous timestamp (T2-T4): a row's predecessor shares its
-  instant unless it has the smallest id there, else it is the previous
-  distinct instant; the lag runs over per-(employee, instant) rows, keyed
-  by ``(employee_id, time bucket)``, with the bucket before giving the first row's.
+employee holding a large share of all rows would serialize the job.  One plan
+serves all employees:
+
+* ``hot_key_buckets`` is a sampled aggregate that estimates rows per employee and,
+  for employees above ``SkewParams.rows_per_bucket``, picks a time-bucket width that
+  gives buckets of about that many rows.  ``hot_widths`` folds it into one
+  value (at most N / rows_per_bucket entries) that the rows look up as a scalar
+  subquery: no join touches the fact, no job runs while a plan is built.
+* Every row gets a segment: 0 if its employee is not hot, else its gap-wide
+  bucket or its instant, dealt to ``SALTS`` parts.  The fact is shuffled once,
+  by (employee, segment, part), and sorted once; lag, running sums and burst
+  sizes are windows there, which are right as they stand for employees that are not hot.
+* What a hot employee's windows cannot see is computed on mergeable segments
+  (first, last, count), made by a partial aggregate over the hot rows alone, and
+  combined by a prefix scan over the segments (bursts), or over time buckets and
+  then within them (instants).  The result joins the rows on the partitioning they have;
+  without hot employees it is empty, and adaptive execution drops it.
+* Bursts (T5, P9 and the fraud scoring) use gap-wide buckets: two rows of a
+  ``gap + 1 µs`` bucket are never more than a gap apart, so nothing is ordered inside one.
+* Previous timestamps (T2-T4) use instants: a row's predecessor shares its instant
+  unless it has the smallest id there, else it is the previous distinct instant.
 * Rolling counts are differences of running totals: a row adds one at its
   time and takes it away just after its window, so each count is one
   growing sum over these events, whose cost does not depend on how many rows a
-  window holds.  For hot employees the rows are first counted per (employee,
-  instant), events are dealt to the time bucket they fall in, summed there, and
+  window holds.  Events are made behind the exchange.  For hot employees the rows are first counted per
+  instant, events are dealt to the time bucket they fall in, summed there, and
   shifted by the totals of the buckets before, for any bucket width.
 
 Rows that share a timestamp are ordered by ``transaction_id`` everywhere, so
@@ -49,9 +50,18 @@ TS = "transaction_timestamp"
 TID = "transaction_id"
 
 _US = "_sw_us"          # epoch microseconds of TS
-_BW = "_sw_bucket_us"   # bucket width of a hot employee (NULL: one bucket)
-_BKT = "_sw_bucket"     # bucket number, non-decreasing in time within a key
+_BW = "_sw_bucket_us"   # bucket width of a hot employee (NULL: not hot)
+_BKT = "_sw_bucket"     # time bucket of a hot employee, non-decreasing in time
+_K = "_sw_key"          # the key, and whether it is NULL: plain columns that joins and windows share
+_KN = "_sw_no_key"
+_SEG = "_sw_segment"    # 0, or the bucket or instant of a hot employee's row
+_PART = "_sw_part"      # part of a segment that many rows can share
+_PLACE = [_K, _KN, _SEG, _PART]
 _NULL_TIME_BUCKET = 2**63 - 1
+#: Parts of a hot employee's segment (bits of a bigint).
+SALTS = 32
+#: Slots of the hot list, so that a look-up does not walk through all of it.
+_SLOTS = 256
 
 
 # --------------------------------------------------------------------------
@@ -70,29 +80,34 @@ def hot_key_buckets(df: DataFrame, skew: SkewParams = DEFAULT_SKEW, key: str = K
     sampled = df.select(key, epoch_micros(ts).alias(_US))
     if f < 1.0:
         sampled = sampled.sample(fraction=f, seed=skew.seed)
-    per_key = sampled.groupBy(key).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min(_US).alias("_lo"),
-        F.max(_US).alias("_hi"),
-    )
+    per_key = sampled.groupBy(key).agg(F.expr(f"struct(count(1) AS n, min({_US}) AS low, max({_US}) AS high)").alias("s"))
     threshold = max(skew.rows_per_bucket * f, 1.0)
-    span = (F.col("_hi") - F.col("_lo") + 1).cast("double")
-    width = F.greatest(
-        F.lit(max(minutes_to_micros(skew.min_bucket_minutes), 1)).cast("long"),
-        F.coalesce((span * F.lit(threshold) / F.col("_n")).cast("long"), F.lit(1).cast("long")),
-    )
-    return per_key.where(F.col("_n") >= F.lit(threshold)).select(key, width.alias(_BW))
+    least = max(minutes_to_micros(skew.min_bucket_minutes), 1)
+    width = f"CAST(CAST(s.high - s.low + 1 AS DOUBLE) * {threshold!r}D / s.n AS BIGINT)"
+    return per_key.where(f"s.n >= {threshold!r}D").selectExpr(f"`{key}`", f"greatest({least}L, coalesce({width}, 1L)) AS {_BW}")
 
 
-def _with_width(rows: DataFrame, skew: SkewParams, key: str, ts: str) -> DataFrame:
-    """Adds the bucket width of each row's key, NULL unless the key is hot.
+def hot_widths(hot: DataFrame, key: str) -> Column:
+    """The hot list (key, width) as one value: maps of the keys dealt to slots, the last for the NULL key."""
+    entry = f"struct({_slot(key)} AS slot, {_plain(hot, key)} AS key, {_BW} AS width)"
+    slot_map = "map_from_entries(transform(filter(_sw_all, e -> e.slot = s), e -> struct(e.key, e.width)))"
+    one = hot.agg(F.expr(f"collect_list({entry})").alias("_sw_all"))
+    return one.select(F.expr(f"transform(sequence(0, {_SLOTS}), s -> {slot_map})").alias("_sw_widths")).scalar()
+
+
+def _slot(key: str) -> str:
+    return f"if(`{key}` IS NULL, {_SLOTS}, CAST(pmod(xxhash64(`{key}`), {_SLOTS}L) AS INT))"
 
-    Null-safe, so a hot NULL key is found too.  The hot list has at most about
-    N / rows_per_bucket rows; the planner and adaptive execution choose the join
-    by its size.
-    """
-    hot = hot_key_buckets(rows, skew, key, ts).withColumnRenamed(key, "_sw_hot")
-    return rows.join(hot, rows[key].eqNullSafe(hot["_sw_hot"]), "left").drop("_sw_hot")
+
+def _plain(rows: DataFrame, key: str) -> str:
+    """The key without NULL; a slot or flag beside it tells a NULL."""
+    return f"coalesce(`{key}`, CAST('0' AS {rows.schema[key].dataType.simpleString()}))"
+
+
+def _with_width(rows: DataFrame, skew: SkewParams, key: str, ts: str) -> DataFrame:
+    """Adds the bucket width of each row's key, NULL unless the key is hot (a NULL key can be)."""
+    widths = hot_widths(hot_key_buckets(rows, skew, key, ts), key)
+    return rows.select("*", F.get(widths, F.expr(_slot(key)))[F.expr(_plain(rows, key))].alias(_BW))
 
 
 def _bucket(us: Column, width: Column) -> Column:
@@ -100,6 +115,54 @@ def _bucket(us: Column, width: Column) -> Column:
     return F.when(us.isNull(), F.lit(_NULL_TIME_BUCKET)).otherwise(F.floor((us - F.pmod(us, width)) / width).cast("long"))
 
 
+def _bucket_sql(us: str, width: str) -> str:
+    """``_bucket`` as SQL text."""
+    return f"if({us} IS NULL, {_NULL_TIME_BUCKET}L, CAST(floor(({us} - pmod({us}, {width})) / {width}) AS BIGINT))"
+
+
+def _placed(rows: DataFrame, skew: SkewParams, key: str, ts: str, tid: str, segment: str, alone: bool) -> DataFrame:
+    """Adds microseconds, width, the plain key columns, and the row's segment and part.
+
+    ``segment`` is that of a hot employee's row with a time.  Rows without a time follow all others;
+    each is a segment of its own if they stand ``alone``, else they share an instant.
+    """
+    plain = _plain(rows, key)
+    rows = _with_width(rows, skew, key, ts).select("*", epoch_micros(ts).alias(_US))
+    part = f"CAST(pmod(xxhash64(`{tid}`), {SALTS}L) AS STRING)"
+    if alone:
+        part = f"if({_US} IS NULL, concat('t', coalesce(CAST(`{tid}` AS STRING), '')), {part})"
+    at = f"if({_US} IS NULL, {_NULL_TIME_BUCKET}L, {segment})"
+    return rows.selectExpr(
+        "*",
+        f"{plain} AS {_K}",
+        f"`{key}` IS NULL AS {_KN}",
+        f"if({_BW} IS NULL, 0L, {at}) AS {_SEG}",
+        f"if({_BW} IS NULL, '', {part}) AS {_PART}",
+    )
+
+
+#: Which parts of a segment hold rows, as bits; a segment of a row without a time can be one named part.
+_PARTS_HELD = [
+    f"bit_or(if({_PART} LIKE 't%', NULL, shiftleft(1L, CAST({_PART} AS INT)))) AS _sw_bits",
+    f"max(if({_PART} LIKE 't%', {_PART}, NULL)) AS _sw_named",
+]
+
+
+def _grouped(rows: DataFrame, keys: list[str], aggregates: list[str]) -> DataFrame:
+    return rows.groupBy(*map(F.expr, keys)).agg(*map(F.expr, aggregates))
+
+
+def _met(rows: DataFrame, segments: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows with the columns of their segment and part; a plain join on the partitioning that the rows have.
+
+    A segment becomes one row for each of its parts that holds rows.
+    """
+    salts = f"filter(sequence(0, {SALTS - 1}), k -> getbit(coalesce(_sw_bits, 0L), k) = 1)"
+    parts = f"concat(transform({salts}, k -> CAST(k AS STRING)), array_compact(array(_sw_named)))"
+    per_part = segments.selectExpr(_K, _KN, _SEG, f"explode({parts}) AS {_PART}", *columns)
+    return rows.join(per_part, _PLACE, "left")
+
+
 # --------------------------------------------------------------------------
 # Bursts (gap-based sessionisation), T2-T5
 # --------------------------------------------------------------------------
@@ -107,169 +170,150 @@ def _bucket(us: Column, width: Column) -> Column:
 BURST_COLUMNS = ["previous_transaction_timestamp", "starts_new_burst", "burst_id", "transactions_in_burst"]
 
 
-def _bursts_per_key(approved: DataFrame, gap_us: int, key: str, ts: str, tid: str) -> DataFrame:
-    """No hot key: one exchange by key feeds lag, running sum and burst count."""
-    rows = approved.withColumn(_US, epoch_micros(ts))
-    w = Window.partitionBy(key).orderBy(F.col(_US).asc_nulls_last(), F.col(tid).asc_nulls_last())
-    rows = rows.select(
-        "*",
-        F.lag(_US).over(w).alias("_sw_prev_us"),
-        F.lag(ts).over(w).alias("previous_transaction_timestamp"),
-    )
-    rows = rows.withColumn(
-        "starts_new_burst",
-        F.when(F.col("_sw_prev_us").isNull() | (F.col(_US) - F.col("_sw_prev_us") > gap_us), 1).otherwise(0),
-    )
-    rows = rows.withColumn(
-        "burst_id",
-        F.sum("starts_new_burst").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("long"),
-    )
-    return rows.withColumn(
-        "transactions_in_burst", F.count(F.lit(1)).over(Window.partitionBy(key, "burst_id"))
-    )
+def _starts(us: str, previous_us: str, gap_us: int) -> str:
+    """1 without a timed predecessor or if it is more than the gap before."""
+    return f"CASE WHEN {previous_us} IS NULL OR {us} - {previous_us} > {gap_us} THEN 1 ELSE 0 END"
+
+
+_SO_FAR = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+_OF_PLACE = f"PARTITION BY {', '.join(_PLACE)}"
 
 
 def annotate_bursts(
     approved: DataFrame,
     gap_minutes: float,
     skew: SkewParams = DEFAULT_SKEW,
-    per_key: DataFrame | None = None,
     key: str = KEY,
     ts: str = TS,
     tid: str = TID,
     key_aggregates: dict[str, Callable[[WindowSpec | None], Column]] | None = None,
     need_previous: bool = True,
+    need_sizes: bool = True,
 ) -> DataFrame:
     """Every input row plus ``previous_transaction_timestamp``,
     ``starts_new_burst``, ``burst_id`` (1-based per key) and
     ``transactions_in_burst``.
 
     With ``need_previous=False`` the previous timestamp of hot employees is
-    NULL: gap-wide buckets need no ordering inside a bucket, so even a hot employee
-    packed into one instant is spread over tasks.
+    NULL: gap-wide buckets need no ordering, so even a hot employee
+    packed into one instant is spread over tasks.  With ``need_sizes=False`` sizes are NULL.
 
     A row starts a new burst when it has no predecessor or its timestamp is
     strictly more than ``gap_minutes`` after the predecessor's.
 
     ``key_aggregates`` (name -> function of a window spec, or None, returning
     an aggregate over the rows of a key) adds per-key aggregates to every
-    row: window aggregates over the per-key partition, or a partial aggregate
-    joined to the per-bucket summary for hot employees.  They must give the
-    same value in both forms (see ``exprs.money_moments``).
-
-    ``per_key`` (optional, keyed by ``key``) is inner-joined per employee:
-    onto rows partitioned by employee, onto the per-bucket summary for hot
-    employees, so the rows are never reshuffled for it.
+    row: window aggregates over the rows' partition, or for hot employees a partial aggregate
+    joined to their segments.  They must give the same value in both forms (see ``exprs.money_moments``).
     """
     gap_us = minutes_to_micros(gap_minutes)
     aggs = dict(key_aggregates or {})
-    extra = [c for c in per_key.columns if c != key] if per_key is not None else []
-    out_cols = approved.columns + list(aggs) + extra + BURST_COLUMNS
-    tagged = _with_width(approved, skew, key, ts)
-    plain = _bursts_per_key(tagged.where(F.col(_BW).isNull()).drop(_BW), gap_us, key, ts, tid)
-    if aggs:
-        whole_key = Window.partitionBy(key)
-        plain = plain.select("*", *[agg(whole_key).alias(name) for name, agg in aggs.items()])
-    if per_key is not None:
-        plain = plain.join(per_key, key)
-    hot = tagged.where(F.col(_BW).isNotNull())
-    summary = per_key
+    segment = _US if need_previous else _bucket_sql(_US, f"{gap_us + 1}L")
+    rows = _placed(approved, skew, key, ts, tid, segment, alone=True)
+    hot = rows.where(f"{_BW} IS NOT NULL")
+    segments = _instants(hot, gap_us, ts, tid, need_sizes) if need_previous else _gap_buckets(hot, gap_us, tid)
+    names = ["_sw_hot_first", "_sw_hot_starts", "_sw_hot_burst", *["_sw_hot_previous"] * need_previous, *["_sw_hot_size"] * need_sizes]
     if aggs:
-        summary = hot.groupBy(key).agg(*[agg(None).alias(name) for name, agg in aggs.items()])
-        if per_key is not None:
-            summary = summary.join(per_key, key)
-    split = _bursts_gap_buckets(hot.drop(_BW), gap_us, summary, key, ts, tid)
-    if need_previous:
-        split = _with_previous_times(split.drop("previous_transaction_timestamp"), hot, key, ts, tid)
-    return plain.select(*out_cols).unionByName(split.select(*out_cols))
-
-
-def _with_previous_times(rows: DataFrame, hot: DataFrame, key: str, ts: str, tid: str) -> DataFrame:
-    """``previous_transaction_timestamp`` of hot employees' rows without ordering the rows.
-
-    A row's predecessor shares its instant unless the row has the smallest id
-    there; otherwise it is the last row of the previous distinct instant.  So
-    the rows are counted per (key, instant) -- rows sharing an instant become
-    one -- and a lag runs over the instants of each time bucket, whose first
-    takes the last instant of the bucket before.  NULL times are one instant, the last.
-    """
-    timed = hot.withColumn(_US, epoch_micros(ts))
-    instants = timed.groupBy(key, _BW, _US).agg(F.min(tid).alias("_sw_first_tid"), F.max(ts).alias("_sw_its"))
-    instants = instants.withColumn(_BKT, _bucket(F.col(_US), F.col(_BW)))
-    within = Window.partitionBy(key, _BKT).orderBy(F.col(_US).asc_nulls_last())
-    instants = instants.withColumn("_sw_before", F.lag("_sw_its").over(within))
-    across = Window.partitionBy(key).orderBy(_BKT)
-    ends = instants.groupBy(key, _BKT).agg(F.max("_sw_its").alias("_sw_last")).select(
-        F.col(key).alias("_sw_ek"), F.col(_BKT).alias("_sw_eb"), F.lag("_sw_last").over(across).alias("_sw_carried")
+        totals = hot.groupBy(_K, _KN).agg(*[agg(None).alias(f"_sw_hot_{n}") for n, agg in aggs.items()])
+        segments = segments.join(totals, [_K, _KN])
+        names += [f"_sw_hot_{n}" for n in aggs]
+
+    # windows over the rows' one exchange and one sort
+    ordered = f"{_OF_PLACE} ORDER BY {_US} ASC NULLS LAST, `{tid}` ASC NULLS LAST"
+    rows = rows.selectExpr(
+        "*", f"lag({_US}) OVER ({ordered}) AS _sw_prev_us", f"lag(`{ts}`) OVER ({ordered}) AS _sw_prev", f"row_number() OVER ({ordered}) AS _sw_row"
     )
-    prev = instants.join(ends, instants[key].eqNullSafe(ends["_sw_ek"]) & (instants[_BKT] == ends["_sw_eb"])).select(
-        F.col(key).alias("_sw_pk"),
-        F.col(_US).alias("_sw_pt"),
-        "_sw_first_tid",
-        F.coalesce("_sw_before", "_sw_carried").alias("_sw_prev_instant"),
-    )
-    rows = rows.withColumn(_US, epoch_micros(ts))
-    j = rows.join(prev, rows[key].eqNullSafe(prev["_sw_pk"]) & rows[_US].eqNullSafe(prev["_sw_pt"]))
-    return j.withColumn(
-        "previous_transaction_timestamp",
-        F.when(F.col(tid).eqNullSafe(F.col("_sw_first_tid")), F.col("_sw_prev_instant")).otherwise(F.col(ts)),
+    rows = rows.selectExpr("*", f"{_starts(_US, '_sw_prev_us', gap_us)} AS _sw_starts")
+    running = [f"sum(_sw_starts) OVER ({ordered} {_SO_FAR}) AS _sw_burst"]
+    if need_sizes:
+        # a burst's rows go from its first row to the next burst's, or to the end
+        opening = "if(_sw_starts = 1, _sw_row, NULL)"
+        running.append(f"max({opening}) OVER ({ordered} {_SO_FAR}) AS _sw_first")
+        running.append(f"lead({opening}, 1) IGNORE NULLS OVER ({ordered}) AS _sw_next")
+    rows = rows.selectExpr("*", *running)
+    place = Window.partitionBy(*_PLACE)
+    whole = [F.expr(f"count(1) OVER ({_OF_PLACE})").alias("_sw_rows")] if need_sizes else []
+    whole += [agg(place).alias(f"_sw_cold_{n}") for n, agg in aggs.items()]
+    if whole:
+        rows = rows.select("*", *whole)
+    rows = _met(rows, segments, names)
+    opens = f"({_US} <=> _sw_hot_first.us AND `{tid}` <=> _sw_hot_first.tid)"
+    previous = f"if({opens}, _sw_hot_previous, `{ts}`)" if need_previous else "NULL"
+    size = f"if({_BW} IS NULL, coalesce(_sw_next, _sw_rows + 1) - _sw_first, _sw_hot_size)" if need_sizes else "NULL"
+    return rows.selectExpr(
+        *[f"`{c}`" for c in approved.columns],
+        *[f"if({_BW} IS NULL, _sw_cold_{n}, _sw_hot_{n}) AS {n}" for n in aggs],
+        f"if({_BW} IS NULL, _sw_prev, {previous}) AS previous_transaction_timestamp",
+        f"CAST(if({_BW} IS NULL, _sw_starts, if({opens}, _sw_hot_starts, 0)) AS INT) AS starts_new_burst",
+        f"CAST(if({_BW} IS NULL, _sw_burst, _sw_hot_burst) AS BIGINT) AS burst_id",
+        f"CAST({size} AS BIGINT) AS transactions_in_burst",
     )
 
 
-def _bursts_gap_buckets(approved: DataFrame, gap_us: int, per_key: DataFrame | None,
-                        key: str, ts: str, tid: str) -> DataFrame:
-    """Bursts without ordering inside a bucket.
+_OF_KEY = f"PARTITION BY {_K}, {_KN}"
+
+
+def _gap_buckets(hot: DataFrame, gap_us: int, tid: str) -> DataFrame:
+    """Segments of hot employees that are gap-wide buckets, with the burst each belongs to.
 
-    Buckets are ``gap + 1 µs`` wide, so two rows of one bucket are at most
-    ``gap`` apart and every burst boundary falls between buckets.  Per
-    bucket, a partial aggregate keeps the first and last time, the count and
-    the first (time, id); a window over the buckets of a key (at most one per
-    gap of time) numbers the bursts and totals their sizes; the rows join
-    back on (key, bucket), where AQE splits a bucket that holds many rows.
-    Rows without a time each get a bucket of their own after all others,
-    ordered by id, which reproduces the SQL rule for them.
+    Rows of one bucket are at most a gap apart, so every burst boundary falls between buckets: a scan over
+    (first, last, count) of the buckets, at most one per gap of time, numbers the bursts and totals their sizes.
+    A row without a time is a bucket of its own after all others, by id, which reproduces the SQL rule for them.
     """
-    width = gap_us + 1
-    rows = approved.withColumn(_US, epoch_micros(ts))
-    rows = rows.withColumn(_BKT, _bucket(F.col(_US), F.lit(width).cast("long"))).withColumn("_sw_sub", F.when(F.col(_US).isNull(), F.col(tid)).otherwise(F.lit(None).cast(
-        approved.schema[tid].dataType)))
-    first_key = F.struct(F.col(_US), F.col(tid))
-    buckets = rows.groupBy(key, _BKT, "_sw_sub").agg(
-        F.min(_US).alias("_sw_first_us"),
-        F.max(_US).alias("_sw_last_us"),
-        F.count(F.lit(1)).alias("_sw_n"),
-        F.min(first_key).alias("_sw_first_row"),
+    buckets = _grouped(
+        hot,
+        [_K, _KN, _SEG, f"if({_US} IS NULL, {_PART}, NULL) AS _sw_alone"],
+        [
+            f"min({_US}) AS _sw_from", f"max({_US}) AS _sw_to", "count(1) AS _sw_n",
+            f"min(struct({_US} AS us, `{tid}` AS tid)) AS _sw_hot_first", *_PARTS_HELD,
+        ],
     )
-    wb = Window.partitionBy(key).orderBy(F.col(_BKT).asc_nulls_last(), F.col("_sw_sub").asc_nulls_last())
-    prev_last = F.lag("_sw_last_us").over(wb)
-    has_prev = F.lag(F.lit(1)).over(wb).isNotNull()
-    buckets = buckets.select(
-        "*",
-        F.when(~has_prev | prev_last.isNull(), 1)
-        .when(F.col("_sw_first_us") - prev_last > gap_us, 1)
-        .otherwise(0)
-        .alias("_sw_starts"),
+    ordered = f"{_OF_KEY} ORDER BY {_SEG}, _sw_hot_first.tid ASC NULLS LAST"
+    buckets = buckets.selectExpr("*", f"lag(_sw_to) OVER ({ordered}) AS _sw_prev_us")
+    buckets = buckets.selectExpr("*", f"{_starts('_sw_from', '_sw_prev_us', gap_us)} AS _sw_hot_starts")
+    buckets = buckets.selectExpr("*", f"sum(_sw_hot_starts) OVER ({ordered} {_SO_FAR}) AS _sw_hot_burst")
+    return buckets.selectExpr("*", f"sum(_sw_n) OVER ({_OF_KEY}, _sw_hot_burst) AS _sw_hot_size")
+
+
+def _instants(hot: DataFrame, gap_us: int | None, ts: str, tid: str, need_sizes: bool) -> DataFrame:
+    """Segments of hot employees that are instants, with the previous instant and, given a gap, their bursts.
+
+    Rows that share an instant become one; a lag runs over the instants of each time bucket, and a scan over the buckets
+    (first, last, bursts begun inside) gives each the last instant and the number of bursts before it.
+    """
+    instants = _grouped(
+        hot,
+        [_K, _KN, _SEG, _US, f"if({_US} IS NULL AND {_PART} LIKE 't%', {_PART}, NULL) AS _sw_alone"],
+        [
+            f"min(struct({_US} AS us, `{tid}` AS tid)) AS _sw_hot_first", f"max(`{ts}`) AS _sw_at", "count(1) AS _sw_n",
+            f"max({_BW}) AS {_BW}", *_PARTS_HELD,
+        ],
     )
-    buckets = buckets.withColumn(
-        "_sw_burst", F.sum("_sw_starts").over(wb.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    instants = instants.selectExpr("*", f"{_bucket_sql(_US, _BW)} AS {_BKT}")
+    within = f"PARTITION BY {_K}, {_KN}, {_BKT} ORDER BY {_SEG}, _sw_hot_first.tid ASC NULLS LAST"
+    instants = instants.selectExpr(
+        "*", f"lag({_US}) OVER ({within}) AS _sw_prev_us", f"lag(_sw_at) OVER ({within}) AS _sw_prev", f"row_number() OVER ({within}) AS _sw_row"
     )
-    buckets = buckets.withColumn("_sw_size", F.sum("_sw_n").over(Window.partitionBy(key, "_sw_burst")))
-    if per_key is not None:
-        buckets = buckets.join(per_key, key)
-    b2 = (buckets.drop("_sw_first_us", "_sw_last_us", "_sw_n")
-          .withColumnRenamed(key, "_sw_k").withColumnRenamed(_BKT, "_sw_b").withColumnRenamed("_sw_sub", "_sw_s"))
-    out = rows.join(
-        b2,
-        rows[key].eqNullSafe(b2["_sw_k"]) & (rows[_BKT] == b2["_sw_b"]) & rows["_sw_sub"].eqNullSafe(b2["_sw_s"]),
+    gap = "0" if gap_us is None else _starts(_US, "_sw_prev_us", gap_us)
+    instants = instants.selectExpr("*", f"if(_sw_row > 1, {gap}, 0) AS _sw_inner")
+    ends = _grouped(instants, [_K, _KN, _BKT], [
+        f"min({_US}) AS _sw_from", f"max({_US}) AS _sw_to", "max(_sw_at) AS _sw_last", "sum(_sw_inner) AS _sw_begun",
+    ])
+    across = f"{_OF_KEY} ORDER BY {_BKT}"
+    ends = ends.selectExpr("*", f"lag(_sw_last) OVER ({across}) AS _sw_carried", f"lag(_sw_to) OVER ({across}) AS _sw_prev_to")
+    ends = ends.selectExpr(_K, _KN, _BKT, "_sw_begun", "_sw_carried", f"{_starts('_sw_from', '_sw_prev_to', gap_us or 0)} AS _sw_opens")
+    earlier = f"{across} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    ends = ends.selectExpr(
+        _K, _KN, _BKT, "_sw_carried", "_sw_opens", f"coalesce(sum(_sw_begun + _sw_opens) OVER ({earlier}), 0) AS _sw_before"
     )
-    is_first = (F.col(_US).eqNullSafe(F.col("_sw_first_row._sw_us"))) & (F.col(tid).eqNullSafe(
-        F.col(f"_sw_first_row.{tid}")))
-    return (
-        out.withColumn("previous_transaction_timestamp", F.lit(None).cast(approved.schema[ts].dataType))
-        .withColumn("starts_new_burst", F.when(is_first, F.col("_sw_starts")).otherwise(0).cast("int"))
-        .withColumn("burst_id", F.col("_sw_burst").cast("long"))
-        .withColumn("transactions_in_burst", F.col("_sw_size").cast("long"))
+    met = instants.join(ends, [_K, _KN, _BKT]).selectExpr(
+        "*", "if(_sw_row = 1, _sw_opens, _sw_inner) AS _sw_hot_starts", "if(_sw_row = 1, _sw_carried, _sw_prev) AS _sw_hot_previous"
     )
+    met = met.selectExpr("*", f"_sw_before + sum(_sw_hot_starts) OVER ({within} {_SO_FAR}) AS _sw_hot_burst")
+    if not need_sizes:
+        return met
+    sizes = _grouped(met, [_K, _KN, "_sw_hot_burst"], ["sum(_sw_n) AS _sw_hot_size"])
+    return met.join(sizes, [_K, _KN, "_sw_hot_burst"])
 
 
 def approved_only(txn: DataFrame) -> DataFrame:
@@ -279,20 +323,19 @@ def approved_only(txn: DataFrame) -> DataFrame:
 def previous_transaction_gap(txn: DataFrame, skew: SkewParams = DEFAULT_SKEW) -> DataFrame:
     """Previous approved timestamp of the same employee (no burst work)."""
     base = approved_only(txn).select(TID, KEY, TS)
-    tagged = _with_width(base, skew, KEY, TS)
-    w = Window.partitionBy(KEY).orderBy(F.col(TS).asc_nulls_last(), F.col(TID).asc_nulls_last())
-    plain = tagged.where(F.col(_BW).isNull()).select(
-        TID, KEY, TS, F.lag(TS).over(w).alias("previous_transaction_timestamp")
+    rows = _placed(base, skew, KEY, TS, TID, _US, alone=False)
+    segments = _instants(rows.where(f"{_BW} IS NOT NULL"), None, TS, TID, need_sizes=False)
+    rows = rows.selectExpr("*", f"lag({TS}) OVER ({_OF_PLACE} ORDER BY {_US} ASC NULLS LAST, {TID} ASC NULLS LAST) AS _sw_prev")
+    hot = f"if({TID} <=> _sw_hot_first.tid, _sw_hot_previous, {TS})"
+    return _met(rows, segments, ["_sw_hot_first", "_sw_hot_previous"]).selectExpr(
+        TID, KEY, TS, f"if({_BW} IS NULL, _sw_prev, {hot}) AS previous_transaction_timestamp"
     )
-    hot = tagged.where(F.col(_BW).isNotNull())
-    split = _with_previous_times(hot.drop(_BW), hot, KEY, TS, TID)
-    return plain.unionByName(split.select(*plain.columns))
 
 
 def burst_boundaries(txn: DataFrame, gap_minutes: float, skew: SkewParams = DEFAULT_SKEW) -> DataFrame:
     """T2 plus ``starts_new_burst`` (1 when no predecessor or gap > limit)."""
     base = approved_only(txn).select(TID, KEY, TS)
-    return annotate_bursts(base, gap_minutes, skew).select(
+    return annotate_bursts(base, gap_minutes, skew, need_sizes=False).select(
         TID, KEY, TS, "previous_transaction_timestamp", "starts_new_burst"
     )
 
@@ -300,7 +343,7 @@ def burst_boundaries(txn: DataFrame, gap_minutes: float, skew: SkewParams = DEFA
 def burst_groups(txn: DataFrame, gap_minutes: float, skew: SkewParams = DEFAULT_SKEW) -> DataFrame:
     """T4: T3 plus the running burst number ``burst_id``."""
     base = approved_only(txn).select(TID, KEY, TS)
-    return annotate_bursts(base, gap_minutes, skew).select(
+    return annotate_bursts(base, gap_minutes, skew, need_sizes=False).select(
         TID, KEY, TS, "previous_transaction_timestamp", "starts_new_burst", "burst_id"
     )
 
@@ -312,7 +355,7 @@ def burst_sizes(txn: DataFrame, gap_minutes: float, skew: SkewParams = DEFAULT_S
     """
     base = approved_only(txn).select(TID, KEY, TS)
     return (
-        annotate_bursts(base, gap_minutes, skew, need_previous=False)
+        annotate_bursts(base, gap_minutes, skew, need_previous=False, need_sizes=False)
         .groupBy(KEY, "burst_id")
         .agg(F.count(F.lit(1)).alias("transactions_in_burst"))
     )
@@ -353,21 +396,19 @@ def window_count_column(window_minutes: float) -> str:
     return f"transactions_in_{int(m) if m.is_integer() else str(m).replace('.', '_')}_minutes"
 
 
-def _rolling_events(rows: DataFrame, widths: Sequence[int], n: Column, keep: list[str]) -> DataFrame:
+def _rolling_events(rows: DataFrame, widths: Sequence[int], n: str, keep: list[str], leaving: str = "true") -> DataFrame:
     """Each row as events: at its time ``n`` is added for all widths; just after its window ``n`` is taken away for one.
 
     ``_sw_at`` is the event's time, ``_sw_after`` 1 for those that follow all rows of their time, ``_sw_d<i>`` the change for width i.
     """
-    def event(at: Column, after: int, which: int | None) -> Column:
-        change = [
-            (n if which is None else -n if which == i else F.lit(0)).cast("long").alias(f"_sw_d{i}") for i in range(len(widths))
-        ]
-        return F.struct(at.alias("_sw_at"), F.lit(after).alias("_sw_after"), *change)
+    def event(at: str, after: int, which: int | None) -> str:
+        change = [f"CAST({n if which is None else f'-{n}' if which == i else 0} AS BIGINT) AS _sw_d{i}" for i in range(len(widths))]
+        return f"struct({at} AS _sw_at, {after} AS _sw_after, {', '.join(change)})"
 
-    events = [event(F.col(_US), 0, None)] + [event(F.col(_US) + w, 1, i) for i, w in enumerate(widths)]
-    # a row without a time has no window to leave
-    all_events = F.when(F.col(_US).isNull(), F.array(events[0])).otherwise(F.array(*events))
-    return rows.select(*keep, F.explode(all_events).alias("_sw_e")).select(*keep, "_sw_e.*")
+    events = [event(_US, 0, None)] + [event(f"{_US} + {w}L", 1, i) for i, w in enumerate(widths)]
+    # a row without a time has no window to leave, and a hot employee's rows are counted elsewhere
+    made = f"explode(if({_US} IS NOT NULL AND {leaving}, array({', '.join(events)}), array({events[0]}))) AS _sw_e"
+    return rows.selectExpr(*keep, made).selectExpr(*keep, "_sw_e.*")
 
 
 def with_rolling_counts(
@@ -390,39 +431,32 @@ def with_rolling_counts(
     if widths[0][0] < 0:
         raise ValueError("a window cannot be negative")
     micros, names = [w for w, _ in widths], [c for _, c in widths]
-    timed = _with_width(approved, skew, key, ts).withColumn(_US, epoch_micros(ts))
-    whole = approved.columns
+    many = range(len(names))
 
-    def totals(events: DataFrame, *by: str) -> DataFrame:
+    def totals(events: DataFrame, by: list[str]) -> DataFrame:
         # NULL times are a partition of their own
-        w = Window.partitionBy(*by, F.col("_sw_at").isNull()).orderBy("_sw_at", "_sw_after")
-        growing = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-        return events.select("*", *[F.sum(f"_sw_d{i}").over(growing).alias(c) for i, c in enumerate(names)])
+        w = f"PARTITION BY {', '.join(by)}, _sw_at IS NULL ORDER BY _sw_at, _sw_after RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+        return events.selectExpr("*", *[f"sum(_sw_d{i}) OVER ({w}) AS _sw_c{i}" for i in many]).where("_sw_after = 0")
 
-    cold = timed.where(F.col(_BW).isNull())
-    plain = totals(_rolling_events(cold, micros, F.lit(1), whole), key).where("_sw_after = 0").select(*whole, *names)
+    rows = _placed(approved, skew, key, ts, tid, _US, alone=False)
+    whole = [f"`{c}`" for c in approved.columns]
+    # one exchange of the rows; their events are made behind it
+    plain = totals(_rolling_events(rows.repartition(*_PLACE), micros, "1", [*whole, *_PLACE, _BW], f"{_BW} IS NULL"), _PLACE)
 
     # hot keys: instants, dealt to buckets by event time
-    hot = timed.where(F.col(_BW).isNotNull())
-    instants = hot.groupBy(key, _BW, _US).agg(F.count(F.lit(1)).alias("_sw_n"))
-    events = _rolling_events(instants, micros, F.col("_sw_n"), [key, _BW, _US])
-    events = events.withColumn(_BKT, _bucket(F.col("_sw_at"), F.col(_BW)))
-    local = totals(events, key, _BKT).where("_sw_after = 0")
-    before = Window.partitionBy(key).orderBy(_BKT).rowsBetween(Window.unboundedPreceding, -1)
-    carried = events.groupBy(key, _BKT).agg(*[F.sum(f"_sw_d{i}").alias(f"_sw_d{i}") for i in range(len(names))]).select(
-        F.col(key).alias("_sw_ck"),
-        F.col(_BKT).alias("_sw_cb"),
-        *[F.coalesce(F.sum(f"_sw_d{i}").over(before), F.lit(0)).alias(f"_sw_c{i}") for i in range(len(names))],
-    )
-    timeless = F.col(_US).isNull()  # all that came before has left; only the rows without a time count
-    counted = local.join(carried, local[key].eqNullSafe(carried["_sw_ck"]) & (local[_BKT] == carried["_sw_cb"])).select(
-        F.col(key).alias("_sw_k"),
-        F.col(_US).alias("_sw_t"),
-        *[(F.col(c) + F.when(timeless, F.lit(0)).otherwise(F.col(f"_sw_c{i}"))).alias(c) for i, c in enumerate(names)],
-    )
-    rows = hot.select(*whole, _US)
-    split = rows.join(counted, rows[key].eqNullSafe(counted["_sw_k"]) & rows[_US].eqNullSafe(counted["_sw_t"]))
-    return plain.unionByName(split.select(*plain.columns))
+    carry = [_K, _KN, _SEG, _US, _BW]
+    instants = _grouped(rows.where(f"{_BW} IS NOT NULL"), carry, ["count(1) AS _sw_n", *_PARTS_HELD])
+    carry += ["_sw_bits", "_sw_named"]
+    dealt = _rolling_events(instants, micros, "_sw_n", carry).selectExpr("*", f"{_bucket_sql('_sw_at', _BW)} AS {_BKT}")
+    local = totals(dealt, [_K, _KN, _BKT])
+    before = f"{_OF_KEY} ORDER BY {_BKT} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    carried = _grouped(dealt, [_K, _KN, _BKT], [f"sum(_sw_d{i}) AS _sw_s{i}" for i in many])
+    carried = carried.selectExpr(_K, _KN, _BKT, *[f"coalesce(sum(_sw_s{i}) OVER ({before}), 0) AS _sw_b{i}" for i in many])
+    # all that came before rows without a time has left: only they count each other
+    shifted = [f"_sw_c{i} + if({_US} IS NULL, 0, _sw_b{i}) AS _sw_h{i}" for i in many]
+    counted = local.join(carried, [_K, _KN, _BKT]).selectExpr(*carry, *shifted)
+    met = _met(plain, counted, [f"_sw_h{i}" for i in many])
+    return met.selectExpr(*whole, *[f"if({_BW} IS NULL, _sw_c{i}, _sw_h{i}) AS {c}" for i, c in enumerate(names)])
 
 
 def rolling_transaction_count(txn: DataFrame, window_minutes: float,

@@ -21,14 +21,16 @@ def _final(df):
     return physical_plan(df, "simple").split("== Initial Plan ==")[0]
 
 
+HOT = "Join [_sw_key"  # rows meet a hot employee's segments
+
+
 def test_burst_pipeline_without_hot_keys(spark):
-    """The empty hot branch is dropped at run time; the fact rows are shuffled once, by employee."""
+    """The empty hot branch is dropped at run time; the fact rows are shuffled once, by employee and segment."""
     text = _final(queries()["fraud_scored_transactions"](spark, SF0001))
-    assert "_sw_bucket#" not in text, text  # no time buckets
-    assert "SortMergeJoin [transaction_id" not in text  # no self-join back on transaction id
+    assert HOT not in text, text
+    assert "SortMergeJoin" not in text  # nothing joins the rows
     assert len(re.findall(r"Window \[", text)) >= 3
-    fact = re.findall(r"(?<!Reused)Exchange hashpartitioning\(employee_id#\d+L, \d+\)", text)
-    assert len(fact) <= 2, text  # the rows, and the sampled counts
+    assert len(re.findall(r"(?<!Reused)Exchange hashpartitioning\(_sw_key", text)) == 1, text
 
 
 def test_burst_pipelines_with_hot_keys(spark):
@@ -38,7 +40,62 @@ def test_burst_pipelines_with_hot_keys(spark):
 
     skew = SkewParams(sample_fraction=1.0, rows_per_bucket=5, min_bucket_minutes=60)
     scored = R.fraud_scored_transactions(td.event_transactions(spark, SF0001), TESTDATA_RULES, skew)
-    assert "_sw_bucket#" in _final(scored)
+    assert HOT in _final(scored)
+
+
+def _stored(spark, tmp_path):
+    """Transactions as a stored table, so that scans and shuffles of the fact can be told."""
+    from spendwatch.schemas import TRANSACTIONS
+    from spendwatch.sources import tables
+
+    from .helpers import at, txn_rows
+
+    rows = txn_rows([{"amount": float(i), "employee_id": i % 3, "transaction_timestamp": at(i)} for i in range(30)])
+    tables.save_tables({"transactions": spark.createDataFrame(rows, TRANSACTIONS)}, str(tmp_path / "wh"))
+    return tables.load_table(spark, str(tmp_path / "wh"), "transactions", "parquet")
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10485760"])
+def test_fraud_scoring_shuffles_the_fact_once(spark, tmp_path, threshold):
+    """In the initial plan: one exchange carries the rows' columns, no join sits below it, and every other exchange is behind
+    an aggregate (of the sample, or of hot employees' segments)."""
+    from spendwatch.operators import rules as R
+
+    txn = _stored(spark, tmp_path)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        lines = physical_plan(R.fraud_scored_transactions(txn), "simple").splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    depth = [len(re.match(r"[\s:|+-]*", line).group()) for line in lines]
+    carrying = []
+    for k, line in enumerate(lines):
+        if re.search(r"\bExchange hashpartitioning", line):
+            below, skipped = [], None
+            for d, other in zip(depth[k + 1 :], lines[k + 1 :]):
+                if d <= depth[k]:
+                    break
+                if skipped is not None and d > skipped:
+                    continue
+                skipped = d if "Subquery" in other[d : d + 20] else None
+                below += [] if skipped is not None else [other]
+            nearest = next(x for x in below if re.search(r"Aggregate|Join|Window|FileScan|Generate", x))
+            if "FileScan" in nearest:
+                carrying.append((line, below))
+    assert len(carrying) == 1 and "_sw_segment" in carrying[0][0], lines
+    scans_of_rows = [x for x in lines if "FileScan" in x and "company_id" in x]
+    assert len(scans_of_rows) == 1  # the other reads take only what the sample and the segments need
+
+
+def test_rolling_events_are_made_behind_the_exchange(spark, tmp_path):
+    from spendwatch.operators import velocity as V
+
+    lines = physical_plan(V.with_rolling_counts(V.approved_only(_stored(spark, tmp_path)), [10, 20, 30]), "simple").splitlines()
+    made = next(k for k, x in enumerate(lines) if "Generate explode" in x and "_sw_key" in x and "merchant_id" in x)
+    moved = next(k for k, x in enumerate(lines) if "Exchange hashpartitioning(_sw_key" in x)
+    assert made < moved, lines  # nearer to the result
+    assert sum("REPARTITION_BY_COL" in x for x in lines) == 1
 
 
 def test_previous_gap_plans_no_burst_work(spark):
