@@ -11,11 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendwatch.functions.exprs import money_avg, money_sum, round_half_away, safe_divide, zero_if_null
-from spendwatch.operators.velocity import (
-    approved_only,
-    rolling_velocity_rule,
-    with_rolling_counts,
-)
+from spendwatch.operators.velocity import approved_only, window_count_column, with_rolling_counts
 from spendwatch.params import (
     BURST_METHOD_FORMAT,
     DEFAULT_SKEW,
@@ -153,54 +149,54 @@ def velocity_threshold_experiment(txn: DataFrame, sweep: SweepParams = DEFAULT_S
                                   skew: SkewParams = DEFAULT_SKEW) -> DataFrame:
     """The rolling-count rule for every (window, minimum) config.
 
-    One scan and one exchange: a count column per distinct window width, then
-    one global aggregate holding the confusion cells of every config, then
-    the single result row is unpivoted to one row per config.  The SQL
-    semantics of ``fraud_type != 'velocity_attack'`` are kept (a NULL type
-    lands in no cell but still counts as an alert).
+    One scan and one exchange give a count column per distinct window width.  The rows are then a
+    histogram (width, count up to the width's largest minimum, label), made map-side, and sums from
+    the highest count down answer every minimum of a width at once: the cost does not
+    depend on the number of configs of a width.  The SQL semantics of ``fraud_type !=
+    'velocity_attack'`` are kept (a NULL type lands in no cell but still counts as an alert).
     """
     configs = list(sweep.configs)
     base = approved_only(txn).select(
         "transaction_id", "employee_id", "transaction_timestamp", "fraud_type"
     )
     counted = with_rolling_counts(base, [w for w, _ in configs], skew)
-    is_vel = F.col("fraud_type") == F.lit(VELOCITY_LABEL)
-    not_vel = F.col("fraud_type") != F.lit(VELOCITY_LABEL)
-    aggs = []
-    for i, (w, k) in enumerate(configs):
-        pred = rolling_velocity_rule(w, k)
-        aggs += [
-            _count_if(is_vel & pred).alias(f"tp{i}"),
-            _count_if(not_vel & pred).alias(f"fp{i}"),
-            _count_if(is_vel & ~pred).alias(f"fn{i}"),
-            _count_if(not_vel & ~pred).alias(f"tn{i}"),
-            _count_if(pred).alias(f"al{i}"),
-        ]
-    one_row = counted.agg(*aggs)
-    per_config = F.array(
-        *[
-            F.struct(
-                F.lit(w).alias("window_minutes"),
-                F.lit(k).alias("minimum_transactions"),
-                F.col(f"tp{i}").alias("true_positive"),
-                F.col(f"fp{i}").alias("false_positive"),
-                F.col(f"fn{i}").alias("false_negative"),
-                F.col(f"tn{i}").alias("true_negative"),
-                F.col(f"al{i}").alias("total_alerts"),
-            )
-            for i, (w, k) in enumerate(configs)
-        ]
+    widths = sorted({window_count_column(w) for w, _ in configs})
+    most = {c: max(k for w, k in configs if window_count_column(w) == c) for c in widths}
+    cells = ", ".join(f"struct({i} AS width, CAST(least({c}, {most[c]}) AS BIGINT) AS held)" for i, c in enumerate(widths))
+    found = counted.selectExpr(
+        f"inline(array({cells}))",
+        f"if(fraud_type = '{VELOCITY_LABEL}', 1L, 0L) AS vel",
+        f"if(fraud_type != '{VELOCITY_LABEL}', 1L, 0L) AS other",
+    ).groupBy("width", "held").agg(F.sum("vel").alias("vel"), F.sum("other").alias("other"), F.count(F.lit(1)).alias("n"))
+    # the asked minimums are rows too, so that each has its sums even if no row has that count
+    asked = F.array(*[
+        F.struct(F.lit(widths.index(window_count_column(w))).alias("width"), F.lit(k).cast("long").alias("held"),
+                 F.struct(F.lit(w).alias("window_minutes"), F.lit(k).alias("minimum_transactions")).alias("config"))
+        for w, k in configs
+    ])
+    zero = F.lit(0).cast("long")
+    grid = txn.sparkSession.range(1).select(F.inline(asked)).select(
+        "width", "held", zero.alias("vel"), zero.alias("other"), zero.alias("n"), "config"
+    )
+    histogram = grid.unionByName(found, allowMissingColumns=True).groupBy("width", "held").agg(
+        *[F.sum(c).alias(c) for c in ("vel", "other", "n")], F.collect_list("config").alias("configs")
     )
-    rows = one_row.select(F.inline(per_config))
+    above = "PARTITION BY width ORDER BY held DESC"
+    sums = [f"sum({c}) OVER ({above}) AS {c}_above" for c in ("vel", "other", "n")]
+    totals = [f"sum({c}) OVER (PARTITION BY width) AS {c}_all" for c in ("vel", "other")]
+    rows = histogram.selectExpr("configs", *sums, *totals).selectExpr("inline(configs)", "*")
     out = rows.select(
         "window_minutes",
         "minimum_transactions",
-        "true_positive",
-        "false_positive",
-        "false_negative",
-        "true_negative",
-        "total_alerts",
-        *rate_columns(4),
+        F.col("vel_above").alias("true_positive"),
+        F.col("other_above").alias("false_positive"),
+        (F.col("vel_all") - F.col("vel_above")).alias("false_negative"),
+        (F.col("other_all") - F.col("other_above")).alias("true_negative"),
+        F.col("n_above").alias("total_alerts"),
+    )
+    out = out.select("*", *rate_columns(4)).select(
+        "window_minutes", "minimum_transactions", "true_positive", "false_positive", "false_negative", "true_negative",
+        "total_alerts", "precision", "recall", "false_positive_rate",
     )
     return out.orderBy(
         F.desc("recall"), F.desc("precision"), F.asc("window_minutes"), F.asc("minimum_transactions")

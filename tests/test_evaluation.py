@@ -65,3 +65,27 @@ def test_null_fraud_type_counts_as_alert_only(spark):
         0, 0, 0, 0, 1)
     ev = E.velocity_burst_evaluation(V.velocity_burst_scored(txn_df(spark, specs), P), P).collect()[0]
     assert (ev["false_positive"], ev["alerts_generated"]) == (3, 3)
+
+
+def test_sweep_of_many_configs_matches_single_ones(spark):
+    """Every config of a wide grid, repeated and unreached minimums included, has the cells of its own rule."""
+    from spendwatch.operators import evaluation as E
+    from spendwatch.operators import velocity as V
+    from spendwatch.params import SweepParams
+
+    from .helpers import at, txn_df
+
+    kinds = ["velocity_attack", "none", None, "large_amount"]
+    specs = [{"employee_id": i % 2, "transaction_timestamp": at((i * i) % 50), "fraud_type": kinds[i % 4]} for i in range(40)]
+    df = txn_df(spark, specs)
+    configs = tuple((w, k) for w in (1, 7, 30) for k in (0, 1, 2, 5, 9, 1000)) + ((7, 2),)
+    got = E.velocity_threshold_experiment(df, SweepParams(configs=configs)).collect()
+    assert len(got) == len(configs)
+    for r in got:
+        flags = V.rolling_velocity_flags(df, r["window_minutes"], r["minimum_transactions"]).collect()
+        cells = [0, 0, 0, 0]
+        for f in flags:
+            if f["fraud_type"] is not None:
+                cells[2 * (1 - f["predicted_velocity_fraud"]) + (f["fraud_type"] != "velocity_attack")] += 1
+        assert [r["true_positive"], r["false_positive"], r["false_negative"], r["true_negative"]] == cells
+        assert r["total_alerts"] == sum(f["predicted_velocity_fraud"] for f in flags)
