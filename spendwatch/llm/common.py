@@ -20,13 +20,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder under ``spark.checkpoint.dir``, which driver and executors share.
 
-    Only where the session names none (tests, one machine) is a folder of this
-    process made and set as the checkpoint folder.
+    Only a local session (tests, one machine) that names none gets a folder of this
+    process, set as the checkpoint folder; on a cluster it is an error, as executors would write where others cannot read.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
         if not base:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
             base = "file://" + tempfile.mkdtemp(prefix="spark-checkpoint-")
             spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -44,9 +44,9 @@ from spendwatch.llm.shingles import WordHashes, overlap, set_key, shingle_set
 ROWS = 4
 ESTIMATE = 0.55
 #: Documents of a bucket that are paired with each other at most.
-SMALL = 32
+SMALL = 16
 #: Rounds of centres for large buckets.
-ROUNDS = 4
+ROUNDS = 3
 #: Shingles that are sketched together.
 TOGETHER = 1 << 18
 
@@ -174,9 +174,18 @@ def _compared(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return _with_texts(pairs, texts).mapInArrow(read, _COMPARED)
 
 
-def parted(links: DataFrame) -> DataFrame:
-    """(doc_id, part): the least document of each linked document's component so far."""
-    return written(components(links, "a", "b").select(F.col("node").alias("doc_id"), F.col("component").alias("part")), "parts")
+def hooked(links: DataFrame) -> DataFrame:
+    """(doc_id, part): a part of each linked document's component: its least neighbour, that one's, and so on for four steps.
+
+    Documents of one part are connected; a component can have several parts, which only leaves more pairs to try.
+    """
+    both = links.select(F.col("a").alias("doc_id"), "b").union(links.select("b", "a"))
+    up = both.groupBy("doc_id").agg(F.min("b").alias("b")).select("doc_id", F.least("doc_id", "b").alias("up"))
+    for _ in range(2):
+        # each join doubles the steps
+        above = up.select(F.col("doc_id").alias("up"), F.col("up").alias("top"))
+        up = up.join(above, "up", "left").select("doc_id", F.coalesce("top", "up").alias("up"))
+    return written(up.select("doc_id", F.col("up").alias("part")), "parts")
 
 
 def _ordered_pairs(pairs: DataFrame) -> DataFrame:
@@ -261,14 +270,19 @@ def _by_bound(named: DataFrame, percent: int) -> DataFrame:
 def _by_shingle(named: DataFrame) -> DataFrame:
     """Documents of a cluster that share a shingle of their prefixes with a document of another part.
 
-    (bucket, doc_id, n, common, rest): ``rest`` counts the shingles outside the centre from the shared one on.
+    (bucket, size, doc_id, n, common, rest): ``rest`` counts the shingles outside the centre from the shared one on.
+    Shingles that the same documents share (a passage) are one bucket, with the most that any of them leaves.
     """
     spread = named.select("centre", "doc_id", "part", "n", "common", "out", F.posexplode("prefix").alias("place", "shingle"))
-    held = spread.groupBy("centre", "shingle").agg(F.min("part").alias("p0"), F.max("part").alias("p1"))
-    shared = held.where("p0 < p1").select("centre", "shingle")
-    return spread.join(shared, ["centre", "shingle"]).select(
-        F.xxhash64("centre", "shingle").alias("bucket"), "doc_id", "n", "common", (F.col("out") - F.col("place")).alias("rest")
+    held = spread.groupBy("centre", "shingle").agg(
+        F.min("part").alias("p0"), F.max("part").alias("p1"), F.count(F.lit(1)).alias("size"), F.expr("bit_xor(xxhash64(doc_id, 1))").alias("who"),
+        F.expr("bit_xor(xxhash64(doc_id, 2))").alias("whose"),
     )
+    shared = held.where("p0 < p1").select("centre", "shingle", "size", "who", "whose")
+    met = spread.join(shared, ["centre", "shingle"])
+    bucket = F.xxhash64("centre", "size", "who", "whose").alias("bucket")
+    rest = F.max(F.col("out") - F.col("place")).alias("rest")
+    return met.groupBy(bucket, "size", "doc_id", "n", "common").agg(rest)
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
@@ -300,7 +314,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
         return pairs, written(_verify(_estimate(pairs, reps, percent), texts, percent), "links")
 
     pairs, links = tried(buckets.select(F.col("doc_id").alias("a"), F.col("least").alias("b")), "pairs")
-    parts = parted(links)
+    parts = hooked(links)
     small = _across(buckets.where("not large").select("bucket", "doc_id"), parts)
     links = links.union(tried(small.join(pairs, ["a", "b"], "left_anti"), "pairs")[1])
     open_rows = buckets.where("large").select("bucket", "doc_id")
@@ -308,8 +322,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     for turn in range(ROUNDS):
         if open_rows.isEmpty():
             break
-        # each round with the parts that the links so far make
-        star = written(_centred(open_rows, parted(links), turn).select("doc_id", "centre").distinct(), "centred")
+        star = written(_centred(open_rows, parts, turn).select("doc_id", "centre").distinct(), "centred")
         asked = star.where("doc_id <> centre").select(F.col("doc_id").alias("a"), F.col("centre").alias("b"))
         if known is None:
             known = rows = written(_compared(asked, texts, percent), "clusters")
@@ -320,12 +333,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
             rows = new.unionByName(known.join(star, ["doc_id", "centre"], "left_semi"))
             known = known.unionByName(new)
         links = links.union(_linked(rows, percent))
-        parts = parted(links)
+        parts = hooked(links)
         named = _named(rows, parts)
         met = written(_by_shingle(named), "met")
-        sizes = met.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
         paired = F.lit(True) if turn == ROUNDS - 1 else F.col("size") <= SMALL
-        met = met.join(sizes, "bucket")
         direct = _across(met.where(paired).drop("size"), parts, _reachable(percent))
         links = links.union(tried(_by_bound(named, percent).union(direct), "pairs")[1])
         open_rows = written(met.where(~paired).select("bucket", "doc_id"), "open")
