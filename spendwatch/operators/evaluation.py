@@ -10,7 +10,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendwatch.functions.exprs import money_avg, money_sum, round_half_away, safe_divide, zero_if_null
+from spendwatch.functions.exprs import (
+    exact_units,
+    money_avg,
+    money_rest,
+    money_sum,
+    money_total,
+    round_half_away,
+    safe_divide,
+    zero_if_null,
+)
 from spendwatch.operators.velocity import approved_only, window_count_column, with_rolling_counts
 from spendwatch.params import (
     BURST_METHOD_FORMAT,
@@ -72,6 +81,11 @@ def fraud_evaluation_summary(scored: DataFrame) -> DataFrame:
         F.coalesce(money_sum(F.when(fraud, F.col("amount"))), F.lit(0.0)).alias("_fraud_dollars"),
         F.coalesce(money_sum(F.when(fraud & pred, F.col("amount"))), F.lit(0.0)).alias("_captured"),
     )
+    return _summary_row(agg)
+
+
+def _summary_row(agg: DataFrame) -> DataFrame:
+    """Rates and rounded amounts of the summary's aggregate."""
     return agg.select(
         "approved_transactions_scored",
         "ground_truth_fraud_transactions",
@@ -109,6 +123,10 @@ def fraud_evaluation_by_type(scored: DataFrame, amount_digits: int | None = None
         per_type = per_type.withColumn(
             "average_amount", round_half_away("average_amount", amount_digits)
         ).withColumn("fraud_dollars", round_half_away("fraud_dollars", 2))
+    return _with_recall(per_type)
+
+
+def _with_recall(per_type: DataFrame) -> DataFrame:
     return per_type.withColumn(
         "recall",
         round_half_away(
@@ -117,6 +135,62 @@ def fraud_evaluation_by_type(scored: DataFrame, amount_digits: int | None = None
     ).orderBy("fraud_type")
 
 
+def evaluation_cells(scored: DataFrame) -> DataFrame:
+    """What P6 and P7 need of the scored rows, in one pass: counts and exact totals per (type, label, prediction).
+
+    A few rows per fraud type, made map-side.
+    """
+    return scored.groupBy("fraud_type", "is_fraud", "predicted_fraud").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count("amount").alias("amounts"),
+        F.sum(exact_units("amount")).alias("units"),
+        F.sum(money_rest("amount")).alias("rest"),
+    )
+
+
+def _cell_total(where: Column | None = None) -> Column:
+    """Total amount of the cells (that ``where`` holds for)."""
+    units, rest = F.col("units"), F.col("rest")
+    if where is not None:
+        units, rest = F.when(where, units), F.when(where, rest)
+    return money_total(F.sum(units), F.sum(rest))
+
+
+def summary_from_cells(cells: DataFrame) -> DataFrame:
+    """``fraud_evaluation_summary`` from ``evaluation_cells``."""
+    fraud, pred, n = F.col("is_fraud") == 1, F.col("predicted_fraud") == 1, F.col("rows")
+    count = lambda cond: zero_if_null(F.sum(F.when(cond, n))).cast("long")
+    agg = cells.agg(
+        zero_if_null(F.sum(n)).cast("long").alias("approved_transactions_scored"),
+        zero_if_null(F.sum(F.col("is_fraud") * n)).cast("long").alias("ground_truth_fraud_transactions"),
+        zero_if_null(F.sum(F.col("predicted_fraud") * n)).cast("long").alias("alerts_generated"),
+        count(fraud & pred).alias("true_positive"),
+        count(~fraud & pred).alias("false_positive"),
+        count(~fraud & ~pred).alias("true_negative"),
+        count(fraud & ~pred).alias("false_negative"),
+        F.try_divide(F.sum(F.col("predicted_fraud") * n).cast("double"), F.sum(F.when(F.col("predicted_fraud").isNotNull(), n))).alias("_alert_rate"),
+        F.coalesce(_cell_total(fraud), F.lit(0.0)).alias("_fraud_dollars"),
+        F.coalesce(_cell_total(fraud & pred), F.lit(0.0)).alias("_captured"),
+    )
+    return _summary_row(agg)
+
+
+def by_type_from_cells(cells: DataFrame) -> DataFrame:
+    """``fraud_evaluation_by_type`` from ``evaluation_cells``."""
+    n = F.col("rows")
+    per_type = (
+        cells.where((F.col("fraud_type") != F.lit(FRAUD_NONE)) & F.col("fraud_type").isNotNull())
+        .groupBy("fraud_type")
+        .agg(
+            F.sum(F.col("is_fraud") * n).cast("long").alias("fraud_transactions"),
+            F.sum(F.col("predicted_fraud") * n).cast("long").alias("detected_transactions"),
+            F.try_divide(_cell_total(), F.sum("amounts")).alias("average_amount"),
+            _cell_total().alias("fraud_dollars"),
+        )
+    )
+    return _with_recall(per_type)
+
+
 def fraud_risk_level_counts(scored: DataFrame) -> DataFrame:
     """Rows per ``fraud_risk_level`` (low_risk included)."""
     return scored.groupBy("fraud_risk_level").agg(F.count(F.lit(1)).alias("transactions"))

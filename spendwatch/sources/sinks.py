@@ -83,7 +83,8 @@ def run_evaluations(spark: SparkSession, tables: dict[str, DataFrame], out_dir:
     """The three evaluations.  The scored rows are an output anyway: they are
     written first, in the asked format, and the summary and per-type tables are
     computed from the written files, which cuts the lineage instead of
-    recomputing the scoring (or caching it in executor memory).  CSV is read
+    recomputing the scoring.  Both come from one pass over them (``evaluation_cells``, a few
+    rows per fraud type, which are kept).  CSV is read
     back with the declared schema; doubles are written in their shortest exact
     form, so both formats give the same summaries."""
     txn = tables["transactions"]
@@ -92,13 +93,15 @@ def run_evaluations(spark: SparkSession, tables: dict[str, DataFrame], out_dir:
     scored = rules.fraud_scored_transactions(txn, rule_params, skew)
     out["fraud_rule_scored_transactions"] = write_report(scored, scored_path, fmt)
     scored = read_report(spark, scored_path, scored.schema, fmt)
+    cells = evaluation.evaluation_cells(scored).persist()
     small = {
-        "fraud_rule_evaluation_summary": evaluation.fraud_evaluation_summary(scored),
-        "fraud_rule_evaluation_by_type": evaluation.fraud_evaluation_by_type(scored),
+        "fraud_rule_evaluation_summary": evaluation.summary_from_cells(cells),
+        "fraud_rule_evaluation_by_type": evaluation.by_type_from_cells(cells),
         "velocity_threshold_experiment": evaluation.velocity_threshold_experiment(txn, sweep, skew),
         "velocity_burst_evaluation": evaluation.velocity_burst_evaluation(
             velocity.velocity_burst_scored(txn, rule_params, skew), rule_params),
     }
     for name, df in small.items():
         out[name] = write_report(df, os.path.join(out_dir, name), fmt, single_file=True)
+    cells.unpersist()
     return out

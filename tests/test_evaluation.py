@@ -1,5 +1,7 @@
 """Evaluation tables."""
 
+import pytest
+
 from spendwatch.operators import evaluation as E
 from spendwatch.operators import rules as R
 from spendwatch.operators import velocity as V
@@ -89,3 +91,19 @@ def test_sweep_of_many_configs_matches_single_ones(spark):
                 cells[2 * (1 - f["predicted_velocity_fraud"]) + (f["fraud_type"] != "velocity_attack")] += 1
         assert [r["true_positive"], r["false_positive"], r["false_negative"], r["true_negative"]] == cells
         assert r["total_alerts"] == sum(f["predicted_velocity_fraud"] for f in flags)
+
+
+def test_tables_from_cells_match_direct_ones(spark):
+    """P6 and P7 from one pass, odd amounts, NULLs and no rows included."""
+    from spendwatch.operators import evaluation as E
+
+    kinds = ["velocity_attack", "none", None, "large_amount"]
+    rows = [(kinds[i % 4], i % 3 % 2 if i % 11 else None, i % 2 if i % 7 else None, None if i % 13 == 0 else i * 0.37) for i in range(200)]
+    rows += [("large_amount", 1, 1, 1e-9), ("none", 1, 0, 12345678901234.5)]
+    schema = "fraud_type string, is_fraud int, predicted_fraud int, amount double"
+    for part in (rows, rows[:1], []):
+        df = spark.createDataFrame(part, schema)
+        cells = E.evaluation_cells(df)
+        assert E.summary_from_cells(cells).collect() == E.fraud_evaluation_summary(df).collect()
+        close = [[pytest.approx(v, rel=1e-12) if isinstance(v, float) else v for v in r] for r in E.fraud_evaluation_by_type(df).collect()]
+        assert [list(r) for r in E.by_type_from_cells(cells).collect()] == close
