@@ -1,19 +1,20 @@
 r"""Quality rules by cross-document line frequency (native).
 
 Base figures are made per row from the whole text with array functions. The method's
-verdict: every line is normalised (lower case, digit runs as 0, white space as one
-space) and hashed; for each host the distinct documents that hold a line are
-counted; short lines held by more than ``min_docs`` documents and more than one in
+verdict: every line is normalised (lower case, white space as one space, and in lines of up to ``DIGITS`` words digit runs
+as 0, as in counters and dates) and hashed; for each host the distinct documents that hold a line are
+counted; lines of any length held by more than ``min_docs`` documents and more than one in
 ``share`` of the host's documents are boilerplate; a document that loses more than
 half of its words with them is depleted and rejected. ``without_boilerplate`` gives the kept
 documents' texts without these lines, which the pipeline goes on with; the figures are of the whole text.
 
-Documents with equal texts count once, so a document is not rejected for having copies. Only
-lines of at most ``max_line_words`` words are boilerplate: long repeated passages
-are left to the passage operator. One read of the text feeds both parts; it
+Documents with equal texts count once, so a document is not rejected for having copies. One read of the text feeds both parts; it
 is stored with hashed lines in the shared folder. Hot lines and hosts meet
 partial aggregates.
 
+Extra columns of any name are kept by ``without_boilerplate``; ``quality_rules`` reads three columns alone.
+There are no ties: limits are compared as counts.
+
 Rows: a NULL text has no words and fails the base rules; a NULL host is a
 host of its own; repeated rows each get their figures; an empty table gives an empty result.
 Windows are compared by a 64-bit hash of their three words, within one document.
@@ -28,6 +29,9 @@ from pyspark.sql import functions as F
 
 from spendwatch.llm.common import written
 
+#: Words of a line in which digit runs do not count.
+DIGITS = 20
+
 SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -37,7 +41,6 @@ class QualityParams:
     max_repeat_percent: int = 50
     min_docs: int = 10
     share: int = 100
-    max_line_words: int = 20
 
 
 def words(text: Column) -> Column:
@@ -75,8 +78,10 @@ def _host() -> Column:
 
 
 def _normal(line: Column) -> Column:
-    """Lower case, white space as one space, digit runs as 0."""
-    return F.regexp_replace(F.trim(F.regexp_replace(F.lower(line), SPACE, " ")), "[0-9]+", "0")
+    """Lower case, white space as one space; digit runs as 0 in short lines (longer ones are text, which its numbers tell apart)."""
+    plain = F.array(F.trim(F.regexp_replace(F.lower(line), SPACE, " ")))
+    few = lambda x: F.size(F.split(x, " ")) <= DIGITS
+    return F.transform(plain, lambda x: F.when(few(x), F.regexp_replace(x, "[0-9]+", "0")).otherwise(x))[0]
 
 
 def _described(docs: DataFrame) -> DataFrame:
@@ -112,7 +117,6 @@ def _judged(docs: DataFrame, params: QualityParams) -> DataFrame:
     held = (
         rows.select("host", "doc", F.explode(F.array_distinct("lines")).alias("l"))
         .select("host", "doc", "l.line", "l.n")
-        .where(F.col("n") <= params.max_line_words)
         .distinct()
         .groupBy("host", "line")
         .agg(F.count(F.lit(1)).alias("docs"))
@@ -123,7 +127,6 @@ def _judged(docs: DataFrame, params: QualityParams) -> DataFrame:
     lost = (
         rows.select("row", "host", F.explode("lines").alias("l"))
         .select("row", "host", "l.line", "l.n")
-        .where(F.col("n") <= params.max_line_words)
         .join(frequent, ["host", "line"])
         .groupBy("row")
         .agg(F.sum("n").alias("lost"), F.sort_array(F.collect_set("line")).alias("gone"))
@@ -157,13 +160,18 @@ def without_boilerplate(docs: DataFrame, params: QualityParams = QualityParams()
     """The kept rows of ``docs``, with their texts (and n_chars) less the frequent lines of their hosts."""
     good = _judged(docs, params).where("kept")
     good = good.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("host").alias("_host"), F.col("gone").alias("_gone")).distinct()
-    rows = docs.withColumns({"_text_key": F.xxhash64(F.coalesce("text", F.lit(""))), "_text_host": _host()})
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")) & (F.col("_text_host") == F.col("_host"))
+    # the row is one column, so that no name of it can clash
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(F.struct("*").alias("_row"), F.xxhash64(text).alias("_text_key"), _host().alias("_text_host"))
+    row = F.col("_row")
+    same = row["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")) & (F.col("_text_host") == F.col("_host"))
     blank = lambda x: ~x.rlike(r"[^\x20\x09-\x0D]")
-    left = F.filter(F.split("text", "\n"), lambda x: blank(x) | ~F.array_contains("_gone", F.xxhash64(_normal(x))))
-    met = rows.join(good, same).withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n")))
-    n_chars = F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))
-    return met.withColumn("n_chars", n_chars).select(*docs.columns)
+    left = F.filter(F.split(row["text"], "\n"), lambda x: blank(x) | ~F.array_contains("_gone", F.xxhash64(_normal(x))))
+    text = F.when(F.col("_gone").isNull(), row["text"]).otherwise(F.array_join(left, "\n"))
+    met = rows.join(good, same).select(row, text.alias("_text"), F.col("_gone").isNull().alias("_whole"))
+    n_chars = F.when(F.col("_whole"), row["n_chars"]).otherwise(F.length("_text").cast("long"))
+    new = {"text": F.col("_text"), "n_chars": n_chars}
+    return met.select(*[new.get(c, row[c]).alias(c) for c in docs.columns])
 
 
 def quality_sql(params: QualityParams = QualityParams()) -> str:
@@ -184,13 +192,15 @@ WITH d AS (
   SELECT id, count(*) AS n_words, sum(length(w)) AS word_chars FROM w GROUP BY id
 ), lines AS (
   SELECT id, host, text, unnest(string_split(text, chr(10))) AS raw FROM d
-), normal AS (
-  SELECT id, host, text, raw,
-    regexp_replace(trim(regexp_replace(lower(raw), '[\x20\x09-\x0D]+', ' ', 'g'), ' '), '[0-9]+', '0', 'g') AS line
+), plain AS (
+  SELECT id, host, text, raw, trim(regexp_replace(lower(raw), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS line
   FROM lines WHERE regexp_matches(raw, '[^\x20\x09-\x0D]')
+), normal AS (
+  SELECT id, host, text, raw, CASE WHEN len(string_split(line, ' ')) <= {DIGITS} THEN regexp_replace(line, '[0-9]+', '0', 'g') ELSE line END AS line
+  FROM plain
 ), sized AS (SELECT *, len(string_split(line, ' ')) AS n FROM normal),
 dups AS (SELECT id, count(*) - count(DISTINCT raw) AS n FROM normal GROUP BY id),
-held AS (SELECT host, line, count(DISTINCT text) AS docs FROM sized WHERE n <= {params.max_line_words} GROUP BY ALL),
+held AS (SELECT host, line, count(DISTINCT text) AS docs FROM sized GROUP BY ALL),
 hosts AS (SELECT host, count(DISTINCT text) AS docs FROM d GROUP BY host),
 lost AS (
   SELECT id, sum(n) AS lost FROM sized JOIN held USING (host, line) JOIN hosts USING (host)
