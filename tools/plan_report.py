@@ -1,4 +1,4 @@
-"""Write PLANS.md: the final (adaptive) physical plan shape of every query.
+"""Write PLANS.md: the final (adaptive) physical plan shape of every query of the card-spend products.
 
 Runs each registered query once at the given scale, then summarises its final
 plan: shuffle exchanges, joins and their strategy, and the fact-table scans
@@ -15,8 +15,8 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from __spark_entry__ import queries  # noqa: E402
 from spendwatch.plans.inspect import physical_plan  # noqa: E402
+from spendwatch.plans.registry import queries  # noqa: E402
 from spendwatch.session import local_session  # noqa: E402
 
 
@@ -42,7 +42,7 @@ def summarize(text: str) -> dict:
 
 
 def main() -> None:
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
+    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     out = sys.argv[2] if len(sys.argv) > 2 else os.path.join(os.path.dirname(os.path.dirname(
         os.path.abspath(__file__))), "PLANS.md")
     spark = local_session()
@@ -57,7 +57,7 @@ def main() -> None:
     ]
     for name, fn in queries().items():
         df = fn(spark, sf)
-        df.collect()
+        df.collect()  # the final plan is that of this very DataFrame; results at this scale are small
         s = summarize(physical_plan(df, "simple"))
         lines.append(f"## {name}")
         lines.append(f"- shuffles ({len(s['exchanges'])}): " + ("; ".join(s["exchanges"]) or "none"))
