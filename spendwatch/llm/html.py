@@ -16,6 +16,7 @@ Rows: a NULL or empty html has the empty text; repeated pages each get a row; br
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html import unescape
@@ -84,7 +85,8 @@ S_SIBLING = 0.4
 SCALE = 1000
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?:(?P<end>/)?(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[!?/][^>]*(?:>|\Z))",
+    # possessive, and a tag ends at the next "<" outside quotes at the latest: a page of broken tags is read in linear time
+    r"<!--.*?(?:-->|\Z)|<(?:(?P<end>/)?(?P<name>[a-zA-Z][^\s/<>]*+)(?P<attrs>(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|[!?/][^>]*(?:>|\Z))",
     re.S,
 )
 _BROKEN = re.compile(r"</?[a-zA-Z][^<>]*(?:>|(?=<)|\Z)")
@@ -151,6 +153,11 @@ def blocks(html: str) -> list[Block]:
     """The page's blocks of text in order."""
     root = Node("", 0, False, False, False, False, False, False, 0, None)
     stack, found, run, at, serial = [root], [], [], 0, 0
+    opened: Counter = Counter()  # elements on the stack by tag, so that it is searched only for what it holds
+
+    def shut_from(k: int) -> None:
+        opened.subtract(x.tag for x in stack[k:])
+        del stack[k:]
 
     def holder() -> Node:
         k = len(stack) - 1
@@ -192,21 +199,21 @@ def blocks(html: str) -> list[Block]:
         if tag not in INLINE:
             close()
         if end:
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if opened[tag] > 0 else ():
                 if stack[k].tag == tag:
-                    # an inline end tag reaches no further than its block
-                    if tag in INLINE and any(x.tag not in INLINE for x in stack[k + 1 :]):
-                        break
-                    del stack[k:]
+                    shut_from(k)
+                    break
+                # an inline end tag reaches no further than its block
+                if tag in INLINE and stack[k].tag not in INLINE:
                     break
             continue
         if tag in ENDS_P or tag in CLOSES:
             shut, border = CLOSES.get(tag, ({"p"}, {"button", "table", "td", "th"}))
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if any(opened[x] > 0 for x in shut) else ():
                 if stack[k].tag in border:
                     break
                 if stack[k].tag in shut:
-                    del stack[k:]
+                    shut_from(k)
                     break
         if tag in RAW and not m["attrs"].endswith("/"):
             stop = _RAW_END[tag].search(html, at)
@@ -216,6 +223,7 @@ def blocks(html: str) -> list[Block]:
             continue
         serial += 1
         stack.append(_opened(tag, m["attrs"], stack[-1], serial))
+        opened[tag] += 1
     close()
     return found
 
