@@ -15,10 +15,11 @@
    whatever the number of bands. The exact overlaps with c bound the documents' own: x and y share at
    most ``min(|x & c|, |y & c|)`` shingles of c, and the link needs ``3 (|x| + |y|) / 7`` in all. So
    either the bound alone reaches the limit, which is decided on the few (size, overlap) classes of a cluster before any
-   documents are paired; or they share a shingle outside c, and then one that lies in the
-   prefix of each, the first outside shingles in order of their hashes. Prefixes are spread once a document and centre; only shingles that
-   documents of several parts hold become new buckets. These go through 5 or, if larger, through 6 again with a centre of their
-   own. What ``ROUNDS`` rounds leave in large buckets is paired as in 5, if the bound allows, so that no link is lost.
+   documents are paired; or they share shingles outside c, which documents of several parts hold. Only these are counted, the
+   rarest first: a document can be linked by a shingle as its first shared one if c and the shingles from there on hold enough of
+   its set, so most documents have none. Such shingles become new buckets. These go through 5 or, if larger, through 6 again with a centre of their
+   own. Once all pairs of the large buckets are no more than the documents, or after ``ROUNDS`` rounds, they are paired as in 5,
+   if the bound allows, so that no link is lost.
 7. Components are made of all links at the end.
 
 Rows: a NULL text or one without words has an empty set, links with nothing and stands alone; repeated
@@ -147,15 +148,11 @@ def _verify(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return _with_texts(pairs, texts).mapInArrow(read, "a long, b long")
 
 
-_COMPARED = "doc_id long, centre long, n long, n_centre long, common long, out long, prefix array<long>"
+_COMPARED = "doc_id long, centre long, n long, n_centre long, common long, outside array<long>"
 
 
-def _compared(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Documents (a) with their centres (b): sizes, overlap, number of shingles outside the centre, and the first of these by hash.
-
-    A link of a document of n shingles shares at least ``percent`` of them, so at least that less the overlap
-    lie outside the centre, and of these one is in the prefix, in any order that all documents of the cluster use.
-    """
+def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Documents (a) with their centres (b): sizes, overlap, and the shingles outside the centre."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = _Sets()
@@ -164,11 +161,9 @@ def _compared(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
             for ta, tb in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 sa, sb = sets.both(ta, tb)
                 out = np.setdiff1d(sa, sb, assume_unique=True)
-                common = len(sa) - len(out)
-                need = max(1, -(-percent * len(sa) // 100) - common)
-                rows.append((len(sa), len(sb), common, len(out), out[: max(0, len(out) - need + 1)].view(np.int64)))
-            columns = [batch.column(0), batch.column(1), *(pa.array([r[k] for r in rows], pa.int64()) for k in range(4))]
-            columns.append(pa.array([r[4] for r in rows], pa.list_(pa.int64())))
+                rows.append((len(sa), len(sb), len(sa) - len(out), out.view(np.int64)))
+            columns = [batch.column(0), batch.column(1), *(pa.array([r[k] for r in rows], pa.int64()) for k in range(3))]
+            columns.append(pa.array([r[3] for r in rows], pa.list_(pa.int64())))
             yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in _COMPARED.split(", ")])
 
     return _with_texts(pairs, texts).mapInArrow(read, _COMPARED)
@@ -179,8 +174,9 @@ def hooked(links: DataFrame) -> DataFrame:
 
     Documents of one part are connected; a component can have several parts, which only leaves more pairs to try.
     """
-    both = links.select(F.col("a").alias("doc_id"), "b").union(links.select("b", "a"))
-    up = both.groupBy("doc_id").agg(F.min("b").alias("b")).select("doc_id", F.least("doc_id", "b").alias("up"))
+    both = links.select(F.explode(F.array(F.struct(F.col("a").alias("doc_id"), "b"), F.struct(F.col("b").alias("doc_id"), F.col("a").alias("b")))).alias("s"))
+    up = both.groupBy("s.doc_id").agg(F.min("s.b").alias("b")).select("doc_id", F.least("doc_id", "b").alias("up"))
+    up = written(up, "hooks")  # the joins below read it four times
     for _ in range(2):
         # each join doubles the steps
         above = up.select(F.col("doc_id").alias("up"), F.col("up").alias("top"))
@@ -204,11 +200,10 @@ def _part_of(rows: DataFrame, parts: DataFrame) -> DataFrame:
     return rows.join(parts, "doc_id", "left").withColumn("part", F.coalesce("part", "doc_id"))
 
 
-def _across(rows: DataFrame, parts: DataFrame, allowed: Column | None = None) -> DataFrame:
-    """All pairs across parts within small buckets (bucket, doc_id), if ``allowed`` by their columns."""
-    left = _part_of(rows, parts)
-    right = left.select(*[F.col(c).alias("bucket" if c == "bucket" else f"{c}_2") for c in left.columns])
-    pairs = left.join(right, "bucket").where("part < part_2")
+def _across(rows: DataFrame, allowed: Column | None = None) -> DataFrame:
+    """All pairs across parts within small buckets (bucket, doc_id, part), if ``allowed`` by their columns."""
+    right = rows.select(*[F.col(c).alias("bucket" if c == "bucket" else f"{c}_2") for c in rows.columns])
+    pairs = rows.join(right, "bucket").where("part < part_2")
     pairs = pairs if allowed is None else pairs.where(allowed)
     return _ordered_pairs(pairs.select(F.col("doc_id").alias("a"), F.col("doc_id_2").alias("b")))
 
@@ -267,22 +262,28 @@ def _by_bound(named: DataFrame, percent: int) -> DataFrame:
     return _ordered_pairs(pairs.select("a", "b"))
 
 
-def _by_shingle(named: DataFrame) -> DataFrame:
-    """Documents of a cluster that share a shingle of their prefixes with a document of another part.
+def _by_shingle(named: DataFrame, percent: int) -> DataFrame:
+    """Documents of a cluster that can be linked by shingles outside the centre with a document of another part.
 
-    (bucket, size, doc_id, n, common, rest): ``rest`` counts the shingles outside the centre from the shared one on.
+    (bucket, size, doc_id, part, n, common, rest): documents that share a shingle. ``rest`` counts those of the document's outside shingles that
+    several parts of the cluster hold, from the shared one on, in an order that all documents use: the rarest come first. A link shares
+    at least ``percent`` of a document's set, inside the centre and in the shingles counted by ``rest`` at its first shared one.
     Shingles that the same documents share (a passage) are one bucket, with the most that any of them leaves.
     """
-    spread = named.select("centre", "doc_id", "part", "n", "common", "out", F.posexplode("prefix").alias("place", "shingle"))
+    spread = named.select("centre", "doc_id", "part", "n", "common", F.explode("outside").alias("shingle"))
     held = spread.groupBy("centre", "shingle").agg(
-        F.min("part").alias("p0"), F.max("part").alias("p1"), F.count(F.lit(1)).alias("size"), F.expr("bit_xor(xxhash64(doc_id, 1))").alias("who"),
+        F.min("part").alias("p0"), F.max("part").alias("p1"), F.count(F.lit(1)).alias("held"), F.expr("bit_xor(xxhash64(doc_id, 1))").alias("who"),
         F.expr("bit_xor(xxhash64(doc_id, 2))").alias("whose"),
     )
-    shared = held.where("p0 < p1").select("centre", "shingle", "size", "who", "whose")
-    met = spread.join(shared, ["centre", "shingle"])
-    bucket = F.xxhash64("centre", "size", "who", "whose").alias("bucket")
-    rest = F.max(F.col("out") - F.col("place")).alias("rest")
-    return met.groupBy(bucket, "size", "doc_id", "n", "common").agg(rest)
+    shared = held.where("p0 < p1").select("centre", "shingle", "held", "who", "whose")
+    last = Window.partitionBy("centre", "doc_id").orderBy(F.desc("held"), F.desc("shingle"))
+    met = spread.join(shared, ["centre", "shingle"]).withColumn("rest", F.row_number().over(last).cast("long"))
+    met = met.where(100 * (F.col("common") + F.col("rest")) >= percent * F.col("n"))
+    bucket = F.xxhash64("centre", "held", "who", "whose").alias("bucket")
+    met = written(met.groupBy(bucket, "doc_id", "part", "n", "common").agg(F.max("rest").alias("rest")), "first-shared")
+    several = met.groupBy("bucket").agg(F.min("part").alias("p0"), F.max("part").alias("p1"), F.count(F.lit(1)).alias("size"))
+    several = several.where("p0 < p1").select("bucket", "size")
+    return met.join(several, "bucket").select("bucket", "size", "doc_id", "part", "n", "common", "rest")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
@@ -315,7 +316,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
 
     pairs, links = tried(buckets.select(F.col("doc_id").alias("a"), F.col("least").alias("b")), "pairs")
     parts = hooked(links)
-    small = _across(buckets.where("not large").select("bucket", "doc_id"), parts)
+    small = _across(_part_of(buckets.where("not large").select("bucket", "doc_id"), parts))
     links = links.union(tried(small.join(pairs, ["a", "b"], "left_anti"), "pairs")[1])
     open_rows = buckets.where("large").select("bucket", "doc_id")
     known = None
@@ -325,20 +326,24 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
         star = written(_centred(open_rows, parts, turn).select("doc_id", "centre").distinct(), "centred")
         asked = star.where("doc_id <> centre").select(F.col("doc_id").alias("a"), F.col("centre").alias("b"))
         if known is None:
-            known = rows = written(_compared(asked, texts, percent), "clusters")
+            known = rows = written(_compared(asked, texts), "clusters")
         else:
             # what an earlier round compared is in the cluster by its figures of then
-            new = _compared(asked.join(known.select(F.col("doc_id").alias("a"), F.col("centre").alias("b")), ["a", "b"], "left_anti"), texts, percent)
+            new = _compared(asked.join(known.select(F.col("doc_id").alias("a"), F.col("centre").alias("b")), ["a", "b"], "left_anti"), texts)
             new = written(new, "clusters")
             rows = new.unionByName(known.join(star, ["doc_id", "centre"], "left_semi"))
             known = known.unionByName(new)
         links = links.union(_linked(rows, percent))
         parts = hooked(links)
         named = _named(rows, parts)
-        met = written(_by_shingle(named), "met")
-        paired = F.lit(True) if turn == ROUNDS - 1 else F.col("size") <= SMALL
-        direct = _across(met.where(paired).drop("size"), parts, _reachable(percent))
+        met = written(_by_shingle(named, percent), "met")
+        crossing = met.where(F.col("size") > SMALL).agg(F.sum(F.col("size") - 1) / 2).first()[0] or 0
+        last = turn == ROUNDS - 1 or crossing <= reps.count()
+        paired = F.lit(True) if last else F.col("size") <= SMALL
+        direct = _across(met.where(paired).drop("size"), _reachable(percent))
         links = links.union(tried(_by_bound(named, percent).union(direct), "pairs")[1])
+        if last:
+            break
         open_rows = written(met.where(~paired).select("bucket", "doc_id"), "open")
     joined = components(links, "a", "b")
     best = joined.select(F.col("node").alias("rep"), "component")
